@@ -14,6 +14,7 @@ task, and every window below runs inside one bucket, never over a whole group.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -22,7 +23,45 @@ COARSE_SHIFT = 20
 # ln of the smallest positive double is -744.4; the shift keeps every magnitude positive.
 MAGNITUDE_SHIFT = 746.0
 
-Target = tuple[str, str, Callable[[Column], Column]]
+
+@dataclass(frozen=True)
+class Grid:
+    """The quantiles 0, 1/steps, ... 1 of a rank: row ceil(i * n / steps), at least row 1."""
+
+    by: str
+    steps: int
+
+    def hits(self, before: Column, own: Column, total: Column) -> Column:
+        """Steps whose row lies among the ``own`` rows that follow ``before`` rows."""
+        low = F.call_function("div", before * self.steps, total)
+        high = F.call_function("div", (before + own) * self.steps, total)
+        inner = F.when(high > low, F.sequence(low + 1, high)).otherwise(F.array().cast("array<bigint>"))
+        steps = F.when(before == 0, F.concat(F.array(F.lit(0).cast("long")), inner)).otherwise(inner)
+
+        def hit(i: Column) -> Column:
+            rank = F.call_function("div", i * total + (self.steps - 1), F.lit(self.steps))
+            return F.struct(
+                F.lit(self.by).alias("by"), i.alias("step"), F.greatest(rank, F.lit(1).cast("long")).alias("rank")
+            )
+
+        found = (own > 0) & ((high > low) | (before == 0))
+        return F.when(found, F.transform(steps, hit)).otherwise(F.array().cast(HITS))
+
+
+@dataclass(frozen=True)
+class Rank:
+    """One row of a rank, given as a function of the total."""
+
+    by: str
+    rank: Callable[[Column], Column]
+
+    def hits(self, before: Column, own: Column, total: Column) -> Column:
+        k = self.rank(total).cast("long")
+        hit = F.struct(F.lit(self.by).alias("by"), F.lit(0).cast("long").alias("step"), k.alias("rank"))
+        return F.when((k > before) & (k <= before + own), F.array(hit)).otherwise(F.array().cast(HITS))
+
+
+HITS = "array<struct<by:string,step:bigint,rank:bigint>>"
 
 
 def fine_bucket(value: Column) -> Column:
@@ -34,18 +73,9 @@ def coarse_bucket(fine: Column) -> Column:
     return F.shiftright(fine, COARSE_SHIFT)
 
 
-def quantile_rank(numerator: int, denominator: int) -> Callable[[Column], Column]:
-    """1-based rank of a discrete quantile: ceil(p * n) in whole numbers, at least 1."""
-
-    def rank(total: Column) -> Column:
-        ceiling = F.call_function("div", total * numerator + (denominator - 1), F.lit(denominator))
-        return F.greatest(ceiling, F.lit(1))
-
-    return rank
-
-
-def quantile(by: str, numerator: int, denominator: int) -> Target:
-    return (f"{by}:{numerator}/{denominator}", by, quantile_rank(numerator, denominator))
+def _selective(keys: list[str]) -> list[str]:
+    """Keys with the date first: rows are told apart by the first sort column, most cheaply."""
+    return sorted(keys, key=lambda k: k != "information_date")
 
 
 def _sums(columns: list[str]) -> list[Column]:
@@ -62,14 +92,14 @@ def cut_points(
     value: str,
     weights: list[str],
     ranks: dict[str, list[str]],
-    targets: list[Target],
+    targets: list[Grid | Rank],
 ) -> DataFrame:
     """Values at given ranks, with the running totals of every weight up to each of them.
 
     ``rows`` holds ``keys``, a numeric ``value`` (nulls are skipped) and whole-number
     ``weights``. ``ranks`` names the weights a rank counts (``{"pool": ["n_cur", "n_base"]}``);
-    a target is ``(label, rank name, total -> rank)``. Returns one row per key and reached
-    target: ``label, cut, upto_<weight>, total_<weight>``.
+    a target is a :class:`Grid` or a :class:`Rank` on one of them. Returns one row per key and
+    reached target: ``by, step, cut, upto_<weight>, at_<weight>, total_<weight>``.
 
     Two scans: one counts coarse buckets, the other re-reads only the buckets that hold a
     target. Only those rows are ever sorted.
@@ -77,8 +107,8 @@ def cut_points(
     coded = rows.where(F.col(value).isNotNull()).withColumn("_fine", fine_bucket(F.col(value)))
     coded = coded.withColumn("_coarse", coarse_bucket(F.col("_fine")))
 
-    in_order = W.partitionBy(*keys).orderBy("_coarse").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*keys)
+    in_order = W.partitionBy(*_selective(keys)).orderBy("_coarse").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*_selective(keys))
     histogram = (
         coded.groupBy(*keys, "_coarse")
         .agg(*_sums(weights))
@@ -92,12 +122,8 @@ def cut_points(
     def summed(prefix: str, by: str) -> Column:
         return sum((F.col(f"{prefix}{w}") for w in ranks[by][1:]), F.col(f"{prefix}{ranks[by][0]}"))
 
-    wanted = []
-    for label, by, rank in targets:
-        k = rank(summed("total_", by)).cast("long")
-        hit = (k > summed("before_", by)) & (k <= summed("before_", by) + summed("", by))
-        wanted.append(F.when(hit, F.struct(F.lit(label).alias("label"), F.lit(by).alias("by"), k.alias("rank"))))
-    chosen = histogram.withColumn("_hits", F.array_compact(F.array(*wanted))).where(F.size("_hits") > 0)
+    hits = [t.hits(summed("before_", t.by), summed("", t.by), summed("total_", t.by)) for t in targets]
+    chosen = histogram.withColumn("_hits", F.concat(*hits)).where(F.size("_hits") > 0)
     chosen = chosen.select(
         *keys, "_coarse", "_hits", *[f"before_{w}" for w in weights], *[f"total_{w}" for w in weights]
     )
@@ -122,28 +148,28 @@ def _descend(leaf, chosen, keys, value, weights, ranks) -> DataFrame:
             test = F.when(F.col("by") == by, (F.col("rank") > low) & (F.col("rank") <= low + own)).otherwise(test)
         return test
 
-    in_coarse = W.partitionBy(*keys, "_coarse").orderBy("_fine").rowsBetween(W.unboundedPreceding, -1)
+    in_coarse = W.partitionBy("_coarse", *keys).orderBy("_fine").rowsBetween(W.unboundedPreceding, -1)
     fine = (
         leaf.groupBy(*keys, "_coarse", "_fine")
         .agg(*_sums(weights))
         .select(*keys, "_coarse", "_fine", *weights, *[c.alias(f"in_{w}") for w, c in zip(weights, _before(weights, in_coarse))])
         .join(chosen.select("*", F.explode("_hits").alias("_hit")).drop("_hits"), [*keys, "_coarse"])
         .select(
-            *keys, "_fine", "_hit.label", "_hit.by", "_hit.rank", *weights,
+            *keys, "_fine", "_hit.by", "_hit.step", "_hit.rank", *weights,
             *[(F.col(f"before_{w}") + F.col(f"in_{w}")).alias(f"low_{w}") for w in weights],
             *[f"total_{w}" for w in weights],
         )
         .where(reached("low_"))
         .drop(*weights)
     )
-    in_fine = W.partitionBy(*keys, "_fine").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    in_fine = W.partitionBy("_fine", *keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     return (
         leaf.select(*keys, "_fine", value, *weights, *[c.alias(f"in_{w}") for w, c in zip(weights, _before(weights, in_fine))])
         .join(fine, [*keys, "_fine"])
         .withColumns({f"low_{w}": F.col(f"low_{w}") + F.col(f"in_{w}") for w in weights})
         .where(reached("low_"))
         .select(
-            *keys, "label", F.col(value).alias("cut"),
+            *keys, "by", "step", F.col(value).alias("cut"),
             *[(F.col(f"low_{w}") + F.col(w)).alias(f"upto_{w}") for w in weights],
             *[F.col(w).alias(f"at_{w}") for w in weights],
             *[f"total_{w}" for w in weights],
@@ -166,9 +192,9 @@ def ordered_cross(rows: DataFrame, keys: list[str], value: str, left: str, right
     )
     state = state.withColumn("x", F.col("l") * F.col("r") / 2)
     for group, order in (
-        ([*keys, "_coarse", "_fine"], value),
-        ([*keys, "_coarse"], "_fine"),
-        (list(keys), "_coarse"),
+        (["_fine", "_coarse", *keys], value),
+        (["_coarse", *keys], "_fine"),
+        (_selective(keys), "_coarse"),
     ):
         window = W.partitionBy(*group).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
         earlier = F.coalesce(F.sum("l").over(window), F.lit(0.0))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key
-from modelmon.functions.ordering import cut_points, quantile, top_per_group
+from modelmon.functions.ordering import Grid, cut_points, top_per_group
 from modelmon.operators.observations import value_counts, weighted
 
 PSI_EPSILON = 1e-6
@@ -71,12 +71,12 @@ def numeric_bins(rows: DataFrame, n_bins: int = 10, keys: list[str] = KEYS) -> D
 
     Duplicate edges are kept and give empty bins. ``freq_dev`` is the share among binned rows.
     """
-    targets = [quantile("n", i, n_bins) for i in range(1, n_bins)]
-    order = F.create_map(*[F.lit(x) for i, t in enumerate(targets) for x in (t[0], i + 1)])
-    cuts = cut_points(rows.withColumn("n", F.lit(1).cast("long")), keys, "value", ["n"], {"n": ["n"]}, targets)
+    cuts = cut_points(
+        rows.withColumn("n", F.lit(1).cast("long")), keys, "value", ["n"], {"n": ["n"]}, [Grid("n", n_bins)]
+    ).where((F.col("step") > 0) & (F.col("step") < n_bins))
     edges = cuts.groupBy(*keys).agg(
         F.sort_array(
-            F.collect_list(F.struct(order[F.col("label")].alias("i"), F.col("cut"), F.col("upto_n").alias("upto")))
+            F.collect_list(F.struct(F.col("step").cast("int").alias("i"), F.col("cut"), F.col("upto_n").alias("upto")))
         ).alias("edges"),
         F.first("total_n").alias("total"),
     )

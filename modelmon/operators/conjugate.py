@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS, clean_double, is_baseline, is_current
-from modelmon.functions.ordering import cut_points, ordered_cross, quantile
+from modelmon.functions.ordering import Grid, Rank, cut_points, ordered_cross
 from modelmon.operators.registry import Metric, register, register_family
-from modelmon.operators.stability import KS_STEPS, ks_from_grid
+from modelmon.operators.stability import KS_FLOOR, KS_STEPS, ks_gap
 
 # How score-target results are named in the result tables.
 SCORE_VARIABLE, SCORE_TYPE = "__SCORE__", "conjugate"
@@ -15,10 +15,7 @@ SIDE_KEYS = [*KEYS, "side"]
 
 
 def tie_order(key_columns: list[str]) -> Column:
-    """A number that orders rows with equal scores the same way on every run.
-
-    One whole-number key is used as it is; other keys are hashed to 53 bits.
-    """
+    """A number that orders rows with equal scores the same way on every run."""
     return F.shiftright(F.xxhash64(*key_columns), 11).cast("double")
 
 
@@ -97,7 +94,7 @@ def lift(pairs: DataFrame) -> DataFrame:
         F.col("target").isNotNull().cast("long").alias("known"),
     )
     weights = ["n", "events", "known"]
-    top_border = ("border", "n", lambda total: F.call_function("div", total * 9, F.lit(10)) + 1)
+    top_border = Rank("n", lambda total: F.call_function("div", total * 9, F.lit(10)) + 1)
     border = cut_points(rows, SIDE_KEYS, "score", weights, {"n": ["n"]}, [top_border])
     border = border.select(
         *SIDE_KEYS,
@@ -110,7 +107,7 @@ def lift(pairs: DataFrame) -> DataFrame:
     )
     tied = rows.join(border.select(*SIDE_KEYS, "border", "need"), SIDE_KEYS).where(F.col("score") == F.col("border"))
     inner_keys = [*SIDE_KEYS, "need"]
-    last_in = ("last", "n", lambda total: F.least(F.col("need"), total))
+    last_in = Rank("n", lambda total: F.least(F.col("need"), total))
     taken = cut_points(tied, inner_keys, "tie", weights, {"n": ["n"]}, [last_in])
     # Rows that share the last tie value (never, with unique keys) enter by their share.
     short = (F.col("need") - (F.col("upto_n") - F.col("at_n"))) / F.col("at_n")
@@ -134,18 +131,11 @@ def separation(pairs: DataFrame) -> DataFrame:
         (F.col("target") == 0).cast("long").alias("n_0"),
         (F.col("target") == 1).cast("long").alias("n_1"),
     )
-    grid = [quantile("pool", i, KS_STEPS) for i in range(KS_STEPS + 1)]
-    cuts = cut_points(rows, SIDE_KEYS, "value", ["n_0", "n_1"], {"pool": ["n_0", "n_1"]}, grid)
-    picked = [
-        F.max(F.when(F.col("label") == t[0], F.col(f"upto_{w}"))).alias(f"g{i}_{w}")
-        for i, t in enumerate(grid)
-        for w in ("n_0", "n_1")
-    ]
+    cuts = cut_points(rows, SIDE_KEYS, "value", ["n_0", "n_1"], {"pool": ["n_0", "n_1"]}, [Grid("pool", KS_STEPS)])
     sizes = rows.groupBy(*SIDE_KEYS).agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1"))
-    per_side = sizes.join(cuts.groupBy(*SIDE_KEYS).agg(*picked), SIDE_KEYS, "left").select(
-        *SIDE_KEYS,
-        (F.col("n_0") + F.col("n_1")).alias("n"),
-        ks_from_grid(KS_STEPS, ["n_0", "n_1"], [F.col("n_0"), F.col("n_1")]).alias("ks"),
+    per_side = sizes.join(cuts, SIDE_KEYS, "left").groupBy(*SIDE_KEYS).agg(
+        F.first(F.col("n_0") + F.col("n_1")).alias("n"),
+        F.greatest(F.lit(KS_FLOOR), F.max(ks_gap(["upto_n_0", "upto_n_1"], ["n_0", "n_1"]))).alias("ks"),
     )
     return _by_side(per_side, ["ks"])
 

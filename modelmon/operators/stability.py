@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key, is_baseline, is_current, union_all
-from modelmon.functions.ordering import cut_points, quantile, top_per_group
+from modelmon.functions.ordering import Grid, cut_points, top_per_group
 from modelmon.operators.bins import bin_counts, psi, psi_term
 from modelmon.operators.observations import side_counts, value_counts, weighted
 from modelmon.operators.registry import Metric, register, register_family
@@ -22,67 +22,62 @@ PERCENTILES = [10, 20, 30, 40, 50, 60, 70, 80, 90]
 _RANKS = {"cur": ["n_cur"], "base": ["n_base"], "pool": ["n_cur", "n_base"]}
 
 
-def ks_from_grid(steps: int, upto: list[str], sizes: list[Column]) -> Column:
-    """Largest gap between two empirical distributions over the pooled quantile points."""
-    gaps = [
-        F.abs(
-            F.col(f"g{i}_{upto[0]}") / F.greatest(sizes[0], F.lit(1))
-            - F.col(f"g{i}_{upto[1]}") / F.greatest(sizes[1], F.lit(1))
-        )
-        for i in range(steps + 1)
-    ]
-    return F.greatest(F.lit(KS_FLOOR), *gaps)
-
-
-def _pick(label: str, column: str) -> Column:
-    return F.max(F.when(F.col("label") == label, F.col(column)))
+def ks_gap(upto: list[str], sizes: list[str]) -> Column:
+    """Gap between two empirical distributions at one pooled quantile point."""
+    share = [F.col(u) / F.greatest(F.col(n), F.lit(1)) for u, n in zip(upto, sizes)]
+    return F.abs(share[0] - share[1])
 
 
 def quantiles(rows: DataFrame, n_bins: int = DYNAMIC_BINS) -> DataFrame:
     """Every quantile-based measure of numeric variables from one pass of order statistics.
 
-    Percentiles of both sides, the quartiles, the 21 pooled points of the KS grid and the
-    baseline bins of the dynamic PSI all share the same bucket counts.
+    Percentiles of both sides, the 21 pooled points of the KS distance and the baseline bins of
+    the dynamic PSI all share the same bucket counts.
     """
-    plain = weighted(rows)
-    cur = {f"cur_p{p}": quantile("cur", p, 100) for p in [25, 75, *PERCENTILES]}
-    base = {f"base_p{p}": quantile("base", p, 100) for p in [10, 50, 90]}
-    edges = [quantile("base", i, n_bins) for i in range(1, n_bins)]
-    grid = [quantile("pool", i, KS_STEPS) for i in range(KS_STEPS + 1)]
-    targets = {t[0]: t for t in [*cur.values(), *base.values(), *edges, *grid]}
-    cuts = cut_points(plain, KEYS, "value", ["n_cur", "n_base"], _RANKS, list(targets.values()))
-
-    named = {name: t[0] for name, t in {**cur, **base}.items()}
-    picked = [_pick(label, "cut").alias(name) for name, label in named.items()]
-    for i, t in enumerate(edges, 1):
-        picked += [_pick(t[0], f"upto_{w}").alias(f"e{i}_{w}") for w in ("n_cur", "n_base")]
-    for i, t in enumerate(grid):
-        picked += [_pick(t[0], f"upto_{w}").alias(f"g{i}_{w}") for w in ("n_cur", "n_base")]
-    wide = cuts.groupBy(*KEYS).agg(
-        F.max("total_n_cur").alias("valid_cur"), F.max("total_n_base").alias("valid_base"), *picked
-    )
+    fine = KS_STEPS if KS_STEPS % n_bins == 0 else KS_STEPS * n_bins
+    grids = [Grid("cur", KS_STEPS), Grid("base", fine), Grid("pool", KS_STEPS)]
+    cuts = cut_points(weighted(rows), KEYS, "value", ["n_cur", "n_base"], _RANKS, grids)
     n_cur, n_base = side_counts()
     sizes = rows.groupBy(*KEYS).agg(n_cur.alias("n_cur"), n_base.alias("n_base"))
-    measured = sizes.join(wide, KEYS, "left")
-
-    def share(i: int, w: str) -> Column:
-        total = F.col("valid_cur" if w == "n_cur" else "valid_base")
-        upper = F.col(f"e{i}_{w}") if i < n_bins else total
-        lower = F.col(f"e{i - 1}_{w}") if i > 1 else F.lit(0)
-        return (upper - lower) / F.greatest(total, F.lit(1))
 
-    psi_value = sum(
-        (psi_term(share(i, "n_cur"), share(i, "n_base")) for i in range(2, n_bins + 1)),
-        psi_term(share(1, "n_cur"), share(1, "n_base")),
+    def percentile(by: str, percent: int) -> Column:
+        step = percent * (fine if by == "base" else KS_STEPS) // 100
+        return F.max(F.when((F.col("by") == by) & (F.col("step") == step), F.col("cut"))).alias(f"{by}_p{percent}")
+
+    every = fine // n_bins
+    edge = (F.col("by") == "base") & (F.col("step") > 0) & (F.col("step") < fine) & (F.col("step") % every == 0)
+    running = F.struct(F.col("step"), F.col("upto_n_cur").alias("c"), F.col("upto_n_base").alias("b"))
+    measured = sizes.join(cuts, KEYS, "left").groupBy(*KEYS).agg(
+        F.first("n_cur").alias("n_cur"),
+        F.first("n_base").alias("n_base"),
+        F.max("total_n_cur").alias("valid_cur"),
+        F.max("total_n_base").alias("valid_base"),
+        F.greatest(
+            F.lit(KS_FLOOR),
+            F.max(F.when(F.col("by") == "pool", ks_gap(["upto_n_cur", "upto_n_base"], ["n_cur", "n_base"]))),
+        ).alias("ks"),
+        F.sort_array(F.collect_list(F.when(edge, running))).alias("edges"),
+        *[percentile("cur", p) for p in [*PERCENTILES, 25, 75]],
+        *[percentile("base", p) for p in (10, 50, 90)],
     )
-    return measured.select(
-        *KEYS,
-        "n_cur",
-        "n_base",
-        *named,
-        F.when(F.col("valid_base") > 0, psi_value).otherwise(0.0).alias("psi_dynamic"),
-        ks_from_grid(KS_STEPS, ["n_cur", "n_base"], [F.col("n_cur"), F.col("n_base")]).alias("ks"),
+
+    def term(upper: Column, lower: Column) -> Column:
+        return psi_term(
+            (upper["c"] - lower["c"]) / F.greatest(F.col("valid_cur"), F.lit(1)),
+            (upper["b"] - lower["b"]) / F.greatest(F.col("valid_base"), F.lit(1)),
+        )
+
+    def end(step: int, c: Column, b: Column) -> Column:
+        return F.struct(*[v.cast("long").alias(n) for n, v in (("step", F.lit(step)), ("c", c), ("b", b))])
+
+    ends = F.concat(
+        F.array(end(0, F.lit(0), F.lit(0))), F.col("edges"), F.array(end(fine, F.col("valid_cur"), F.col("valid_base")))
     )
+    terms = F.zip_with(F.slice("ends", 2, n_bins), F.slice("ends", 1, n_bins), term)
+    psi_value = F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
+    return measured.withColumn("ends", ends).withColumn(
+        "psi_dynamic", F.when(F.col("valid_base") > 0, psi_value).otherwise(0.0)
+    ).drop("ends", "edges")
 
 
 def quartiles(measured: DataFrame) -> DataFrame:
