@@ -6,7 +6,7 @@ upper_bound_type, count_dev`` next to ``model_id, type, variable``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key
 from modelmon.functions.ordering import Grid, cut_points, top_per_group
@@ -175,3 +175,40 @@ def woe(positive: Column, negative: Column, total_positive: Column, total_negati
         .when(p <= 0, F.lit(float("-inf")))
         .otherwise(F.round(100.0 * F.try_divide(p, n), 6))
     )
+
+
+def category_rank(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Every category with its share and its rank by frequency (ties by value, missing last).
+
+    Ranks come from three small running counts (over frequencies, over four-letter prefixes of
+    one frequency, and inside one prefix), so a variable with very many categories is never
+    sorted as a whole.
+    """
+    counted = category_counts(rows, keys).withColumns(
+        {"_null": F.col("value").isNull(), "_prefix": F.substring("value", 1, 4)}
+    )
+    seen = W.unboundedPreceding
+    part = counted.groupBy(*keys, "count_dev", "_null", "_prefix").agg(F.count("*").alias("_in_part"))
+    level = part.groupBy(*keys, "count_dev").agg(F.sum("_in_part").alias("_in_level"))
+    by_count = W.partitionBy(*keys).orderBy(F.desc("count_dev")).rowsBetween(seen, -1)
+    level = level.select(*keys, "count_dev", F.coalesce(F.sum("_in_level").over(by_count), F.lit(0)).alias("_above"))
+    by_prefix = W.partitionBy("count_dev", *keys).orderBy("_null", "_prefix").rowsBetween(seen, -1)
+    part = (
+        part.withColumn("_before", F.coalesce(F.sum("_in_part").over(by_prefix), F.lit(0)))
+        .join(level, [*keys, "count_dev"])
+        .select(*keys, "count_dev", "_null", F.coalesce("_prefix", F.lit("")).alias("_prefix"), (F.col("_above") + F.col("_before")).alias("_offset"))
+    )
+    by_value = W.partitionBy("_prefix", "count_dev", "_null", *keys).orderBy("value")
+    totals = rows.groupBy(*keys).agg(F.count("*").alias("_total"))
+    return (
+        counted.withColumn("_prefix", F.coalesce("_prefix", F.lit("")))
+        .withColumn("_rank", F.row_number().over(by_value))
+        .join(part, [*keys, "count_dev", "_null", "_prefix"])
+        .join(totals, keys)
+        .select(
+            *keys,
+            F.col("value").alias("category_value"),
+            (F.col("_offset") + F.col("_rank")).cast("int").alias("rank_dev"),
+            (F.col("count_dev") / F.col("_total")).alias("freq_dev"),
+        )
+    )
