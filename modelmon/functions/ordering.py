@@ -18,6 +18,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from modelmon.functions.sizes import bounded, reliable
+
 FINE_PER_E = float(2**32)
 COARSE_SHIFT = 20
 # ln of the smallest positive double is -744.4; the shift keeps every magnitude positive.
@@ -101,8 +103,9 @@ def cut_points(
     a target is a :class:`Grid` or a :class:`Rank` on one of them. Returns one row per key and
     reached target: ``by, step, cut, upto_<weight>, at_<weight>, total_<weight>``.
 
-    Two scans: one counts coarse buckets, the other re-reads only the buckets that hold a
-    target. Only those rows are ever sorted.
+    Two scans: one counts coarse buckets, the other keeps only the buckets that hold a target
+    (found by a broadcast of those buckets, whose number is counted first). Only those rows are
+    shuffled and sorted. Both small intermediate frames are fixed in the checkpoint folder.
     """
     coded = rows.where(F.col(value).isNotNull()).withColumn("_fine", fine_bucket(F.col(value)))
     coded = coded.withColumn("_coarse", coarse_bucket(F.col("_fine")))
@@ -124,12 +127,14 @@ def cut_points(
 
     hits = [t.hits(summed("before_", t.by), summed("", t.by), summed("total_", t.by)) for t in targets]
     chosen = histogram.withColumn("_hits", F.concat(*hits)).where(F.size("_hits") > 0)
-    chosen = chosen.select(
-        *keys, "_coarse", "_hits", *[f"before_{w}" for w in weights], *[f"total_{w}" for w in weights]
+    chosen = reliable(
+        chosen.select(
+            *keys, "_coarse", "_hits", *[f"before_{w}" for w in weights], *[f"total_{w}" for w in weights]
+        )
     )
 
-    leaf = (
-        coded.join(chosen.select(*keys, "_coarse"), [*keys, "_coarse"], "left_semi")
+    leaf = reliable(
+        coded.join(bounded(chosen.select(*keys, "_coarse")), [*keys, "_coarse"], "left_semi")
         .groupBy(*keys, "_coarse", "_fine", value)
         .agg(*_sums(weights))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key
 from modelmon.functions.ordering import Grid, cut_points, top_per_group
+from modelmon.functions.sizes import bounded
 from modelmon.operators.observations import value_counts, weighted
 
 PSI_EPSILON = 1e-6
@@ -140,7 +141,7 @@ def bin_counts(rows: DataFrame, bins: DataFrame, numeric: bool = True) -> DataFr
     matched = (
         counted.alias("o")
         .join(
-            bins.alias("b"),
+            bounded(bins).alias("b"),
             [F.col(f"o.{c}") == F.col(f"b.{c}") for c in owner] + [in_bin(F.col("o.value"), numeric)],
         )
         .groupBy(*[F.col(f"o.{c}").alias(c) for c in KEYS], F.col("b.bin").alias("bin"))

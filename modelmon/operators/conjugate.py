@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS, clean_double, is_baseline, is_current
 from modelmon.functions.ordering import Grid, Rank, cut_points, ordered_cross
+from modelmon.functions.sizes import bounded, reliable
 from modelmon.operators.registry import Metric, register, register_family
 from modelmon.operators.stability import KS_FLOOR, KS_STEPS, ks_gap
 
@@ -105,7 +106,9 @@ def lift(pairs: DataFrame) -> DataFrame:
         (F.col("total_events") - F.col("upto_events")).alias("events_above"),
         (F.col("total_known") - F.col("upto_known")).alias("known_above"),
     )
-    tied = rows.join(border.select(*SIDE_KEYS, "border", "need"), SIDE_KEYS).where(F.col("score") == F.col("border"))
+    border = reliable(border)
+    edge = bounded(border.select(*SIDE_KEYS, F.col("border").alias("score"), "need"))
+    tied = rows.join(edge, [*SIDE_KEYS, "score"])
     inner_keys = [*SIDE_KEYS, "need"]
     last_in = Rank("n", lambda total: F.least(F.col("need"), total))
     taken = cut_points(tied, inner_keys, "tie", weights, {"n": ["n"]}, [last_in])

@@ -18,6 +18,8 @@ from modelmon.functions.columns import (
     is_current,
 )
 
+from modelmon.functions.sizes import bounded
+
 
 def from_pair(
     current: DataFrame,
@@ -75,7 +77,8 @@ def weighted(rows: DataFrame) -> DataFrame:
 def with_cutoff(rows: DataFrame, cutoff: float | DataFrame) -> DataFrame:
     """Attach the approval cutoff: one number, or a (model_id, cutoff) frame."""
     if isinstance(cutoff, DataFrame):
-        joined = rows.join(cutoff.select("model_id", F.col("cutoff").cast("double")), "model_id", "left")
+        per_model = bounded(cutoff.select("model_id", F.col("cutoff").cast("double")))
+        joined = rows.join(per_model, "model_id", "left")
         return joined.withColumn("cutoff", F.coalesce("cutoff", F.lit(0.5)))
     return rows.withColumn("cutoff", F.lit(float(cutoff)))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key, is_current, ratio
 from modelmon.functions.ordering import top_per_group
+from modelmon.functions.sizes import bounded, reliable
 from modelmon.operators.observations import side_counts, value_counts, with_cutoff
 from modelmon.operators.registry import Metric, register, register_family
 
@@ -61,7 +62,7 @@ def outliers(rows: DataFrame, quartiles: DataFrame) -> DataFrame:
     beyond = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     n_cur, n_base = side_counts()
     return (
-        rows.join(fences, KEYS, "left")
+        rows.join(bounded(reliable(fences)), KEYS, "left")
         .groupBy(*KEYS)
         .agg(n_cur.alias("n_cur"), n_base.alias("n_base"), F.count_if(is_current() & beyond).alias("outliers_cur"))
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from modelmon.functions.columns import union_all
 from modelmon.functions.dates import parse_date
+from modelmon.functions.sizes import all_reliable, bounded, reliable
 from modelmon.operators.calendar import resolve_dates
 from modelmon.operators.observations import unpivot
 from modelmon.sources import reader
@@ -58,16 +59,6 @@ class Feed:
         return sorted({(r["source_column"], r["variable"], r["var_type"]) for r in chosen})
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Fix a small shared frame in the cluster's checkpoint folder."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if folder and context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint() if context.getCheckpointDir() else df
-
-
 class Feeds:
     """The sources of a set of models."""
 
@@ -105,6 +96,7 @@ class Feeds:
         if unknown:
             raise MissingConfig(f"table metadata not found for {unknown}")
         self.feeds = self._group()
+        self._present: DataFrame | None = None
 
     def _group(self) -> list[Feed]:
         grouped: dict[tuple, Feed] = {}
@@ -125,12 +117,23 @@ class Feeds:
 
     def present_dates(self, modes: list[str] | None = None) -> DataFrame | None:
         """(source_table, date) held by the sources; with ``modes``, only of sources read so."""
-        frames = []
-        for feed in self.feeds:
-            if feed.spec.date_column and (modes is None or any(r["reading_mode"] in modes for r in feed.rows)):
-                dates = reader.source_dates(self.load(feed), feed.spec.date_column, feed.spec.date_format)
-                frames.append(dates.select(F.lit(feed.source_table).alias("source_table"), "date"))
-        return union_all(frames).distinct() if frames else None
+        wanted = [
+            f for f in self.feeds
+            if f.spec.date_column and (modes is None or any(r["reading_mode"] in modes for r in f.rows))
+        ]
+        if not wanted:
+            return None
+        if modes is None and self._present is not None:
+            return self._present
+
+        def dates(feed: Feed) -> DataFrame:
+            found = reader.source_dates(self.load(feed), feed.spec.date_column, feed.spec.date_format)
+            return found.select(F.lit(feed.source_table).alias("source_table"), "date")
+
+        held = union_all(all_reliable([lambda f=f: dates(f) for f in wanted])).distinct()
+        if modes is None:
+            self._present = held = reliable(held)
+        return held
 
     def per_source(self) -> DataFrame:
         """(model, source) rows with what date resolution needs."""
@@ -156,33 +159,47 @@ class Feeds:
 
     # -- rows -----------------------------------------------------------------------
 
+    @staticmethod
+    def read_dates(dates: DataFrame) -> dict[tuple[str, str], list]:
+        """Distinct dates to read per (model, source): calendar-sized, so they may be collected."""
+        rows = dates.select("model_id", "source_table", "read_date").distinct().collect()
+        out: dict[tuple[str, str], list] = defaultdict(list)
+        for r in rows:
+            out[r["model_id"], r["source_table"]].append(r["read_date"])
+        return out
+
     def slices(
-        self, feed: Feed, dates: DataFrame, columns: list[str], keys: bool = False, base: DataFrame | None = None
+        self,
+        feed: Feed,
+        dates: DataFrame,
+        literals: list,
+        columns: list[str],
+        keys: bool = False,
+        base: DataFrame | None = None,
     ) -> DataFrame:
         """Rows of one source for every (model, date, side) they serve.
 
-        The dates to read are few; they become literals, so source partitions are pruned.
+        The dates to read are few; they become literals, so source partitions are pruned. The
+        date table is broadcast when counted small, so source rows are not shuffled here.
         """
         spec = feed.spec
+        if not spec.date_column:
+            raise ValueError(f"{spec.table_or_path} has no date column")
         df = self.load(feed) if base is None else base
-        wanted = [*columns, spec.date_column or "", *(spec.key_columns if keys else [])]
+        wanted = [*columns, spec.date_column, *(spec.key_columns if keys else [])]
         df = reader.project(df, wanted, spec.table_or_path)
         serving = dates.where(
             (F.col("source_table") == feed.source_table) & F.col("model_id").isin(feed.models)
         ).select("model_id", "information_date", "side", "read_date")
-        if not spec.date_column:
-            raise ValueError(f"{spec.table_or_path} has no date column")
-        literals = [r["read_date"] for r in serving.select("read_date").distinct().collect()]
-        if not literals:
-            df = df.where(F.lit(False))
-        df = reader.on_dates(df, spec.date_column, literals, spec.date_format)
+        df = reader.on_dates(df, spec.date_column, sorted(literals), spec.date_format) if literals else df.where(F.lit(False))
         df = df.withColumn("read_date", parse_date(F.col(f"`{spec.date_column}`"), spec.date_format))
         if keys:
             df = reader.canonical_keys(df, spec.key_columns, spec.canonical_keys)
         clash = [c for c in ("model_id", "information_date", "side") if c in df.columns]
-        return df.drop(*clash).join(serving, "read_date")
+        return df.drop(*clash).join(bounded(serving), "read_date")
 
-    def observations(self, dates: DataFrame, numeric: bool) -> DataFrame | None:
+    def observations(self, dates: DataFrame, literals: dict, numeric: bool) -> DataFrame | None:
+        """Long observations of all numeric (or all text) variables."""
         frames = []
         for feed in self.feeds:
             entries = feed.entries(numeric)
@@ -196,7 +213,8 @@ class Feeds:
             if missing:
                 raise ValueError(f"missing columns {missing} in {spec.table_or_path}; available: {sorted(renamed.columns)}")
             renamed = renamed.withColumns({alias[c]: F.col(f"`{c}`") for c in needed})
-            plain = self.slices(feed, dates, list(alias.values()), base=renamed)
+            when = sorted({d for m in feed.models for d in literals.get((m, feed.source_table), [])})
+            plain = self.slices(feed, dates, when, list(alias.values()), base=renamed)
             rows = unpivot(plain, [(alias[c], v, t) for c, v, t in entries], numeric)
             if len(feed.models) > 1:
                 owned = self.metadata.where(F.col("source_table") == feed.source_table)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,7 +15,8 @@ from modelmon.operators.alerts import alert_aggregate
 from modelmon.operators.availability import availability_done, data_availability, newest_dates
 from modelmon.operators.bins import normalise_bins
 from modelmon.operators.runs import execution_log
-from modelmon.plans.feeds import SINGLE_MODES, ConfigTables, Feed, Feeds, by_model, reliable
+from modelmon.functions.sizes import all_reliable, bounded, reliable
+from modelmon.plans.feeds import SINGLE_MODES, ConfigTables, Feed, Feeds, by_model
 from modelmon.sources.config import latest_partition
 from modelmon.sources.sinks import ResultStore, write_partition
 
@@ -81,8 +83,17 @@ class Monitor:
         """
         dates = reliable(self.feeds.resolve(runs))
         found = reliable(self._found(dates))
-        missing = self._missing(runs, dates, found)
-        results = union_all(self._measures(runs, dates, found))
+        literals = self.feeds.read_dates(dates)
+        missing = reliable(self._missing(runs, dates, found))
+        numbers = self.feeds.observations(dates, literals, True)
+        texts = self.feeds.observations(dates, literals, False)
+        spread = None
+        if numbers is not None:
+            spread = reliable(stability.quantiles(numbers.where(F.col("var_type") != "target")))
+        pairs = self.pairs(runs, dates, literals)
+        pairs = None if pairs is None else reliable(pairs)
+        tasks = self._measures(dates, literals, found, numbers, texts, spread, pairs)
+        results = union_all(all_reliable(tasks))
         wanted = thresholds.applicable_metrics(self.feeds.metadata.select("model_id", "variable", "var_type", "data_type"))
         wanted = wanted.select("model_id", "variable", "var_type", "metric_name").unionByName(self._joint_wanted())
         results = results.join(wanted, ["model_id", "variable", "var_type", "metric_name"], "left_semi")
@@ -90,7 +101,7 @@ class Monitor:
         resolved = thresholds.resolve_thresholds(
             results, self._latest(self.config.auto_thresholds), self._latest(self.config.thresholds)
         )
-        summaries = self._summaries(dates).join(missing.select(*RUN), RUN, "left_anti")
+        summaries = self._summaries(numbers, texts, spread).join(missing.select(*RUN), RUN, "left_anti")
         return RunFrames(thresholds.with_status(resolved), summaries, missing)
 
     def _joint_wanted(self) -> DataFrame:
@@ -123,63 +134,59 @@ class Monitor:
             F.count("*").cast("int").alias("variables_missing"),
         )
 
-    def _measures(self, runs: DataFrame, dates: DataFrame, found: DataFrame) -> list[DataFrame]:
-        numbers = self.feeds.observations(dates, True)
-        texts = self.feeds.observations(dates, False)
+    def _measures(self, dates, literals, found, numbers, texts, spread, pairs) -> list[Callable[[], DataFrame]]:
+        """One small job per family; each yields metric rows."""
         bins, get = self._bins(), registry.get
-        out = [self._custom(family, metrics, numbers, texts) for family, metrics in self._custom_families().items()]
+        tasks: list[Callable[[], DataFrame]] = []
+
+        def add(names: list[str], table: Callable[[], DataFrame]) -> None:
+            tasks.append(lambda: registry.measure(table(), [get(m) for m in names]))
+
+        for family, metrics in self._custom_families().items():
+            add(metrics, lambda family=family: registry.family(family)(numbers if numbers is not None else texts))
         if numbers is not None:
             features = numbers.where(F.col("var_type").isin("raw", "input", "transformed"))
             scores = numbers.where(F.col("var_type") == "score")
             targets = numbers.where(F.col("var_type") == "target")
-            spread = stability.quantiles(numbers.where(F.col("var_type") != "target"))
-            out += [
-                registry.measure(quality.counts(numbers, self.feeds.cutoffs()), [
-                    get(m) for m in ("null_rate", "population_variation", "range_violation", "approval_rate", "event_rate")
-                ]),
-                registry.measure(quality.distinct(features), [get("cardinality_ratio")]),
-                registry.measure(spread, [get(m) for m in ("median_shift", "psi_dynamic", "ks_vs_dev", "tail_shift")]),
-                registry.measure(
-                    quality.outliers(features, stability.quartiles(spread)), [get("outlier_rate")]
-                ),
-                registry.measure(
-                    stability.canonical_psi(
-                        numbers.where(F.col("var_type") != "target"), bins, spread.where(F.col("n_base") > 0), True
-                    ),
-                    [get("psi_canonical")],
-                ),
-                registry.measure(score.entropy(scores), [get("entropy")]),
-                registry.measure(score.concentration(scores), [get("concentration_gini")]),
-                registry.measure(
-                    score.split_psi(scores, bins, self.feeds.cutoffs()), [get("psi_approved"), get("psi_rejected")]
-                ),
-                registry.measure(target.target_psi(targets, bins), [get("psi_target")]),
-            ]
+            graded = numbers.where(F.col("var_type") != "target")
+            based = spread.where(F.col("n_base") > 0)
+            cutoffs = self.feeds.cutoffs()
+            add(
+                ["null_rate", "population_variation", "range_violation", "approval_rate", "event_rate"],
+                lambda: quality.counts(numbers, cutoffs),
+            )
+            add(["cardinality_ratio"], lambda: quality.distinct(features))
+            add(["median_shift", "psi_dynamic", "ks_vs_dev", "tail_shift"], lambda: spread)
+            add(["outlier_rate"], lambda: quality.outliers(features, stability.quartiles(spread)))
+            add(["psi_canonical"], lambda: stability.canonical_psi(graded, bins, based, True))
+            add(["entropy"], lambda: score.entropy(scores))
+            add(["concentration_gini"], lambda: score.concentration(scores))
+            add(["psi_approved", "psi_rejected"], lambda: score.split_psi(scores, bins, cutoffs))
+            add(["psi_target"], lambda: target.target_psi(targets, bins))
         if texts is not None:
             top_n, largest = self._top_n()
-            dynamic = stability.dynamic_categories(texts)
-            out += [
-                registry.measure(quality.text_counts(texts), [get("null_rate"), get("population_variation")]),
-                registry.measure(quality.distinct(texts), [get("cardinality_ratio")]),
-                registry.measure(
-                    quality.categories(texts, top_n, largest),
-                    [get("dominant_category_rate"), get("category_composition_drift")],
-                ),
-                registry.measure(dynamic, [get("psi_dynamic")]),
-                registry.measure(
-                    stability.canonical_psi(texts, bins, dynamic.where(F.col("n_base") > 0), False), [get("psi_canonical")]
-                ),
-            ]
-        out.append(registry.measure(self._completeness(dates, found), [get("completeness")]))
-        pairs = self.pairs(runs, dates)
+            dynamic = reliable(stability.dynamic_categories(texts))
+            add(["null_rate", "population_variation"], lambda: quality.text_counts(texts))
+            add(["cardinality_ratio"], lambda: quality.distinct(texts))
+            add(
+                ["dominant_category_rate", "category_composition_drift"],
+                lambda: quality.categories(texts, top_n, largest),
+            )
+            add(["psi_dynamic"], lambda: dynamic)
+            add(
+                ["psi_canonical"],
+                lambda: stability.canonical_psi(texts, bins, dynamic.where(F.col("n_base") > 0), False),
+            )
+        add(["completeness"], lambda: self._completeness(dates, found))
         if pairs is not None:
-            for family, metrics in (
-                ("roc", ("auc", "gini")), ("fit", ("brier_score", "calibration_slope")),
-                ("lift", ("lift_top_decile",)), ("separation", ("ks_score_target",)),
+            for family, names in (
+                ("roc", ["auc", "gini"]), ("fit", ["brier_score", "calibration_slope"]),
+                ("lift", ["lift_top_decile"]), ("separation", ["ks_score_target"]),
             ):
-                out.append(registry.measure(registry.family(family)(pairs), [get(m) for m in metrics]))
-        out += [registry.measure(t, [get("correlation_drift")]) for t in self._correlations(dates)]
-        return out
+                add(names, lambda family=family: registry.family(family)(pairs))
+        for table in self._correlations(dates, literals):
+            add(["correlation_drift"], lambda table=table: table)
+        return tasks
 
     # Families measured above; anything else registered by a user runs on all observations.
     BUILT_IN = {
@@ -187,18 +194,14 @@ class Monitor:
         "entropy", "concentration", "split_psi", "target_psi", "roc", "fit", "lift", "separation",
     }
 
-    def _custom_families(self) -> dict[str, list]:
-        found: dict[str, list] = {}
+    def _custom_families(self) -> dict[str, list[str]]:
+        found: dict[str, list[str]] = {}
         for name in registry.names():
-            metric = registry.get(name)
-            if metric.family not in self.BUILT_IN:
-                found.setdefault(metric.family, []).append(metric)
+            family = registry.get(name).family
+            if family not in self.BUILT_IN:
+                found.setdefault(family, []).append(name)
         return found
 
-    def _custom(self, family, metrics, numbers, texts) -> DataFrame:
-        rows = numbers if numbers is not None else texts
-        return registry.measure(registry.family(family)(rows), metrics)
-
     def _completeness(self, dates: DataFrame, found: DataFrame) -> DataFrame:
         variables = self.feeds.metadata.select("model_id", "source_table", "variable", "var_type")
         current = dates.where(F.col("side") == "current")
@@ -217,7 +220,7 @@ class Monitor:
     def _feed_of(self, row) -> Feed:
         return next(f for f in self.feeds.feeds if f.source_table == row["source_table"] and row in f.rows)
 
-    def pairs(self, runs: DataFrame, dates: DataFrame) -> DataFrame | None:
+    def pairs(self, runs: DataFrame, dates: DataFrame, literals: dict) -> DataFrame | None:
         """Score and outcome of the same customer and cohort: the score is read at the target's lag."""
         frames = []
         for model, rows in by_model(self.feeds.rows).items():
@@ -235,7 +238,9 @@ class Monitor:
             sides = []
             for r, when, name in ((s, aligned, "score"), (t, cohort, "target")):
                 feed = self._feed_of(r)
-                rows_of = self.feeds.slices(feed, when.where(F.col("model_id") == model), [r["source_column"]], keys=True)
+                asked = when.where(F.col("model_id") == model).withColumn("source_table", F.lit(r["source_table"]))
+                read = literals.get((model, t["source_table"]), [])
+                rows_of = self.feeds.slices(feed, asked, read, [r["source_column"]], keys=True)
                 keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
                 value = clean_double(F.col(r["source_column"])).alias(name)
                 plain = rows_of.select(*RUN, "side", "read_date", *keys, value)
@@ -253,7 +258,7 @@ class Monitor:
 
     # -- joint inputs ---------------------------------------------------------------
 
-    def _correlations(self, dates: DataFrame) -> list[DataFrame]:
+    def _correlations(self, dates: DataFrame, literals: dict) -> list[DataFrame]:
         out = []
         for model, rows in by_model(self.feeds.rows).items():
             inputs = [r for r in rows if r["var_type"] in ("raw", "input") and r["data_type"] == "numeric"]
@@ -274,7 +279,7 @@ class Monitor:
                     anchor, [*RUN, "side", "read_date"], "left_semi"
                 )
                 columns = list(dict.fromkeys(r["source_column"] for r in mine))
-                rows_of = self.feeds.slices(feed, when, columns, keys=True)
+                rows_of = self.feeds.slices(feed, when, literals.get((model, source), []), columns, keys=True)
                 keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
                 labels = [f"x{len(names) + i}" for i in range(len(mine))]
                 names += labels
@@ -292,22 +297,26 @@ class Monitor:
 
     # -- summaries ------------------------------------------------------------------
 
-    def _summaries(self, dates: DataFrame) -> DataFrame:
+    def _summaries(self, numbers, texts, spread) -> DataFrame:
         kinds = self.feeds.metadata.select("model_id", "variable", "var_type", "data_type")
-        frames = []
-        current = dates.where(F.col("side") == "current")
-        numbers = self.feeds.observations(current, True)
-        texts = self.feeds.observations(current, False)
+        owner = ["model_id", "variable", "var_type"]
+        tasks = []
         if numbers is not None:
-            typed = numbers.join(kinds, ["model_id", "variable", "var_type"])
-            numeric = typed.where(F.col("data_type") == "numeric").select(*numbers.columns)
-            other = typed.where(F.col("data_type") != "numeric")
-            frames.append(summary.numeric_summary(numeric, stability.quantiles(numeric)))
-            counted = summary.count_summary(other, "").drop("data_type").join(kinds, ["model_id", "variable", "var_type"])
-            frames.append(counted.select(*SUMMARY_COLUMNS))
+            numeric_kinds = bounded(kinds.where(F.col("data_type") == "numeric").select(*owner))
+            other_kinds = bounded(kinds.where(~F.col("data_type").isin("numeric", "categorical")))
+            numeric = numbers.join(numeric_kinds, owner, "left_semi")
+            other = numbers.join(other_kinds.select(*owner), owner, "left_semi")
+            deciles = spread
+            loose = numeric.where(F.col("var_type") == "target")
+            if any(r["var_type"] == "target" and r["data_type"] == "numeric" for r in self.feeds.rows):
+                deciles = spread.unionByName(stability.quantiles(loose))
+            tasks.append(lambda: summary.numeric_summary(numeric, deciles))
+            tasks.append(
+                lambda: summary.count_summary(other, "").drop("data_type").join(other_kinds, owner).select(*SUMMARY_COLUMNS)
+            )
         if texts is not None:
-            frames.append(summary.categorical_summary(texts))
-        return union_all(frames)
+            tasks.append(lambda: summary.categorical_summary(texts))
+        return union_all(all_reliable(tasks))
 
     # -- roll-ups -------------------------------------------------------------------
 
