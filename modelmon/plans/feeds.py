@@ -68,6 +68,7 @@ class Feeds:
         config: ConfigTables,
         models: list[str] | None = None,
         overrides: dict[str, DataFrame] | None = None,
+        skip_unknown: bool = False,
     ) -> None:
         self.spark, self.config = spark, config
         self.overrides = overrides or {}
@@ -93,7 +94,9 @@ class Feeds:
         joined = self.metadata.join(self.tables.drop("process_date"), ["model_id", "source_table"], "left")
         self.rows = sorted(joined.collect(), key=lambda r: (r["model_id"], r["var_type"], r["variable"]))
         unknown = sorted({f"{r['model_id']}: {r['source_table']}" for r in self.rows if r["table_role"] is None})
-        if unknown:
+        if unknown and skip_unknown:
+            self.rows = [r for r in self.rows if r["table_role"] is not None]
+        elif unknown:
             raise MissingConfig(f"table metadata not found for {unknown}")
         self.feeds = self._group()
         self._present: DataFrame | None = None
