@@ -38,11 +38,15 @@ def date_pattern(pattern: str | None) -> str | None:
 def parse_date(column: Column, pattern: str | None = None) -> Column:
     """Source value -> date; null where the text does not parse.
 
-    Without a pattern the first ten characters are read as an ISO date.
+    Without a pattern the first ten characters are read as an ISO date. Two-digit years mean
+    1969 to 2068.
     """
     text = column.cast("string")
     if pattern:
-        return F.try_to_timestamp(text, F.lit(date_pattern(pattern))).cast("date")
+        parsed = F.try_to_timestamp(text, F.lit(date_pattern(pattern))).cast("date")
+        if "%y" in pattern:
+            parsed = F.when(F.year(parsed) > 2068, F.add_months(parsed, -1200)).otherwise(parsed)
+        return parsed
     return F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
 
 

@@ -79,11 +79,12 @@ def fit(pairs: DataFrame) -> DataFrame:
     return _by_side(per_side, ["brier", "slope"])
 
 
-def lift(pairs: DataFrame) -> DataFrame:
-    """Event rate of the best tenth over the overall rate, per side.
+def top_tile(pairs: DataFrame) -> DataFrame:
+    """The best of ten equal tiles per side: its rows, known outcomes and events, and the rest.
 
-    The first of ten equal tiles holds ceil(n/10) rows. Rows that tie at its border enter in
-    tie order, found by a second order statistic over the tied rows only.
+    The first tile holds ceil(n/10) rows, best score first and missing scores last. Rows that
+    tie at its border enter in tie order, found by a second order statistic over the tied rows
+    only, so no group is ever sorted as a whole.
     """
     low = F.lit(float("-inf"))
     rows = pairs.select(
@@ -97,21 +98,22 @@ def lift(pairs: DataFrame) -> DataFrame:
     weights = ["n", "events", "known"]
     top_border = Rank("n", lambda total: F.call_function("div", total * 9, F.lit(10)) + 1)
     border = cut_points(rows, SIDE_KEYS, "score", weights, {"n": ["n"]}, [top_border])
-    border = border.select(
-        *SIDE_KEYS,
-        F.col("cut").alias("border"),
-        F.col("total_n").alias("all_n"),
-        (F.col("total_events") / F.col("total_known")).alias("overall"),
-        (F.call_function("div", F.col("total_n") + 9, F.lit(10)) - (F.col("total_n") - F.col("upto_n"))).alias("need"),
-        (F.col("total_events") - F.col("upto_events")).alias("events_above"),
-        (F.col("total_known") - F.col("upto_known")).alias("known_above"),
+    border = reliable(
+        border.select(
+            *SIDE_KEYS,
+            F.col("cut").alias("border"),
+            F.col("total_n").alias("all_n"),
+            "total_events",
+            "total_known",
+            (F.call_function("div", F.col("total_n") + 9, F.lit(10)) - (F.col("total_n") - F.col("upto_n"))).alias("need"),
+            (F.col("total_events") - F.col("upto_events")).alias("events_above"),
+            (F.col("total_known") - F.col("upto_known")).alias("known_above"),
+        )
     )
-    border = reliable(border)
     edge = bounded(border.select(*SIDE_KEYS, F.col("border").alias("score"), "need"))
     tied = rows.join(edge, [*SIDE_KEYS, "score"])
-    inner_keys = [*SIDE_KEYS, "need"]
     last_in = Rank("n", lambda total: F.least(F.col("need"), total))
-    taken = cut_points(tied, inner_keys, "tie", weights, {"n": ["n"]}, [last_in])
+    taken = cut_points(tied, [*SIDE_KEYS, "need"], "tie", weights, {"n": ["n"]}, [last_in])
     # Rows that share the last tie value (never, with unique keys) enter by their share.
     short = (F.col("need") - (F.col("upto_n") - F.col("at_n"))) / F.col("at_n")
     taken = taken.select(
@@ -119,13 +121,22 @@ def lift(pairs: DataFrame) -> DataFrame:
         (F.col("upto_events") - F.col("at_events") + F.col("at_events") * short).alias("events_tied"),
         (F.col("upto_known") - F.col("at_known") + F.col("at_known") * short).alias("known_tied"),
     )
-    top = F.try_divide(F.col("events_above") + F.col("events_tied"), F.col("known_above") + F.col("known_tied"))
-    value = F.when(F.col("overall") != 0, F.try_divide(top, F.col("overall"))).otherwise(0.0)
-    return _by_side(
-        border.join(taken, SIDE_KEYS).withColumns({"lift": value, "n": F.col("all_n")}), ["lift"]
+    return border.join(taken, SIDE_KEYS).select(
+        *SIDE_KEYS, F.col("all_n").alias("n"), "total_events", "total_known",
+        F.call_function("div", F.col("all_n") + 9, F.lit(10)).alias("tile_rows"),
+        (F.col("events_above") + F.col("events_tied")).alias("tile_events"),
+        (F.col("known_above") + F.col("known_tied")).alias("tile_known"),
     )
 
 
+def lift(pairs: DataFrame) -> DataFrame:
+    """Event rate of the best tenth over the overall rate, per side."""
+    overall = F.try_divide("total_events", "total_known")
+    top = F.try_divide("tile_events", "tile_known")
+    value = F.when(overall != 0, F.try_divide(top, overall)).otherwise(0.0)
+    return _by_side(top_tile(pairs).withColumn("lift", value), ["lift"])
+
+
 def separation(pairs: DataFrame) -> DataFrame:
     """KS distance between the scores of the two outcomes, per side."""
     rows = pairs.where(F.col("target").isin(0.0, 1.0)).select(

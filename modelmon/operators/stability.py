@@ -121,6 +121,11 @@ def canonical_psi(rows: DataFrame, bins: DataFrame, dynamic: DataFrame, numeric:
     return stored.unionByName(fallback)
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation; null (not an error) where a column is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlation(wide: DataFrame, columns: list[str], keys: list[str] = KEYS) -> DataFrame:
     """Strongest absolute correlation between any two columns, per side.
 
@@ -132,9 +137,9 @@ def correlation(wide: DataFrame, columns: list[str], keys: list[str] = KEYS) ->
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         chunk = pairs[start : start + PAIRS_PER_PASS]
         found = filled.groupBy(*keys, "side").agg(
-            *[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(chunk)], F.count("*").alias("n")
+            *[_correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(chunk)], F.count("*").alias("n")
         )
-        strengths = [F.coalesce(F.abs(F.nanvl(F.col(f"c{i}"), F.lit(0.0))), F.lit(0.0)) for i in range(len(chunk))]
+        strengths = [F.coalesce(F.abs(F.col(f"c{i}")), F.lit(0.0)) for i in range(len(chunk))]
         passes.append(
             found.select(*keys, "side", "n", F.greatest(F.lit(CORRELATION_FLOOR), *strengths).alias("strongest"))
         )

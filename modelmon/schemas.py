@@ -104,7 +104,9 @@ def partition_columns(table: str) -> list[str]:
     return [c for c in columns(table) if c in PARTITIONS][-2:] if table != "calendar" else []
 
 
-def create_tables(spark: SparkSession, database: str | None = None, tables: list[str] | None = None) -> DataFrame:
+def create_tables(
+    spark: SparkSession, database: str | None = None, tables: list[str] | None = None, location: str | None = None
+) -> DataFrame:
     """Create the (partitioned) Parquet tables that do not exist yet; lists them."""
     made = []
     for table in tables or list(TABLES):
@@ -112,6 +114,7 @@ def create_tables(spark: SparkSession, database: str | None = None, tables: list
         parts = partition_columns(table)
         ddl = get(table).toDDL()
         by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{by}")
+        where = f" LOCATION '{location}/{table}'" if location else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{by}{where}")
         made.append((name, len(get(table)), ",".join(parts)))
     return spark.createDataFrame(made, "table_name string, n_columns int, partitions string")

@@ -12,7 +12,7 @@ GLOBAL_MODEL = "global"
 def parse_list(column: Column) -> Column:
     """JSON array, or comma-separated text, as array<string>. Empty text gives no entries."""
     text = F.coalesce(column.cast("string"), F.lit(""))
-    entries = F.transform(F.split(text, ","), F.trim)
+    entries = F.transform(F.split(text, ","), lambda x: F.trim(x))
     loose = F.filter(entries, lambda x: x != "")
     is_json = F.trim(text).rlike(r"^(\[.*\]|\{.*\}|\".*\"|-?[0-9.]+|true|false|null)$")
     listed = F.from_json(text, "array<string>", {"mode": "PERMISSIVE"})
