@@ -1,5 +1,5 @@
 def all_checks():
     """The catalog with every check registered."""
-    from checks import calendars, catalog, configs, metrics  # noqa: F401
+    from checks import calendars, catalog, configs, dashboards, metrics, runs  # noqa: F401
 
     return catalog
