@@ -448,7 +448,7 @@ def monitor_orders(t):
 
 
 def order_model(t: Tables):
-    """Configuration and sources of a monthly model over the order tables: 14 variables, 5 tables."""
+    """Configuration of a monthly model over the order tables: 14 variables in 5 source tables."""
     o = t.orders.withColumns({"month": F.date_format("o_orderdate", "yyyyMM"), "customer": F.col("o_orderkey")})
     li = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").alias("qty"), F.avg("l_discount").alias("disc"), F.sum("l_extendedprice").alias("ext"), F.avg("l_tax").alias("tax"),
@@ -474,14 +474,18 @@ def order_model(t: Tables):
         ("score", "score", "numeric", "scores"), ("target", "target", "binary", "targets"),
     ]
     spark, d, model = t.spark, "1995-01-01", data.MODEL
-    meta = spark.createDataFrame([(v, vt, dt, s, v, d, model) for v, vt, dt, s in variables], "variable string, var_type string, data_type string, source_table string, source_column string, process_date string, model_id string")
+    base = scratch(t, "sources")
+    for name, df in sources.items():
+        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{base}/{name}")
+    variables = [(v, vt, dt, f"{base}/{s}", v, d, model) for v, vt, dt, s in variables]
+    meta = spark.createDataFrame(variables, "variable string, var_type string, data_type string, source_table string, source_column string, process_date string, model_id string")
     roles = {"raw_orders": "raw", "inputs": "input", "features": "processed", "scores": "score", "targets": "target"}
     conf = spark.createDataFrame(
-        [(r, s, "HIVE", "", s, '["o_orderkey"]', '["o_orderkey"]', "month", "%Y%m", 84, 2 if s == "targets" else 0, "", "[]", "first", False, True, 10, d, model) for s, r in roles.items()],
+        [(r, s, "PARQUET", "", f"{base}/{s}", '["o_orderkey"]', '["o_orderkey"]', "month", "%Y%m", 84, 2 if s == "targets" else 0, "", "[]", "first", False, True, 10, d, model) for s, r in roles.items()],
         "table_role string, table_name string, source_type string, source_schema string, source_table string, entity_key_columns string, canonical_key_columns string, date_column string, date_format string, history_months int, lag int, sql_transform string, partition_columns string, reading_mode string, use_business_days boolean, active boolean, deadline_days int, process_date string, model_id string",
     )
     model_row = spark.createDataFrame([("Orders", "active", 0.5, "monthly", d, model)], "model_name string, status string, cut_off_probability double, frequency string, process_date string, model_id string")
-    return ConfigTables(model_row, meta, conf, data.calendar(t)), sources
+    return ConfigTables(model_row, meta, conf, data.calendar(t))
 
 
 def order_runs(t: Tables):
@@ -491,15 +495,13 @@ def order_runs(t: Tables):
 
 @check("run_metrics")
 def run_metrics(t):
-    tables, sources = order_model(t)
-    found = Monitor(t.spark, tables, overrides=sources).run(order_runs(t)).results
+    found = Monitor(t.spark, order_model(t)).run(order_runs(t)).results
     return found.select("model_id", "information_date", "var_type", "variable", "metric_name", r6("metric_value", 9).alias("metric_value"), "status")
 
 
 @check("run_model_date")
 def run_model_date(t):
-    tables, sources = order_model(t)
-    paths = run_models(t.spark, tables, order_runs(t), scratch(t, "run"), "exec", overrides=sources, as_of=F.lit("2001-08-01").cast("date"))
+    paths = run_models(t.spark, order_model(t), order_runs(t), scratch(t, "run"), "exec", as_of=F.lit("2001-08-01").cast("date"))
     found = t.spark.read.parquet(paths["scoring_summary"])
     return found.select(
         "model_id", F.col("information_date").cast("string").alias("information_date"), "control_data_availability", "control_pre_scoring",
@@ -509,8 +511,7 @@ def run_model_date(t):
 
 @check("train_model")
 def train_model(t):
-    tables, sources = order_model(t)
-    found = Trainer(t.spark, tables, overrides=sources).run("2001-08-01")["csi_psi_table"]
+    found = Trainer(t.spark, order_model(t)).run("2001-08-01")["csi_psi_table"]
     return found.select("model_id", "type", "variable", "bin", "bin_type", "count_dev")
 
 

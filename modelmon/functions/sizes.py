@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A broadcast side may hold this many rows (a few tens of megabytes at the widths used here).
 BROADCAST_ROWS = 200_000
@@ -13,19 +14,24 @@ BROADCAST_ROWS = 200_000
 PARALLEL_JOBS = 6
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder for intermediate tables that the cluster names in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/") if folder else None
+
+
 def reliable(df: DataFrame) -> DataFrame:
-    """Fix a frame in the cluster's checkpoint folder: computed once, safe from lost executors.
+    """Fix a frame as a table in the shared folder: computed once, safe from lost executors.
 
-    The folder is the session's ``spark.checkpoint.dir``. Without any folder the frame stays
-    lazy, which costs repeated work but changes no result.
+    Read back as a table it has a true size, so Spark chooses joins by it. Without any folder
+    the frame stays lazy, which costs repeated work but changes no result.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/fixed/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -33,7 +39,12 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def all_reliable(makers: list[Callable[[], DataFrame]]) -> list[DataFrame]:
-    """Build and fix several frames, a few jobs at a time."""
+def all_reliable(makers: list[Callable[[], DataFrame | None]]) -> list[DataFrame | None]:
+    """Build and fix several independent frames, a few jobs at a time."""
+
+    def fixed(make: Callable[[], DataFrame | None]) -> DataFrame | None:
+        df = make()
+        return None if df is None else reliable(df)
+
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        return list(pool.map(lambda make: reliable(make()), makers))
+        return list(pool.map(fixed, makers))

@@ -52,19 +52,28 @@ def from_pair(
 def unpivot(rows: DataFrame, variables: list[tuple[str, str, str]], numeric: bool) -> DataFrame:
     """Long observations from a source slice that already carries model, date and side.
 
-    ``variables`` lists (source column, variable, var_type).
+    ``variables`` lists (source column, variable, var_type). A source has one role as a rule, so
+    its variables are told apart by name; names used in two roles get a numbered label.
     """
-    entries = [
-        F.struct(
-            F.lit(var_type).alias("var_type"),
-            F.lit(variable).alias("variable"),
-            (clean_double(F.col(f"`{column}`")) if numeric else F.col(f"`{column}`").cast("string")).alias("value"),
-        )
-        for column, variable, var_type in variables
+    labels = [f"v{i}" for i in range(len(variables))]
+    ids = ["model_id", "information_date", "side"]
+    values = [
+        (clean_double(F.col(f"`{column}`")) if numeric else F.col(f"`{column}`").cast("string")).alias(label)
+        for label, (column, _, _) in zip(labels, variables)
     ]
-    return rows.select(
-        "model_id", "information_date", "side", F.explode(F.array(*entries)).alias("entry")
-    ).select("model_id", "information_date", "entry.var_type", "entry.variable", "side", "entry.value")
+    long = rows.select(*ids, *values).unpivot(ids, labels, "label", "value")
+
+    def named(position: int) -> Column:
+        texts = [v[position] for v in variables]
+        out = F.lit(texts[-1])
+        for label, text in list(zip(labels, texts))[:-1]:
+            if text != texts[-1]:
+                out = F.when(F.col("label") == label, text).otherwise(out)
+        return out
+
+    return long.select(
+        "model_id", "information_date", named(2).alias("var_type"), named(1).alias("variable"), "side", "value"
+    )
 
 
 def weighted(rows: DataFrame) -> DataFrame:

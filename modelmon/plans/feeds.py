@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from modelmon.functions.columns import union_all
-from modelmon.functions.dates import parse_date
+from modelmon.functions.dates import format_date
 from modelmon.functions.sizes import all_reliable, bounded, reliable
 from modelmon.operators.calendar import resolve_dates
 from modelmon.operators.observations import unpivot
@@ -99,7 +99,7 @@ class Feeds:
         elif unknown:
             raise MissingConfig(f"table metadata not found for {unknown}")
         self.feeds = self._group()
-        self._present: DataFrame | None = None
+        self._held: DataFrame | None = None
 
     def _group(self) -> list[Feed]:
         grouped: dict[tuple, Feed] = {}
@@ -118,6 +118,12 @@ class Feeds:
         base = self.overrides.get(feed.source_table)
         return reader.transform(base, feed.spec.sql_transform) if base is not None else reader.source(self.spark, feed.spec)
 
+    def _per_source_dates(self, feeds: list[Feed], dates) -> DataFrame:
+        def labelled(feed: Feed) -> DataFrame:
+            return dates(feed).distinct().select(F.lit(feed.source_table).alias("source_table"), "*")
+
+        return reliable(union_all(all_reliable([lambda f=f: labelled(f) for f in feeds])).distinct())
+
     def present_dates(self, modes: list[str] | None = None) -> DataFrame | None:
         """(source_table, date) held by the sources; with ``modes``, only of sources read so."""
         wanted = [
@@ -126,17 +132,17 @@ class Feeds:
         ]
         if not wanted:
             return None
-        if modes is None and self._present is not None:
-            return self._present
-
-        def dates(feed: Feed) -> DataFrame:
-            found = reader.source_dates(self.load(feed), feed.spec.date_column, feed.spec.date_format)
-            return found.select(F.lit(feed.source_table).alias("source_table"), "date")
+        return self._per_source_dates(
+            wanted, lambda f: reader.source_dates(self.load(f), f.spec.date_column, f.spec.date_format)
+        )
 
-        held = union_all(all_reliable([lambda f=f: dates(f) for f in wanted])).distinct()
-        if modes is None:
-            self._present = held = reliable(held)
-        return held
+    def held_texts(self) -> DataFrame:
+        """(source_table, source_date): every date a source holds, as it stores it."""
+        if self._held is None:
+            self._held = self._per_source_dates(
+                self.feeds, lambda f: self.load(f).select(reader.date_text(F.col(f"`{f.spec.date_column}`")).alias("source_date"))
+            )
+        return self._held
 
     def per_source(self) -> DataFrame:
         """(model, source) rows with what date resolution needs."""
@@ -155,10 +161,22 @@ class Feeds:
             per_source = per_source.withColumn("lag", lag)
         expanded = asked.join(per_source, "model_id")
         resolved = resolve_dates(expanded, self.config.calendar, self.present_dates(PARTITION_MODES))
-        return resolved.select(
-            "model_id", F.date_format("information_date", "yyyy-MM-dd").alias("information_date"),
-            "source_table", "reading_mode", "side", "read_date",
+        named = self.with_source_date(resolved).withColumn(
+            "information_date", F.date_format("information_date", "yyyy-MM-dd")
         )
+        # Dates that a source stores under one text are one date to read.
+        return named.groupBy(
+            "model_id", "information_date", "source_table", "reading_mode", "side", "source_date"
+        ).agg(F.min("read_date").alias("read_date"))
+
+    def with_source_date(self, dates: DataFrame) -> DataFrame:
+        """Add the text under which each source stores a date to read."""
+        text = format_date(F.col("read_date"))
+        for feed in self.feeds:
+            if feed.spec.date_format:
+                own = format_date(F.col("read_date"), feed.spec.date_format)
+                text = F.when(F.col("source_table") == feed.source_table, own).otherwise(text)
+        return dates.withColumn("source_date", text)
 
     # -- rows -----------------------------------------------------------------------
 
@@ -182,8 +200,9 @@ class Feeds:
     ) -> DataFrame:
         """Rows of one source for every (model, date, side) they serve.
 
-        The dates to read are few; they become literals, so source partitions are pruned. The
-        date table is broadcast when counted small, so source rows are not shuffled here.
+        The dates to read are few; they become literals, so source partitions are pruned. They
+        meet the rows as the text the source stores, so no date is parsed per row, and the date
+        table is broadcast when counted small, so source rows are not shuffled here.
         """
         spec = feed.spec
         if not spec.date_column:
@@ -193,13 +212,13 @@ class Feeds:
         df = reader.project(df, wanted, spec.table_or_path)
         serving = dates.where(
             (F.col("source_table") == feed.source_table) & F.col("model_id").isin(feed.models)
-        ).select("model_id", "information_date", "side", "read_date")
+        ).select("model_id", "information_date", "side", "source_date", "read_date")
         df = reader.on_dates(df, spec.date_column, sorted(literals), spec.date_format) if literals else df.where(F.lit(False))
-        df = df.withColumn("read_date", parse_date(F.col(f"`{spec.date_column}`"), spec.date_format))
+        df = df.withColumn("source_date", reader.date_text(F.col(f"`{spec.date_column}`")))
         if keys:
             df = reader.canonical_keys(df, spec.key_columns, spec.canonical_keys)
         clash = [c for c in ("model_id", "information_date", "side") if c in df.columns]
-        return df.drop(*clash).join(bounded(serving), "read_date")
+        return df.drop(*clash).join(bounded(serving), "source_date").drop("source_date")
 
     def observations(self, dates: DataFrame, literals: dict, numeric: bool) -> DataFrame | None:
         """Long observations of all numeric (or all text) variables."""

@@ -84,15 +84,19 @@ class Monitor:
         dates = reliable(self.feeds.resolve(runs))
         found = reliable(self._found(dates))
         literals = self.feeds.read_dates(dates)
-        missing = reliable(self._missing(runs, dates, found))
         numbers = self.feeds.observations(dates, literals, True)
         texts = self.feeds.observations(dates, literals, False)
-        spread = None
+        shared: dict[str, Callable[[], DataFrame | None]] = {
+            "missing": lambda: self._missing(runs, dates, found),
+            "pairs": lambda: self.pairs(runs, dates, literals),
+        }
         if numbers is not None:
-            spread = reliable(stability.quantiles(numbers.where(F.col("var_type") != "target")))
-        pairs = self.pairs(runs, dates, literals)
-        pairs = None if pairs is None else reliable(pairs)
-        tasks = self._measures(dates, literals, found, numbers, texts, spread, pairs)
+            shared["spread"] = lambda: stability.quantiles(numbers.where(F.col("var_type") != "target"))
+        if texts is not None:
+            shared["dynamic"] = lambda: stability.dynamic_categories(texts)
+        fixed = dict(zip(shared, all_reliable(list(shared.values()))))
+        missing, spread = fixed["missing"], fixed.get("spread")
+        tasks = self._measures(dates, literals, found, numbers, texts, spread, fixed.get("dynamic"), fixed["pairs"])
         results = union_all(all_reliable(tasks))
         wanted = thresholds.applicable_metrics(self.feeds.metadata.select("model_id", "variable", "var_type", "data_type"))
         wanted = wanted.select("model_id", "variable", "var_type", "metric_name").unionByName(self._joint_wanted())
@@ -119,9 +123,8 @@ class Monitor:
 
     def _found(self, dates: DataFrame) -> DataFrame:
         """Current read dates that the sources really hold."""
-        held = self.feeds.present_dates()
         return dates.where(F.col("side") == "current").join(
-            held.withColumnRenamed("date", "read_date"), ["source_table", "read_date"], "left_semi"
+            self.feeds.held_texts(), ["source_table", "source_date"], "left_semi"
         )
 
     def _missing(self, runs: DataFrame, dates: DataFrame, found: DataFrame) -> DataFrame:
@@ -134,7 +137,7 @@ class Monitor:
             F.count("*").cast("int").alias("variables_missing"),
         )
 
-    def _measures(self, dates, literals, found, numbers, texts, spread, pairs) -> list[Callable[[], DataFrame]]:
+    def _measures(self, dates, literals, found, numbers, texts, spread, dynamic, pairs) -> list[Callable[[], DataFrame]]:
         """One small job per family; each yields metric rows."""
         bins, get = self._bins(), registry.get
         tasks: list[Callable[[], DataFrame]] = []
@@ -165,7 +168,6 @@ class Monitor:
             add(["psi_target"], lambda: target.target_psi(targets, bins))
         if texts is not None:
             top_n, largest = self._top_n()
-            dynamic = reliable(stability.dynamic_categories(texts))
             add(["null_rate", "population_variation"], lambda: quality.text_counts(texts))
             add(["cardinality_ratio"], lambda: quality.distinct(texts))
             add(
@@ -184,8 +186,8 @@ class Monitor:
                 ("lift", ["lift_top_decile"]), ("separation", ["ks_score_target"]),
             ):
                 add(names, lambda family=family: registry.family(family)(pairs))
-        for table in self._correlations(dates, literals):
-            add(["correlation_drift"], lambda table=table: table)
+        for joint in self._correlations(dates, literals):
+            add(["correlation_drift"], joint)
         return tasks
 
     # Families measured above; anything else registered by a user runs on all observations.
@@ -207,7 +209,7 @@ class Monitor:
         current = dates.where(F.col("side") == "current")
 
         def keyed(df: DataFrame) -> DataFrame:
-            return df.join(variables, ["model_id", "source_table"]).select(*KEYS, F.col("read_date").alias("date"))
+            return df.join(variables, ["model_id", "source_table"]).select(*KEYS, F.col("source_date").alias("date"))
 
         return quality.completeness(keyed(current), keyed(found))
 
@@ -238,7 +240,9 @@ class Monitor:
             sides = []
             for r, when, name in ((s, aligned, "score"), (t, cohort, "target")):
                 feed = self._feed_of(r)
-                asked = when.where(F.col("model_id") == model).withColumn("source_table", F.lit(r["source_table"]))
+                asked = self.feeds.with_source_date(
+                    when.where(F.col("model_id") == model).withColumn("source_table", F.lit(r["source_table"]))
+                )
                 read = literals.get((model, t["source_table"]), [])
                 rows_of = self.feeds.slices(feed, asked, read, [r["source_column"]], keys=True)
                 keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
@@ -258,43 +262,46 @@ class Monitor:
 
     # -- joint inputs ---------------------------------------------------------------
 
-    def _correlations(self, dates: DataFrame, literals: dict) -> list[DataFrame]:
+    def _correlations(self, dates: DataFrame, literals: dict) -> list[Callable[[], DataFrame]]:
         out = []
         for model, rows in by_model(self.feeds.rows).items():
             inputs = [r for r in rows if r["var_type"] in ("raw", "input") and r["data_type"] == "numeric"]
-            if len(inputs) < 2:
-                continue
-            single = next((r for r in inputs if r["reading_mode"] in SINGLE_MODES), None)
-            leader = single or inputs[0]
-            anchor = dates.where((F.col("model_id") == model) & (F.col("source_table") == leader["source_table"]))
-            anchor = anchor.select(*RUN, "side", "read_date")
-            if single is None:
-                anchor = anchor.groupBy(*RUN, "side").agg(F.min("read_date").alias("read_date"))
-            tables: list[tuple[DataFrame, list[str]]] = []
-            names: list[str] = []
-            for source in dict.fromkeys(r["source_table"] for r in inputs):
-                mine = [r for r in inputs if r["source_table"] == source]
-                feed = self._feed_of(mine[0])
-                when = dates.where((F.col("source_table") == source) & (F.col("model_id") == model)).join(
-                    anchor, [*RUN, "side", "read_date"], "left_semi"
-                )
-                columns = list(dict.fromkeys(r["source_column"] for r in mine))
-                rows_of = self.feeds.slices(feed, when, literals.get((model, source), []), columns, keys=True)
-                keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
-                labels = [f"x{len(names) + i}" for i in range(len(mine))]
-                names += labels
-                plain = rows_of.select(
-                    *RUN, "side", "read_date", *keys,
-                    *[clean_double(F.col(r["source_column"])).alias(x) for r, x in zip(mine, labels)],
-                )
-                tables.append((self._one_row(plain, [*RUN, "side", "read_date", *keys], labels), keys))
-            keys = reduce(lambda a, b: [k for k in a if k in b], [k for _, k in tables])
-            on = [*RUN, "side", "read_date", *keys]
-            wide = reduce(lambda a, b: a.join(b, on), [df for df, _ in tables])
-            keyed = wide.withColumns({"var_type": F.lit(INPUTS_TYPE), "variable": F.lit(INPUTS_VARIABLE)})
-            out.append(stability.correlation(keyed, names).where(F.col("n_cur") > 0))
+            if len(inputs) > 1:
+                out.append(lambda model=model, inputs=inputs: self._correlation(model, inputs, dates, literals))
         return out
 
+    def _correlation(self, model: str, inputs: list, dates: DataFrame, literals: dict) -> DataFrame:
+        """Joint inputs of one model: one join per source table, at the anchor dates."""
+        single = next((r for r in inputs if r["reading_mode"] in SINGLE_MODES), None)
+        leader = single or inputs[0]
+        anchor = dates.where((F.col("model_id") == model) & (F.col("source_table") == leader["source_table"]))
+        anchor = anchor.select(*RUN, "side", "read_date")
+        if single is None:
+            anchor = anchor.groupBy(*RUN, "side").agg(F.min("read_date").alias("read_date"))
+        tables: list[tuple[DataFrame, list[str]]] = []
+        names: list[str] = []
+        for source in dict.fromkeys(r["source_table"] for r in inputs):
+            mine = [r for r in inputs if r["source_table"] == source]
+            feed = self._feed_of(mine[0])
+            when = dates.where((F.col("source_table") == source) & (F.col("model_id") == model)).join(
+                anchor, [*RUN, "side", "read_date"], "left_semi"
+            )
+            columns = list(dict.fromkeys(r["source_column"] for r in mine))
+            rows_of = self.feeds.slices(feed, when, literals.get((model, source), []), columns, keys=True)
+            keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
+            labels = [f"x{len(names) + i}" for i in range(len(mine))]
+            names += labels
+            plain = rows_of.select(
+                *RUN, "side", "read_date", *keys,
+                *[clean_double(F.col(r["source_column"])).alias(x) for r, x in zip(mine, labels)],
+            )
+            tables.append((self._one_row(plain, [*RUN, "side", "read_date", *keys], labels), keys))
+        keys = reduce(lambda a, b: [k for k in a if k in b], [k for _, k in tables])
+        on = [*RUN, "side", "read_date", *keys]
+        wide = reduce(lambda a, b: a.join(b, on), [df for df, _ in tables])
+        keyed = wide.withColumns({"var_type": F.lit(INPUTS_TYPE), "variable": F.lit(INPUTS_VARIABLE)})
+        return stability.correlation(keyed, names).where(F.col("n_cur") > 0)
+
     # -- summaries ------------------------------------------------------------------
 
     def _summaries(self, numbers, texts, spread) -> DataFrame:
@@ -323,8 +330,7 @@ class Monitor:
     def availability(self, runs: DataFrame, as_of: Column | None = None) -> DataFrame:
         asked = runs.select("model_id", F.col("information_date").cast("date").alias("information_date")).distinct()
         configured = asked.join(self.feeds.tables.select("model_id", "source_schema", "source_table", "deadline_days"), "model_id")
-        held = self.feeds.present_dates()
-        return data_availability(configured, newest_dates(held), as_of)
+        return data_availability(configured, newest_dates(self.feeds.present_dates()), as_of)
 
 
 def run_models(

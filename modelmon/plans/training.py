@@ -57,10 +57,12 @@ class Trainer:
         refs = refs.select("model_id", F.col("reference_date").alias("ref_date"))
         expanded = refs.join(self.feeds.per_source(), "model_id")
         read = dev_dates(expanded, self.config.calendar, self.feeds.present_dates(PARTITION_MODES))
-        return read.select(
-            "model_id", F.lit(process_date).alias("information_date"), "source_table", F.lit("current").alias("side"),
-            "read_date",
-        ).distinct()
+        named = self.feeds.with_source_date(read).withColumns(
+            {"information_date": F.lit(process_date), "side": F.lit("current")}
+        )
+        return named.groupBy("model_id", "information_date", "source_table", "side", "source_date").agg(
+            F.min("read_date").alias("read_date")
+        )
 
     def run(self, process_date: str, information_date: str | None = None) -> dict[str, DataFrame]:
         """The three artefact tables. Variables without data give no rows."""

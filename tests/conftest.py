@@ -13,7 +13,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("modelmon-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="modelmon-wh-"))
@@ -47,7 +47,7 @@ def frames(spark):
         return spark.createDataFrame(
             [(i, date, *(v if isinstance(v, tuple) else (v,))) for i, v in zip(ids, values)],
             f"customer_id long, information_date string, {name if ' ' in name else name + ' ' + dtype}",
-        )
+        ).coalesce(1)
 
     raw = make(CUR, list(zip(AGES, "ABAABACCBB")), "age double, category string", "")
     raw_base = make(BASE, list(zip(AGES_BASE, "CCCCCBBBAA")), "age double, category string", "")
