@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from modelmon.functions.sizes import bounded, reliable
+from modelmon.functions.sizes import fits, reliable
 
 FINE_PER_E = float(2**32)
 COARSE_SHIFT = 20
@@ -103,9 +103,10 @@ def cut_points(
     a target is a :class:`Grid` or a :class:`Rank` on one of them. Returns one row per key and
     reached target: ``by, step, cut, upto_<weight>, at_<weight>, total_<weight>``.
 
-    Two scans: one counts coarse buckets, the other keeps only the buckets that hold a target
-    (found by a broadcast of those buckets, whose number is counted first). Only those rows are
-    shuffled and sorted. Both small intermediate frames are fixed in the checkpoint folder.
+    Two scans: one counts coarse buckets, the other keeps only the buckets that hold a target.
+    Those buckets are broadcast if their counted number allows it, so only their rows are
+    shuffled and sorted; otherwise rows are combined by value before they meet the buckets.
+    Both small intermediate frames are fixed in the shared folder.
     """
     coded = rows.where(F.col(value).isNotNull()).withColumn("_fine", fine_bucket(F.col(value)))
     coded = coded.withColumn("_coarse", coarse_bucket(F.col("_fine")))
@@ -133,11 +134,13 @@ def cut_points(
         )
     )
 
-    leaf = reliable(
-        coded.join(bounded(chosen.select(*keys, "_coarse")), [*keys, "_coarse"], "left_semi")
-        .groupBy(*keys, "_coarse", "_fine", value)
-        .agg(*_sums(weights))
-    )
+    wanted, on = chosen.select(*keys, "_coarse"), [*keys, "_coarse"]
+    by_value = [*on, "_fine", value]
+    if fits(wanted):
+        leaf = coded.join(F.broadcast(wanted), on, "left_semi").groupBy(*by_value).agg(*_sums(weights))
+    else:
+        leaf = coded.groupBy(*by_value).agg(*_sums(weights)).join(wanted, on, "left_semi")
+    leaf = reliable(leaf)
     return _descend(leaf, chosen, keys, value, weights, ranks)
 
 

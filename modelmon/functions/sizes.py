@@ -20,23 +20,30 @@ def shared_folder(spark: SparkSession) -> str | None:
     return folder.rstrip("/") if folder else None
 
 
-def reliable(df: DataFrame) -> DataFrame:
+def reliable(df: DataFrame, required: bool = False) -> DataFrame:
     """Fix a frame as a table in the shared folder: computed once, safe from lost executors.
 
     Read back as a table it has a true size, so Spark chooses joins by it. Without any folder
-    the frame stays lazy, which costs repeated work but changes no result.
+    the frame stays lazy, which costs repeated work but changes no result; where a result does
+    depend on the fixed table, ``required`` refuses to go on.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
+        if required:
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         return df
     path = f"{folder}/fixed/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame marked for broadcast if it holds few enough rows; otherwise as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if fits(df, rows) else df
 
 
 def all_reliable(makers: list[Callable[[], DataFrame | None]]) -> list[DataFrame | None]:

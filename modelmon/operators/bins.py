@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key
 from modelmon.functions.ordering import Grid, cut_points, top_per_group
-from modelmon.functions.sizes import bounded
+from modelmon.functions.sizes import bounded, reliable
 from modelmon.operators.observations import value_counts, weighted
 
 PSI_EPSILON = 1e-6
@@ -181,31 +181,27 @@ def woe(positive: Column, negative: Column, total_positive: Column, total_negati
 def category_rank(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Every category with its share and its rank by frequency (ties by value, missing last).
 
-    Ranks come from three small running counts (over frequencies, over four-letter prefixes of
-    one frequency, and inside one prefix), so a variable with very many categories is never
-    sorted as a whole.
+    The counted categories are range-partitioned in rank order and fixed as a table with their
+    partition number; a rank is then the rows of earlier partitions plus the place inside one.
+    A variable with very many categories is spread like everything else.
     """
-    counted = category_counts(rows, keys).withColumns(
-        {"_null": F.col("value").isNull(), "_prefix": F.substring("value", 1, 4)}
+    spark = rows.sparkSession
+    order = [F.desc("count_dev"), F.col("value").isNull(), F.col("value")]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    spread = reliable(
+        category_counts(rows, keys).repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()),
+        required=True,
     )
-    seen = W.unboundedPreceding
-    part = counted.groupBy(*keys, "count_dev", "_null", "_prefix").agg(F.count("*").alias("_in_part"))
-    level = part.groupBy(*keys, "count_dev").agg(F.sum("_in_part").alias("_in_level"))
-    by_count = W.partitionBy(*keys).orderBy(F.desc("count_dev")).rowsBetween(seen, -1)
-    level = level.select(*keys, "count_dev", F.coalesce(F.sum("_in_level").over(by_count), F.lit(0)).alias("_above"))
-    by_prefix = W.partitionBy("count_dev", *keys).orderBy("_null", "_prefix").rowsBetween(seen, -1)
-    part = (
-        part.withColumn("_before", F.coalesce(F.sum("_in_part").over(by_prefix), F.lit(0)))
-        .join(level, [*keys, "count_dev"])
-        .select(*keys, "count_dev", "_null", F.coalesce("_prefix", F.lit("")).alias("_prefix"), (F.col("_above") + F.col("_before")).alias("_offset"))
+    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*keys)
+    per_part = spread.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.sum("count_dev").alias("_rows"))
+    per_part = per_part.select(
+        *keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"), F.sum("_rows").over(whole).alias("_total")
     )
-    by_value = W.partitionBy("_prefix", "count_dev", "_null", *keys).orderBy("value")
-    totals = rows.groupBy(*keys).agg(F.count("*").alias("_total"))
+    inside = W.partitionBy("_part", *keys).orderBy(*order)
     return (
-        counted.withColumn("_prefix", F.coalesce("_prefix", F.lit("")))
-        .withColumn("_rank", F.row_number().over(by_value))
-        .join(part, [*keys, "count_dev", "_null", "_prefix"])
-        .join(totals, keys)
+        spread.withColumn("_rank", F.row_number().over(inside))
+        .join(per_part, [*keys, "_part"])
         .select(
             *keys,
             F.col("value").alias("category_value"),
