@@ -178,7 +178,7 @@ PAIRS = [("price", "qty"), ("price", "disc"), ("price", "ext"), ("qty", "disc"),
 CORR = "greatest(1e-9, " + ", ".join(f"coalesce(nullif(abs(corr(coalesce({a}, 0), coalesce({b}, 0))), 'nan'::DOUBLE), 0)" for a, b in PAIRS) + ")"
 
 
-@metric("correlation_drift", f"{INP}, co AS (SELECT d, side, {CORR} AS r, count(*) AS n FROM inp GROUP BY 1, 2 HAVING count(*) > 1)",
+@metric("correlation_drift", f"{INP}, co AS (SELECT d, side, {CORR} AS r, count(*) AS n FROM inp GROUP BY 1, 2)",
         """SELECT d, '__INPUTS__' AS variable, CASE WHEN max(r) FILTER (side = 'baseline') IS NULL THEN max(r) FILTER (side = 'current')
   ELSE abs(max(r) FILTER (side = 'current') - max(r) FILTER (side = 'baseline')) END AS v, max(r) FILTER (side = 'baseline') AS b FROM co GROUP BY 1""")
 def correlation_drift(t):
