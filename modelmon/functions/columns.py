@@ -21,10 +21,6 @@ def is_baseline() -> Column:
     return F.col("side") == BASELINE
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator, and 0 where there is nothing to divide by."""
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
@@ -36,11 +32,6 @@ def clean_double(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def same(left: list[str], a: DataFrame, b: DataFrame) -> Column:
-    """Null-safe equality on several columns of two frames."""
-    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in left])
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y), frames)
 

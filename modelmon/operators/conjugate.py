@@ -20,7 +20,7 @@ def tie_order(key_columns: list[str]) -> Column:
     return F.shiftright(F.xxhash64(*key_columns), 11).cast("double")
 
 
-def join_pairs(scores: DataFrame, targets: DataFrame, on: list[str], keep: list[str] | None = None) -> DataFrame:
+def join_pairs(scores: DataFrame, targets: DataFrame, on: list[str]) -> DataFrame:
     """Inner join of score and target on their shared keys and date."""
     shared = [c for c in on if c in scores.columns and c in targets.columns]
     if not shared:
@@ -28,7 +28,7 @@ def join_pairs(scores: DataFrame, targets: DataFrame, on: list[str], keep: list[
     return scores.join(targets, shared, "inner")
 
 
-def as_pairs(joined: DataFrame, tie: Column, model_id: Column | None = None) -> DataFrame:
+def as_pairs(joined: DataFrame, tie: Column) -> DataFrame:
     """Name a joined frame (model_id, information_date, side, score, target) as pairs."""
     return joined.select(
         "model_id",

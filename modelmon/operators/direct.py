@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS
-from modelmon.operators import conjugate, registry, stability
+from modelmon.operators import conjugate, quality, registry, stability
 from modelmon.operators.bins import normalise_bins
 from modelmon.operators.observations import from_pair
 from modelmon.operators.thresholds import status_rule
@@ -106,9 +106,7 @@ def _family_table(metric, current, baseline, params, ids) -> DataFrame:
         )
         text = True
     if metric.family == "counts":
-        from modelmon.operators.quality import text_counts
-
-        return text_counts(rows) if text else build(rows, params.get("cut_off_probability", 0.5))
+        return quality.text_counts(rows) if text else build(rows, params.get("cut_off_probability", 0.5))
     if metric.family == "outliers":
         return build(rows, stability.quartiles(stability.quantiles(rows, n_bins)))
     if metric.family == "categories":

@@ -107,3 +107,28 @@ def test_schemas(spark):
     assert padded.columns == schemas.columns("metric_result") and padded.first()["metric_value"] is None
     with pytest.raises(KeyError):
         schemas.get("nope")
+
+
+def test_upsert_and_insert_ignore(spark):
+    old = spark.createDataFrame([("d1", True, 1), ("d2", True, 5)], "calendar_date string, is_business_day boolean, v int").coalesce(1)
+    new = spark.createDataFrame([("d1", False, 1), ("d2", False, 4), ("d3", True, 1)], "calendar_date string, is_business_day boolean, v int").coalesce(1)
+    rows = {r.calendar_date: (r.is_business_day, r.v) for r in sinks.upsert(old, new, ["calendar_date"], "v").collect()}
+    assert rows == {"d1": (False, 1), "d2": (True, 5), "d3": (True, 1)}
+    assert [r.calendar_date for r in sinks.insert_ignore(old, new, ["calendar_date"]).collect()] == ["d3"]
+    days = spark.createDataFrame([("2025-01-01",), ("2024-11-01",)], "calendar_date string").coalesce(1)
+    recent = sinks.recent_calendar(days.withColumn("calendar_date", F.col("calendar_date").cast("date")), F.lit("2025-01-15").cast("date"))
+    assert recent.count() == 1
+
+
+def test_views(spark):
+    from modelmon.operators import dashboard
+
+    res = spark.createDataFrame([("M", "d", "raw", "m1", 1.0, "RED"), ("M", "d", "score", "m2", 2.0, "GREEN")], "model_id string, information_date string, var_type string, metric_name string, metric_value double, status string")
+    alerts = spark.createDataFrame([("M", "d", "raw", "RED", 0.5), ("M", "d", "score", "GREEN", 0.1)], "model_id string, information_date string, var_type string, aggregate_status string, stress_ratio double")
+    log = spark.createDataFrame([("M", "d", "SUCCESS", 0)], "model_id string, information_date string, status string, variables_missing int")
+    for name, df in (("v_res", res), ("v_alerts", alerts), ("v_log", log)):
+        df.coalesce(1).createOrReplaceTempView(name)
+    dashboard.create_views(spark, "v_res", "v_alerts", "v_log", "v_sem", "v_sum")
+    assert spark.table("v_sem").count() == 4  # alerts meet every metric of the run
+    assert dashboard.semaphore_view(res, alerts, log, match_var_type=True).count() == 2
+    assert spark.table("v_sum").first()["raw_status"] == "RED"
