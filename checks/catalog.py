@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from modelmon.functions.sizes import shared_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -38,10 +39,10 @@ def check(name: str, sql: str | None = None):
 
 
 def prepare(spark: SparkSession) -> None:
-    """A checkpoint folder for sessions that name none (tests on one machine)."""
+    """Name the checkpoint folder of the session where it has none yet (see ``shared_folder``)."""
+    folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="modelmon-ck-"))
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch(tables: Tables, name: str) -> str:

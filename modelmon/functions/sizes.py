@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -14,25 +16,28 @@ BROADCAST_ROWS = 200_000
 PARALLEL_JOBS = 6
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder for intermediate tables that the cluster names in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder.rstrip("/") if folder else None
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the cluster names in ``spark.checkpoint.dir``.
 
+    Only where nothing is set and everything runs on one machine (master ``local``) a temporary folder is taken;
+    elsewhere executors would not see each other's files, so that is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="modelmon-shared-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
-def reliable(df: DataFrame, required: bool = False) -> DataFrame:
+
+def reliable(df: DataFrame) -> DataFrame:
     """Fix a frame as a table in the shared folder: computed once, safe from lost executors.
 
-    Read back as a table it has a true size, so Spark chooses joins by it. Without any folder
-    the frame stays lazy, which costs repeated work but changes no result; where a result does
-    depend on the fixed table, ``required`` refuses to go on.
+    Read back as a table it has a true size, so Spark chooses joins by it.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        if required:
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        return df
-    path = f"{folder}/fixed/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/fixed/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -189,8 +189,7 @@ def category_rank(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     order = [F.desc("count_dev"), F.col("value").isNull(), F.col("value")]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     spread = reliable(
-        category_counts(rows, keys).repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()),
-        required=True,
+        category_counts(rows, keys).repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id())
     )
     earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*keys)
