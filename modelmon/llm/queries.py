@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelmon.llm import simhash, simple8b
+from modelmon.llm import quality, simhash, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_simple8b")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.token_table(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
