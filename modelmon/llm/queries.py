@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelmon.llm import quality, simhash, simple8b
+from modelmon.llm import mixing, quality, simhash, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +50,54 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def _weights_sql(name: str, weights: dict[str, float]) -> str:
+    cases = " ".join(f"WHEN {name} = '{k}' THEN {v:.1f}::DOUBLE" for k, v in weights.items())
+    return f"CASE {cases} ELSE {mixing.OTHER_WEIGHT:.1f}::DOUBLE END" if cases else f"{mixing.OTHER_WEIGHT:.1f}::DOUBLE"
+
+
+def mixture_sql(documents: str, share: float, epochs: int, seed: int = mixing.SEED) -> str:
+    """Common table expressions that end in ``mixed``: every column of ``documents``, n_tokens and copies."""
+
+    def spread(out: str, nodes: str, family: str, name: str) -> str:
+        part = f"PARTITION BY {family}" if family else ""
+        return f"""
+    {out}_l AS (SELECT *, (family_budget - coalesce(sum(capacity) OVER ({part} ORDER BY capacity / weight, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+        / sum(weight) OVER ({part} ORDER BY capacity / weight, {name} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM {nodes}),
+    {out} AS (SELECT *, greatest(0.0, least(capacity, max(lv) OVER ({part}) * weight)) AS budget FROM {out}_l)"""
+
+    return f"""
+    base AS (
+        SELECT *, coalesce(source, '') AS leaf, coalesce(lang, '') AS language,
+            CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '' THEN 'other'
+                 ELSE 'd' || (right(regexp_extract(source, '([0-9]+)$', 1), 6)::INT % 4)::VARCHAR END AS domain,
+            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens
+        FROM {documents}),
+    leaves AS (SELECT domain, language, leaf, sum(n_tokens)::BIGINT AS tokens FROM base GROUP BY ALL),
+    n1 AS (SELECT domain, sum(tokens * {epochs})::DOUBLE AS capacity, {_weights_sql("domain", mixing.DOMAIN_WEIGHTS)} AS weight,
+        (SELECT floor(coalesce(sum(tokens), 0) * {share}::DOUBLE) FROM leaves) AS family_budget FROM leaves GROUP BY domain),
+    {spread("b1", "n1", "", "domain").strip()},
+    n2 AS (SELECT domain, language, sum(tokens * {epochs})::DOUBLE AS capacity, {_weights_sql("language", mixing.LANGUAGE_WEIGHTS)} AS weight,
+        any_value(b1.budget) AS family_budget FROM leaves JOIN b1 USING (domain) GROUP BY domain, language),
+    {spread("b2", "n2", "domain", "language").strip()},
+    n3 AS (SELECT domain, language, leaf, (tokens * {epochs})::DOUBLE AS capacity, {_weights_sql("leaf", mixing.SOURCE_WEIGHTS)} AS weight,
+        b2.budget AS family_budget, tokens FROM leaves JOIN b2 USING (domain, language)),
+    {spread("b3", "n3", "domain, language", "leaf").strip()},
+    plan AS (SELECT domain, language, leaf,
+        CASE WHEN tokens > 0 THEN floor(budget)::BIGINT // tokens ELSE 0 END AS whole_epochs,
+        CASE WHEN tokens > 0 THEN floor(budget)::BIGINT % tokens ELSE 0 END AS rest FROM b3),
+    ordered AS (SELECT base.*, whole_epochs, rest, sum(n_tokens) OVER (
+        PARTITION BY domain, language, leaf
+        ORDER BY md5('{seed}:' || whole_epochs || ':' || coalesce(doc_id::VARCHAR, 'null')), n_tokens
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM base JOIN plan USING (domain, language, leaf)),
+    mixed AS (SELECT *, CASE WHEN n_tokens = 0 THEN 0
+        ELSE whole_epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END END::BIGINT AS copies FROM ordered)"""
+
+
+@query(
+    "op8_mixing",
+    f"WITH {mixture_sql('documents', mixing.SHARE, mixing.EPOCHS)} SELECT doc_id, domain, language, leaf, n_tokens, copies FROM mixed",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
