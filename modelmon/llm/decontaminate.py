@@ -5,8 +5,9 @@ of the part's own BM25 score that a term gives, so a passage that holds every te
 A passage is ``2 * PART`` tokens and starts every ``PART``, so any run of ``PART`` tokens lies whole in one of them. Every
 passage of every text is queried for all parts with a score of ``THRESHOLD`` or more:
 
-* first over all passages at once: a part cannot reach the threshold without the terms that carry most of its score, so
-  passages whose bound over those terms is too low hold no pivot and end here;
+* first over all passages of a batch at once: a part cannot reach the threshold without some of the terms that carry most
+  of its score, so the postings of those terms alone, added up per half passage and part, bound every part's score, and
+  passages in which no part's bound is high enough hold no pivot and end here;
 * then block-max WAND over the postings: cursors in order of part, the pivot where the sum of term bounds reaches the
   threshold, block maxima checked before any score is added up.
 
@@ -65,7 +66,7 @@ class Index:
         self.items = [(key, *question_and_answer(text)) for key, text in items]
         self.vocabulary: dict[str, int] = {}
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        needed: dict[int, float] = defaultdict(float)
+        needed: dict[int, list[tuple[int, float]]] = defaultdict(list)
         self.part_item: list[int] = []
         self.item_ids = []
         for number, (_, question, answer) in enumerate(self.items):
@@ -89,15 +90,18 @@ class Index:
                     share = x / whole_score
                     postings[t].append((me, share))
                     if rest > COMMON_SHARE:
-                        needed[t] = max(needed[t], share)
+                        needed[t].append((me, share))
                     rest -= share
         self.parts = {t: [p for p, _ in some] for t, some in postings.items()}
         self.shares = {t: [x for _, x in some] for t, some in postings.items()}
         self.block_max = {t: [max(x[i : i + BLOCK]) for i in range(0, len(x), BLOCK)] for t, x in self.shares.items()}
         self.bound = {t: max(x) for t, x in self.block_max.items()}
-        self.needed = np.zeros(len(self.vocabulary) + 1)
-        for t, x in needed.items():
-            self.needed[t] = x
+        # The postings without those of a part's common terms, by term: a slice of two arrays.
+        self.needed_size = np.array([len(needed[t]) for t in range(len(self.vocabulary))] + [0], np.int64)
+        self.needed_start = np.cumsum(self.needed_size) - self.needed_size
+        flat = [p for t in range(len(self.vocabulary)) for p in needed[t]]
+        self.needed_part = np.array([p for p, _ in flat], np.int64)
+        self.needed_share = np.array([x for _, x in flat])
 
     def search(self, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """(part, score) of all parts that score ``threshold`` or more for a set of terms, by block-max WAND."""
@@ -158,6 +162,27 @@ class Index:
 
         return share(question), share(answer), share(question + answer)
 
+    def _passages(self, flat: np.ndarray, chunk: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The passages (by their first chunk) in which some part's bound allows the threshold."""
+        least, n_parts = THRESHOLD - COMMON_SHARE - _EPS, len(self.part_item)
+        useful = self.needed_size[flat] > 0
+        base = len(self.needed_size)
+        pairs = np.unique(chunk[useful] * base + flat[useful])
+        size = self.needed_size[pairs % base]
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        at = np.repeat(self.needed_start[pairs % base], size) + inside
+        keys, where = np.unique(np.repeat(pairs // base, size) * n_parts + self.needed_part[at], return_inverse=True)
+        if not len(keys):
+            return keys
+        bound = np.bincount(where, self.needed_share[at])
+        own = keys // n_parts
+        after = np.minimum(np.searchsorted(keys, keys + n_parts), len(keys) - 1)
+        joined = (keys[after] == keys + n_parts) & (owner[own] == owner[np.minimum(own + 1, len(owner) - 1)])
+        here = own[bound + np.where(joined, bound[after], 0.0) >= least]
+        # A part whose bound is in the second half of a passage alone.
+        ahead = own[(bound >= least) & (own > 0)] - 1
+        return np.unique(np.concatenate([here, ahead[owner[ahead] == owner[ahead + 1]]]))
+
     def scan(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, float, float]]:
         """(text number, item, score, question overlap, answer overlap) of the verified items in the texts."""
         unknown = len(self.vocabulary)
@@ -171,15 +196,10 @@ class Index:
         flat = np.concatenate(ids)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         chunk = np.repeat(first_chunk, sizes) + place // PART
-        useful = self.needed[flat] > 0
-        pairs = np.unique(chunk[useful] * (unknown + 1) + flat[useful])
-        bound = np.bincount(pairs // (unknown + 1), self.needed[pairs % (unknown + 1)], minlength=int(chunks.sum()))
         owner = np.repeat(np.arange(len(texts)), chunks)
-        both = bound.copy()
-        follows = np.nonzero(owner[1:] == owner[:-1])[0]
-        both[follows] += bound[follows + 1]
+        passages = self._passages(flat, chunk, owner)
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for c in np.nonzero(both >= THRESHOLD - COMMON_SHARE - _EPS)[0]:
+        for c in passages:
             text = int(owner[c])
             start = int(c - first_chunk[text]) * PART
             passage = np.unique(ids[text][start : start + 2 * PART])
