@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelmon.llm import decontaminate, mixing, quality, simhash, simple8b
+from modelmon.llm import decontaminate, html_region, mixing, quality, simhash, simple8b, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,3 +106,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_warc")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+@query("op10_html_region")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_region.extract(table(spark, sf_dir, "pages"))
