@@ -4,8 +4,8 @@ A page is a sequence of words and tags. A tag scores a small negative weight, a
 in; both weights are log-odds of being content, learned from labelled pages: pages with an ``article`` (else ``main``)
 element label their own words. One linear scan finds the contiguous run with the highest sum. A page that labels itself
 has positive words inside its label and negative ones outside; elements that no labelled page has are weak content. Words
-of menus, headers, footers, sidebars, notices, adverts, forms and reader comments score nothing, so that they do not cut
-an article in two, and never come out.
+and tags of menus, headers, footers, sidebars, notices, adverts, forms and reader comments score nothing, so that they do
+not cut an article in two, and never come out.
 """
 
 from __future__ import annotations
@@ -144,10 +144,10 @@ def main_text(page: str | None, known: dict[tuple[str, str], float]) -> str:
     best = total = 0.0
     start, best_from, best_to = 0, 0, 0
     for at, (kind, text, element, bad, good) in enumerate(pieces, 1):
-        if kind != "text":
-            score = INSIDE_TAG if good and not bad else known.get(("tag", text), -0.1)
-        elif bad:
+        if bad:
             score = 0.0
+        elif kind != "text":
+            score = INSIDE_TAG if good else known.get(("tag", text), -0.1)
         else:
             weight = known.get(("word", element), UNSEEN)
             if own_label:

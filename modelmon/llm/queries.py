@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modelmon.llm import decontaminate, html_region, mixing, quality, simhash, simple8b, warc
+from modelmon.llm import decontaminate, html_region, licenses, mixing, quality, secrets, simhash, simple8b, trie_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 # The vocabulary file of op4; its place is a parameter of the operator.
 TOKENIZER = "byte_bpe_50k.json"
+# The vocabulary of op5.
+UNIGRAM = "piece_bpe_32k.model"
 
 
 def query(name: str, sql: str | None = None):
@@ -116,3 +118,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html_region")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_region.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op2_secrets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(UNIGRAM))
+
+
+@query("op1_licenses")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` has no paths: source / language / hundred of the id / id stands for one, and any file may license its directory."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws(
+        "/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string")
+    )
+    return licenses.licences(docs.select("doc_id", path.alias("path"), "text"), named_only=False)
