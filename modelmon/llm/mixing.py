@@ -61,13 +61,13 @@ def budgets(leaves: DataFrame, share: float, epochs: int) -> DataFrame:
     """(domain, language, leaf, tokens, budget): the tokens each leaf gives, from leaves (domain, language, leaf, tokens)."""
     capacity = (F.col("tokens") * epochs).cast("double")
     sized = leaves.withColumn("capacity", capacity)
-    total = leaves.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * share).cast("double").alias("family_budget"))
+    total = leaves.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * share).cast("double")).first()[0]
     out = None
     for depth, (level, weights) in enumerate(zip(LEVELS, (DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, SOURCE_WEIGHTS))):
         family = list(LEVELS[:depth])
         nodes = sized.groupBy(*family, level).agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weight(F.col(level), weights))
         if out is None:
-            nodes = nodes.crossJoin(F.broadcast(total))  # one row
+            nodes = nodes.withColumn("family_budget", F.lit(total))
         else:
             nodes = nodes.join(out.select(*family, F.col("budget").alias("family_budget")), family)
         out = _spread(nodes, family, level)
