@@ -42,33 +42,33 @@ def _terms(text: Column) -> Column:
 
 
 def _vectors(texts: DataFrame) -> DataFrame:
-    """(text, term, tf) for distinct texts."""
-    return texts.select("text", F.explode(_terms(F.col("text"))).alias("term")).groupBy("text", "term").agg(F.count("*").alias("tf"))
+    """(key, term, tf) for distinct (key, text): only the key goes along with the terms."""
+    return texts.select("key", F.explode(_terms(F.col("text"))).alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
 
 
 def scored(statements: DataFrame) -> DataFrame:
-    """(text, license, score) for the distinct statements ``text`` whose best template reaches THRESHOLD.
+    """(key, license, score) for the distinct statements (key, text) whose best template reaches THRESHOLD.
 
     Inverse document frequencies are over all distinct statements and the templates. Ties go to the first name.
     """
-    templates = statements.sparkSession.createDataFrame(TEMPLATES, "license string, text string")
-    vectors = fixed(_vectors(statements.select("text").distinct()), "statements")
-    known = _vectors(templates.select("text").distinct())
-    n = vectors.select("text").distinct().count() + len(TEMPLATES)
+    templates = statements.sparkSession.createDataFrame([(f"t{i}", *t) for i, t in enumerate(TEMPLATES)], "key string, license string, text string")
+    vectors = fixed(_vectors(statements.dropDuplicates(["key"])), "statements")
+    known = _vectors(templates)
+    n = vectors.select("key").distinct().count() + len(TEMPLATES)
     df = vectors.unionByName(known).groupBy("term").agg(F.count("*").alias("df"))
     weight = (1 + F.log("tf")) * F.log(1 + F.lit(float(n)) / F.col("df"))
-    mine = vectors.join(df, "term").withColumn("x", weight)
-    theirs = fixed(known.join(df, "term").select(F.col("text").alias("template"), "term", weight.alias("y")), "templates")
-    norm = mine.groupBy("text").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    theirs = fixed(known.join(df, "term").select(F.col("key").alias("template"), "term", weight.alias("y")), "templates")
+    mine = fixed(vectors.join(df, "term").select("key", "term", weight.alias("x")), "weights")
+    norm = mine.groupBy("key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     template_norm = theirs.groupBy("template").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("template_norm"))
-    dots = mine.join(theirs, "term").groupBy("text", "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    dots = mine.join(theirs, "term").groupBy("key", "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     cosine = F.round(F.col("dot") / (F.col("norm") * F.col("template_norm")), 6)
     best = (
-        dots.join(template_norm, "template").join(norm, "text").join(templates.withColumnRenamed("text", "template"), "template")
-        .select("text", "license", cosine.alias("score")).where(F.col("score") >= THRESHOLD)
-        .groupBy("text").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
+        dots.join(template_norm, "template").join(norm, "key").join(templates.select(F.col("key").alias("template"), "license"), "template")
+        .select("key", "license", cosine.alias("score")).where(F.col("score") >= THRESHOLD)
+        .groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
     )
-    return best.select("text", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
+    return best.select("key", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
 
 
 def _directory(path: Column) -> Column:
@@ -101,9 +101,9 @@ def licences(files: DataFrame, named_only: bool = True) -> DataFrame:
         ),
         "files",
     )
-    held = table.select("row", F.explode("statements").alias("text"))
+    held = table.select("row", F.explode("statements").alias("text")).withColumn("key", F.sha2("text", 256))
     own = fixed(
-        held.join(scored(held), "text").groupBy("row").agg(_best().alias("b")).select("row", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score")),
+        held.select("row", "key").join(scored(held.select("key", "text")), "key").groupBy("row").agg(_best().alias("b")).select("row", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score")),
         "own",
     )
     files_now = table.select("row", "doc_id", "path", "dir", "named").join(own, "row", "left")
