@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from modelmon.llm.common import fixed, unpack, whole
+from modelmon.llm.common import BATCH_ROWS, fixed
 
 K1, B = 1.2, 0.75
 PART = 64
@@ -301,7 +301,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item was found, with their own columns."""
-    table = whole(docs)
-    found = leaks(table.select("row", F.col("d.text").alias("text")), ["row"], benchmark).select("row").distinct()
-    return unpack(table.join(found, "row", "left_anti"), docs.columns)
+    """The rows of ``docs`` in which no benchmark item was found, with their own columns: a filter, without any shuffle."""
+    for index in _shards(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, BATCH_ROWS):
+                    part = batch.slice(at, BATCH_ROWS)
+                    clean = np.ones(part.num_rows, bool)
+                    clean[[h[0] for h in shared.value.scan(part.column("text").cast(pa.string()).to_pylist())]] = False
+                    yield part.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

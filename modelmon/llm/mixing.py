@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from modelmon.llm.common import fixed, unpack, whole, words
+from modelmon.llm.common import fixed, unpack, words
 
 # Production parameters: weights by name (others: OTHER_WEIGHT), the budget as a share of all tokens, epochs, seed.
 DOMAIN_WEIGHTS = {"d0": 4.0, "d1": 3.0, "d2": 2.0, "d3": 1.0}
@@ -74,8 +74,13 @@ def budgets(leaves: DataFrame, share: float, epochs: int) -> DataFrame:
     return out.join(leaves, list(LEVELS)).select(*LEVELS, "tokens", F.floor("budget").cast("long").alias("budget"))
 
 
-def _copies(rows: DataFrame, share: float, epochs: int, seed: int) -> DataFrame:
-    """Adds ``copies`` to a written table (domain, language, leaf, n_tokens, doc_id, ...)."""
+def _keyed(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    return rows.join(plan, list(LEVELS)).withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+
+
+def _ends(rows: DataFrame, share: float, epochs: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Per leaf: its whole epochs and rest; and the bucket in which the prefix of the next epoch ends, with what is left for it."""
     leaf = list(LEVELS)
     leaves = fixed(rows.groupBy(*leaf).agg(F.sum("n_tokens").alias("tokens")), "leaves")
     plan = fixed(
@@ -86,33 +91,42 @@ def _copies(rows: DataFrame, share: float, epochs: int, seed: int) -> DataFrame:
         ),
         "plan",
     )
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    keyed = rows.join(plan, leaf).withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-    # Sums per bucket are combined before the shuffle; only the bucket in which a leaf's prefix ends needs an order.
-    sums = keyed.groupBy(*leaf, "bucket", "rest").agg(F.sum("n_tokens").alias("n"))
+    # Sums per bucket are combined before the shuffle; a leaf has 4,096 buckets at most.
+    sums = _keyed(rows, plan, seed).groupBy(*leaf, "bucket", "rest").agg(F.sum("n_tokens").alias("n"))
     running = F.sum("n").over(W.partitionBy(*leaf).orderBy("bucket"))
-    ends = fixed(
+    ends = (
         sums.withColumn("upto", running)
         .where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") <= F.col("rest")))
         .groupBy(*leaf).agg(F.min(F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("n")).alias("left"))).alias("end"))
-        .select(*leaf, F.col("end.bucket").alias("end_bucket"), F.col("end.left").alias("left")),
-        "ends",
+        .select(*leaf, F.col("end.bucket").alias("end_bucket"), F.col("end.left").alias("left"))
     )
-    placed = keyed.join(ends, leaf, "left")
-    inside = placed.where(F.col("bucket") == F.col("end_bucket"))
+    return plan, fixed(ends, "ends")
+
+
+def _copies(rows: DataFrame, plan: DataFrame, ends: DataFrame, seed: int) -> DataFrame:
+    """Adds ``copies`` to rows (domain, language, leaf, n_tokens, doc_id, ...). Only rows of the end buckets are put in order."""
+    leaf = list(LEVELS)
+    placed = _keyed(rows, plan, seed).join(ends, leaf, "left")
     order = W.partitionBy(*leaf, "bucket").orderBy("key", "n_tokens")
-    inside = inside.withColumn("more", (F.sum("n_tokens").over(order.rowsBetween(W.unboundedPreceding, 0)) <= F.col("left")).cast("long"))
+    inside = placed.where(F.col("bucket") == F.col("end_bucket")).withColumn(
+        "more", (F.sum("n_tokens").over(order.rowsBetween(W.unboundedPreceding, 0)) <= F.col("left")).cast("long")
+    )
+    # A leaf without tokens has no end bucket.
     outside = placed.where(F.col("end_bucket").isNull() | (F.col("bucket") != F.col("end_bucket"))).withColumn(
         "more", (F.col("end_bucket").isNull() | (F.col("bucket") < F.col("end_bucket"))).cast("long")
     )
-    # No end bucket: the rest of the budget holds the whole leaf, which only an empty leaf or a rest of 0 in it can do.
-    both = outside.unionByName(inside)
     copies = F.when(F.col("n_tokens") > 0, F.col("full") + F.when(F.col("rest") > 0, F.col("more")).otherwise(0)).otherwise(0)
-    return both.withColumn("copies", copies.cast("long")).drop("full", "rest", "key", "bucket", "end_bucket", "left", "more")
+    return outside.unionByName(inside).withColumn("copies", copies.cast("long")).drop(
+        "full", "rest", "key", "bucket", "end_bucket", "left", "more"
+    )
 
 
-def _leaf_columns(source: Column, lang: Column) -> dict[str, Column]:
-    return {"domain": domain_of(source), "language": lang, "leaf": source}
+def _counted(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, domain, language, leaf, n_tokens, more...) of documents."""
+    return docs.select(
+        "doc_id", domain_of(_name("source")).alias("domain"), _name("lang").alias("language"), _name("source").alias("leaf"),
+        F.size(words(F.col("text"))).cast("long").alias("n_tokens"), *more,
+    )
 
 
 def mixture(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
@@ -122,27 +136,17 @@ def mixture(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: i
     are never taken. Null sources and languages are leaves of their own. Equal doc_ids are ordered by length; an empty
     table gives an empty one; further columns are ignored.
     """
-    rows = fixed(
-        docs.select(
-            "doc_id", *[c.alias(n) for n, c in _leaf_columns(_name("source"), _name("lang")).items()],
-            F.size(words(F.col("text"))).cast("long").alias("n_tokens"),
-        ),
-        "mixture",
-    )
-    return _copies(rows, share, epochs, seed).select("doc_id", *LEVELS, "n_tokens", "copies")
+    rows = fixed(_counted(docs), "mixture")
+    return _copies(rows, *_ends(rows, share, epochs, seed), seed).select("doc_id", *LEVELS, "n_tokens", "copies")
 
 
 def take(docs: DataFrame, share: float = SHARE, epochs: int = 1, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` in the mixture, with their own columns; a row taken in several epochs comes that often."""
-    table = whole(docs)
-    rows = fixed(
-        table.select(
-            "row", F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text"), F.col("d.source").alias("source"), F.col("d.lang").alias("lang")
-        ).select(
-            "row", "doc_id", *[c.alias(n) for n, c in _leaf_columns(_name("source"), _name("lang")).items()],
-            F.size(words(F.col("text"))).cast("long").alias("n_tokens"),
-        ),
-        "mixture",
-    )
-    chosen = _copies(rows, share, epochs, seed).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    return unpack(table.join(chosen, "row"), docs.columns)
+    """The rows of ``docs`` in the mixture, with their own columns; a row taken in several epochs comes that often.
+
+    Budgets and prefix ends come from counts alone; then each row is judged where it is read, and only rows of the end
+    buckets (one of 4,096 per leaf) move with their texts.
+    """
+    plan, ends = _ends(fixed(_counted(docs), "mixture"), share, epochs, seed)
+    rows = _counted(docs, F.struct(*[docs[c] for c in docs.columns]).alias("d"))
+    chosen = _copies(rows, plan, ends, seed).where("copies > 0")
+    return unpack(chosen.select("d", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")), docs.columns)

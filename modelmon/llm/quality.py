@@ -117,18 +117,24 @@ def _distance(mine: str, reference: str) -> Column:
     return F.when((F.col(f"{mine}_n") > 0) & (F.col(f"{reference}_n") > 0), F.sqrt(F.greatest(total / 2, F.lit(0.0))))
 
 
-def judged(counted: DataFrame) -> DataFrame:
-    """The counts with base_failed, char_distance, word_distance (null: too short to compare) and kept."""
-    sizes = {"by_class": len(CLASSES) + 3, "by_word": len(COMMON)}
-    reference = counted.groupBy("language").agg(
-        *[F.array(*[F.sum(F.get(c, F.lit(i))).cast("double") for i in range(n)]).alias(f"{c}_all") for c, n in sizes.items()]
+SIZES = {"by_class": len(CLASSES) + 3, "by_word": len(COMMON)}
+
+
+def references(counted: DataFrame) -> DataFrame:
+    """One row per language: the sums of its texts' histograms, combined before the shuffle."""
+    return counted.groupBy("language").agg(
+        *[F.array(*[F.sum(F.get(c, F.lit(i))).cast("double") for i in range(n)]).alias(f"{c}_all") for c, n in SIZES.items()]
     )
+
+
+def judged(counted: DataFrame, reference: DataFrame) -> DataFrame:
+    """The counts with base_failed, char_distance, word_distance (null: too short to compare) and kept."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     both = counted.join(reference, "language")
-    for c in sizes:
+    for c in SIZES:
         both = both.withColumns({c: F.col(c).cast("array<double>"), f"{c}_n": _total(F.col(c).cast("array<double>")), f"{c}_all_n": _total(F.col(f"{c}_all"))})
     return both.select(
-        *[c for c in counted.columns if c not in sizes],
+        *[c for c in counted.columns if c not in SIZES],
         failed.alias("base_failed"),
         F.when(F.col("n_chars") >= MIN_CHARS, _distance("by_class", "by_class_all")).alias("char_distance"),
         F.when(F.col("by_word_n") >= MIN_COMMON, _distance("by_word", "by_word_all")).alias("word_distance"),
@@ -147,7 +153,7 @@ def quality(docs: DataFrame) -> DataFrame:
     their own. Repeated rows come out repeated, an empty table gives an empty one, further columns are ignored.
     """
     counted = fixed(counts(docs.select("doc_id", "text", "lang"), ["doc_id"]), "quality")
-    return judged(counted).select(
+    return judged(counted, references(counted)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"),
     )
@@ -159,5 +165,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     counted = fixed(
         counts(table.select("row", F.col("d.text").alias("text"), F.col("d.lang").alias("lang")), ["row"]), "quality"
     )
-    kept = judged(counted).where("kept").select("row")
+    kept = judged(counted, references(counted)).where("kept").select("row")
     return unpack(table.join(kept, "row", "left_semi"), docs.columns)
