@@ -3,7 +3,7 @@
 Credentials that the fixed patterns find are labelled by their pattern. From a bounded sample of them one probabilistic
 automaton per label is inferred: a prefix tree of the samples, whose states are merged in breadth-first order when their
 outgoing and ending frequencies are statistically compatible (Hoeffding bound, checked down the tree), else kept. Every
-candidate, a run of credential characters with a digit in it, is then scored by how much likelier a character of it is
+candidate, a run of credential characters with a letter and a digit, is then scored by how much likelier a character of it is
 under an automaton than under the background of all candidates, and the likely ones are added to the spans.
 """
 
@@ -29,10 +29,10 @@ KINDS = ("assign", "access", "hex")
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 FORMAT = "format"
 
-# A candidate: a run of these characters, this long, with a digit.
+# A candidate: a run of these characters, this long, with a letter and a digit.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _HEX_RUN = re.compile(r"[0-9a-f]{32,}")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 # Labelled credentials per label that an automaton is inferred from, taken by hash over the whole corpus.
 SAMPLE = 1_000
 # Characters of a credential that build the tree; later ones count towards its last states.
@@ -41,8 +41,8 @@ ALPHA = 0.05
 # Smoothing of a state's characters, and the gain per character (natural log) over the background that makes a secret.
 SMOOTH = 0.05
 GAIN = 0.4
-# Share of the background that is any character at all.
-UNIFORM = 0.3
+# Characters of the background that are taken as any character at all, so that few candidates do not make their own rule.
+UNIFORM = 500
 ALPHABET = 66
 
 
@@ -60,7 +60,7 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    return [(*m.span(), m[0]) for m in CANDIDATE.finditer(text) if _DIGIT.search(m[0])]
+    return [(*m.span(), m[0]) for m in CANDIDATE.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0])]
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -178,7 +178,7 @@ class Formats:
             return -math.inf
         classes = ["^", *map(character_class, s)]
         plain = sum(
-            math.log(UNIFORM / ALPHABET + (1 - UNIFORM) * self.pairs.get((a, c), 0) / max(1, self.before.get(a, 0))) for a, c in zip(classes, s)
+            math.log((self.pairs.get((a, c), 0) + UNIFORM / ALPHABET) / (self.before.get(a, 0) + UNIFORM)) for a, c in zip(classes, s)
         )
         return max(a.per_character(s) for a in self.automata.values()) - plain / max(1, len(s))
 

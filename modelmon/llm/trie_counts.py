@@ -82,7 +82,8 @@ class Counter:
     def __call__(self, texts: list[str | None]) -> list[tuple[int, int, float]]:
         if len(self.known) > REMEMBERED:
             self.known = {}
-        split = [WORD.findall(t or "") if not (t or "").isascii() else t.split() if t.isprintable() else WORD.findall(t) for t in texts]
+        # Printable ASCII has no white space but the space.
+        split = [t.split() if t.isascii() and t.isprintable() else WORD.findall(t) for t in (t or "" for t in texts)]
         new = set().union(*split).difference(self.known)
         self.known.update((w, (n, s)) for w, n, s in score_words(new, self.pieces, self.longest))
         out = []
