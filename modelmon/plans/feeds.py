@@ -140,7 +140,8 @@ class Feeds:
         """(source_table, source_date): every date a source holds, as it stores it."""
         if self._held is None:
             self._held = self._per_source_dates(
-                self.feeds, lambda f: self.load(f).select(reader.date_text(F.col(f"`{f.spec.date_column}`")).alias("source_date"))
+                self.feeds,
+                lambda f: (df := self.load(f)).select(reader.date_text(df, f.spec.date_column, f.spec.date_format).alias("source_date")),
             )
         return self._held
 
@@ -214,7 +215,7 @@ class Feeds:
             (F.col("source_table") == feed.source_table) & F.col("model_id").isin(feed.models)
         ).select("model_id", "information_date", "side", "source_date", "read_date")
         df = reader.on_dates(df, spec.date_column, sorted(literals), spec.date_format) if literals else df.where(F.lit(False))
-        df = df.withColumn("source_date", reader.date_text(F.col(f"`{spec.date_column}`")))
+        df = df.withColumn("source_date", reader.date_text(df, spec.date_column, spec.date_format))
         if keys:
             df = reader.canonical_keys(df, spec.key_columns, spec.canonical_keys)
         clash = [c for c in ("model_id", "information_date", "side") if c in df.columns]

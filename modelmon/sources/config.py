@@ -60,7 +60,9 @@ def latest_global_config(table: DataFrame, default: dict[str, str]) -> DataFrame
     """Newest row kept for model 'global'; the default row where the table has none."""
     current = latest_partition(table.where(F.col("model_id") == GLOBAL_MODEL))
     columns = list(default)
-    current = current.select(*[F.col(c).cast("string").alias(c) for c in columns]).limit(1)
+    # The largest row where the newest version has several: the same one in every run.
+    row = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
+    current = current.agg(F.max(row).alias("row")).where("row IS NOT NULL").select("row.*")
     ddl = ", ".join(f"{c} string" for c in columns)
     fallback = table.sparkSession.createDataFrame([tuple(default.values())], ddl).withColumn("_n", F.lit(0).cast("long"))
     found = current.agg(F.count("*").alias("_n"))
