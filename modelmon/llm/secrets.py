@@ -63,6 +63,18 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), m[0]) for m in CANDIDATE.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0])]
 
 
+def free_of(found: list[tuple[int, int, str]], taken: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
+    """The candidates that touch no span of ``taken`` (by start). Candidates do not overlap, so one walk over both will do."""
+    out, at, reach = [], 0, -1
+    for start, end, value in found:
+        while at < len(taken) and taken[at][1] < end:
+            reach = max(reach, taken[at][2])
+            at += 1
+        if reach <= start:
+            out.append((start, end, value))
+    return out
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
@@ -197,7 +209,7 @@ def _found(docs: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 mine = base_spans(text or "")
                 base.append([dict(zip(("kind", "start", "end", "value"), s)) for s in mine])
-                free = [c for c in candidates(text or "") if not any(c[0] < e and s < c[1] for _, s, e, _ in mine)]
+                free = free_of(candidates(text or ""), mine)
                 rest.append([{"kind": FORMAT, "start": s, "end": e, "value": v} for s, e, v in free])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(rest, pa.list_(span))], names=["doc_id", "base", "rest"]

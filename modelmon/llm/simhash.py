@@ -178,9 +178,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     hashed = fixed(
         fingerprints(table.select("row", F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text")), ["row", "doc_id"]), "hashed"
     )
+    # Equal fingerprints are combined before the join, so a text that a third of the rows hold is one row of it.
+    first = hashed.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "row")).alias("first"))
     kept = (
-        hashed.join(classes(hashed).select("fp", "root"), "fp")
-        .groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "row")).alias("first"))
+        first.join(classes(hashed).select("fp", "root"), "fp")
+        .groupBy("root").agg(F.min("first").alias("first"))
         .select(F.col("first.row").alias("row"))
     )
     return unpack(table.join(kept, "row", "left_semi"), docs.columns)

@@ -225,6 +225,16 @@ def test_secrets(spark, docs, empty):
     assert secrets.secrets(empty).count() == 0 and secrets.secrets(docs).count() == docs.count()
 
 
+def test_candidates_free_of_spans():
+    rng = random.Random(9)
+    for _ in range(300):
+        cuts = sorted(rng.sample(range(60), 10))
+        found = [(a, b, "") for a, b in zip(cuts[::2], cuts[1::2])]
+        taken = sorted((("hex", a, a + rng.randint(1, 25), "") for a in rng.sample(range(60), rng.randint(0, 4))), key=lambda s: s[1])
+        plain = [c for c in found if not any(c[0] < e and s < c[1] for _, s, e, _ in taken)]
+        assert secrets.free_of(found, taken) == plain
+
+
 def test_trie_counts(docs, empty):
     pieces = {"▁": -3.0, "a": -2.0, "b": -2.5, "▁a": -2.2, "ab": -3.0, "▁ab": -4.5, "ba": -3.1}
 
