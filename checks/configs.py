@@ -262,10 +262,9 @@ def insert_ignore_contacts(t):
 
 @check("materialize", BY_RUN)
 def materialize(t):
-    store = sinks.ResultStore(t.spark, scratch(t, "store"))
-    inputs = {"table": "results", "sf": t.sf_dir}
-    store.compute(inputs, lambda: by_run(data.results(t)))
-    return store.compute(inputs, lambda: by_run(data.results(t)).where(F.lit(False)))
+    store, version = sinks.KeptTables(t.spark, scratch(t, "store")), {"sf": t.sf_dir}
+    store.keep(by_run(data.results(t)), "results", version)
+    return store.find("results", version)
 
 
 MIR = f"""src AS (SELECT information_date, model_id FROM res), mir AS (SELECT information_date, model_id FROM log),

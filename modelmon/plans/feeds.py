@@ -7,7 +7,7 @@ source table becomes one scan, joined to the dates it serves and turned into lon
 from __future__ import annotations
 
 from collections import defaultdict
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -37,6 +37,17 @@ class ConfigTables:
     csi_bins: DataFrame | None = None
     alert_policy: DataFrame | None = None
 
+    def version(self) -> dict[str, str]:
+        """Per table its columns, rows and a sum over the hashes of its rows: any change of configuration shows."""
+        marks = {}
+        for name in (f.name for f in fields(self)):
+            table = getattr(self, name)
+            if table is not None:
+                hashed = F.xxhash64(*[table[c] for c in table.columns]).cast("decimal(38,0)")
+                rows, total = table.agg(F.count("*"), F.sum(hashed)).first()
+                marks[name] = f"{','.join(table.columns)}:{rows}:{total}"
+        return marks
+
 
 class MissingConfig(Exception):
     """A variable names a source table that has no configuration."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,9 +19,10 @@ from modelmon.operators.runs import execution_log
 from modelmon.functions.sizes import all_reliable, bounded, reliable
 from modelmon.plans.feeds import SINGLE_MODES, ConfigTables, Feed, Feeds, by_model
 from modelmon.sources.config import latest_partition
-from modelmon.sources.sinks import ResultStore, write_partition
+from modelmon.sources.sinks import KeptTables, drop_partitions, write_partition
 
 RUN = ["model_id", "information_date"]
+PARTITION_ORDER = ["information_date", "model_id"]
 SUMMARY_COLUMNS = [*KEYS, "data_type", "statistic", "statistic_value", "statistic_value_str"]
 
 # The variable under which joint input metrics are stored.
@@ -333,6 +335,22 @@ class Monitor:
         return data_availability(configured, newest_dates(self.feeds.present_dates()), as_of)
 
 
+def measured(monitor: Monitor, runs: DataFrame, asked: DataFrame, store: KeptTables | None, models: list[str] | None) -> RunFrames:
+    """The frames of the runs: those kept for this configuration and these runs if all are there, else measured and kept.
+
+    The version does not see the source data: after a correction of it take another folder, or forget the tables.
+    """
+    if store is None:
+        return monitor.run(runs)
+    hashed = F.xxhash64(*RUN).cast("decimal(38,0)")
+    version = {**monitor.config.version(), "models": sorted(models or []), "runs": tuple(asked.agg(F.count("*"), F.sum(hashed)).first())}
+    kept = {f.name: store.find(f.name, version) for f in fields(RunFrames)}
+    if any(df is None for df in kept.values()):
+        frames = monitor.run(runs)
+        kept = {name: store.keep(getattr(frames, name), name, version) for name in kept}
+    return RunFrames(**kept)
+
+
 def run_models(
     spark: SparkSession,
     config: ConfigTables,
@@ -343,16 +361,21 @@ def run_models(
     reason: str = "SCHEDULED",
     models: list[str] | None = None,
     overrides: dict[str, DataFrame] | None = None,
-    store: ResultStore | None = None,
+    store: KeptTables | None = None,
     as_of: Column | None = None,
 ) -> dict[str, str]:
     """The whole job: metrics, alerts, summaries, availability, scoring summary, log.
 
-    Metrics and summaries are written first; everything after reads them back, so nothing is
-    measured twice. With a ``store``, results of the same inputs are reused. Returns the paths.
+    Each table is fixed once and carried on as it is, so nothing is measured twice and no history is read. What a table
+    held of a run that has no rows now is deleted: a rerun leaves nothing of the run before. With a ``store``, results
+    of the same configuration and runs are looked up before anything is measured. Returns the paths.
     """
+    begun = time.monotonic()
     monitor = Monitor(spark, config, models, overrides)
-    frames = monitor.run(runs)
+    asked = reliable(
+        runs.select("model_id", F.date_format(F.col("information_date").cast("date"), "yyyy-MM-dd").alias("information_date")).distinct()
+    )
+    frames = measured(monitor, runs, asked, store, models)
     stamp = {
         "execution_id": F.lit(execution_id), "run_date": F.current_timestamp(), "dag_id": F.lit(job),
         "airflow_run_id": F.lit(execution_id),
@@ -362,38 +385,21 @@ def run_models(
     )}
 
     def put(df: DataFrame, table: str) -> DataFrame:
-        rows = schemas.conform(df.withColumns({k: v for k, v in stamp.items() if k in schemas.columns(table)}), table)
-        try:
+        stamped = df.withColumns({k: v for k, v in stamp.items() if k in schemas.columns(table)})
+        rows = reliable(schemas.conform(stamped, table))
+        if not rows.isEmpty():
             write_partition(rows, paths[table], execution_id=execution_id, table=table)
-        except RuntimeError as nothing:
-            if "no rows" not in str(nothing):
-                raise
-            return spark.createDataFrame([], schemas.get(table))
-        return spark.read.schema(schemas.get(table)).parquet(paths[table])
-
-    asked = runs.select("model_id", F.date_format(F.col("information_date").cast("date"), "yyyy-MM-dd").alias("information_date")).distinct()
-    results, summaries = frames.results, frames.summaries
-    if store is not None:
-        inputs = reuse_key(config, asked, models)
-        results = store.compute(inputs, lambda: frames.results, "results", execution_id)
-        summaries = store.compute(inputs, lambda: frames.summaries, "summaries", execution_id)
-    results = put(results, "metric_result").join(asked, RUN, "left_semi")
-    summaries = put(summaries, "variable_summary").join(asked, RUN, "left_semi")
+        drop_partitions(asked.join(rows.select(*RUN).distinct(), RUN, "left_anti"), paths[table], PARTITION_ORDER)
+        return rows
+
+    results = put(frames.results, "metric_result")
+    summaries = put(frames.summaries, "variable_summary")
     put(alert_aggregate(results, None if config.alert_policy is None else latest_partition(config.alert_policy)), "alert_aggregate")
-    available = put(monitor.availability(runs, as_of), "data_availability").join(asked, RUN, "left_semi")
+    available = put(monitor.availability(runs, as_of), "data_availability")
     put(
         summary.scoring_summary(results, summaries, availability_done(available), monitor.feeds.summary), "scoring_summary"
     )
     log = execution_log(results, frames.missing, execution_id, job, reason)
-    put(log.withColumns({"end_date": F.current_timestamp(), "duration_seconds": F.lit(0)}), "execution_log")
+    took = int(time.monotonic() - begun)
+    put(log.withColumns({"end_date": F.current_timestamp(), "duration_seconds": F.lit(took)}), "execution_log")
     return paths
-
-
-def reuse_key(config: ConfigTables, runs: DataFrame, models: list[str] | None) -> dict[str, str]:
-    """What results depend on: the runs asked for and the version of every configuration table."""
-    key = {"models": sorted(models or []), "runs": sorted([tuple(r) for r in runs.select(*RUN).collect()])}
-    for name in ("model_summary", "variable_metadata", "table_config", "thresholds", "auto_thresholds", "category_policy", "csi_bins"):
-        table = getattr(config, name)
-        if table is not None and "process_date" in table.columns:
-            key[name] = str(table.agg(F.max("process_date").alias("m")).first()["m"])
-    return key

@@ -13,7 +13,7 @@ from modelmon.operators.calendar import history_dates, period_dates
 from modelmon.operators.runs import retraining_list, untrained_models
 from modelmon.plans.feeds import PARTITION_MODES, ConfigTables, Feeds
 from modelmon.sources.config import latest_partition
-from modelmon.sources.sinks import ResultStore, write_partition
+from modelmon.sources.sinks import KeptTables, write_partition
 
 OUTPUTS = ["csi_psi_table", "category_baseline_rank", "metric_threshold_auto"]
 
@@ -114,15 +114,26 @@ def train_models(
     information_date: str | None = None,
     models: list[str] | None = None,
     overrides: dict[str, DataFrame] | None = None,
-    store: ResultStore | None = None,
+    store: KeptTables | None = None,
 ) -> dict[str, str]:
-    """Train and write the three tables by (process_date, model_id). Returns their paths."""
-    artefacts = Trainer(spark, config, models, overrides).run(process_date, information_date)
+    """Train and write the three tables by (process_date, model_id). Returns their paths.
+
+    With a ``store``, artefacts of the same configuration and dates are looked up before anything is trained.
+    """
+    version, artefacts = {}, {}
+    if store is not None:
+        version = {**config.version(), "models": sorted(models or []), "process_date": process_date, "information_date": information_date}
+        found = {table: store.find(table, version) for table in OUTPUTS}
+        # The last one is kept last; models without categories have no ranks.
+        if found[OUTPUTS[-1]] is not None:
+            artefacts = {table: df for table, df in found.items() if df is not None}
+    if not artefacts:
+        made = Trainer(spark, config, models, overrides).run(process_date, information_date)
+        artefacts = {table: made[table] for table in OUTPUTS if table in made}
+        if store is not None:
+            artefacts = {table: store.keep(df, table, version) for table, df in artefacts.items()}
     paths = {}
     for table, df in artefacts.items():
-        if store is not None:
-            inputs = {"models": sorted(models or []), "process_date": process_date, "information_date": information_date}
-            df = store.compute(inputs, lambda df=df: df, table)
         paths[table] = f"{out_dir}/{table}"
         write_partition(df, paths[table], ["process_date", "model_id"], execution_id=execution_id, table=table)
     return paths

@@ -87,18 +87,27 @@ def test_mirror(spark, tmp_path):
     assert {(r.information_date, r["count"]) for r in spark.read.parquet(path).groupBy("information_date").count().collect()} == {("d2", 3), ("d3", 1)}
 
 
-def test_result_store(spark, tmp_path):
-    store, calls = sinks.ResultStore(spark, str(tmp_path)), []
-
-    def make():
-        calls.append(1)
-        return spark.range(2).withColumn("execution_id", F.lit("old"))
-
-    store.compute({"a": 1, "b": "x"}, make)
-    again = store.compute({"b": "x", "a": 1}, make, execution_id="new")
-    assert len(calls) == 1 and {r.execution_id for r in again.collect()} == {"new"}
-    store.clear({"a": 1, "b": "x"})
-    assert not store.exists({"a": 1, "b": "x"})
+def test_kept_tables(spark, tmp_path):
+    store = sinks.KeptTables(spark, str(tmp_path))
+    assert store.find("t", {"a": 1, "b": "x"}) is None
+    store.keep(spark.range(2), "t", {"a": 1, "b": "x"})
+    store.keep(spark.range(0), "none", {"a": 1})
+    assert store.find("t", {"b": "x", "a": 1}).count() == 2 and store.find("none", {"a": 1}).count() == 0
+    assert store.find("t", {"a": 2, "b": "x"}) is None and store.find("u", {"a": 1, "b": "x"}) is None
+    (tmp_path / "t" / store.place("t", {"a": 1, "b": "x"}).split("/")[-1] / "_SUCCESS").unlink()
+    assert store.find("t", {"a": 1, "b": "x"}) is None
+    store.forget("none", {"a": 1})
+    assert store.find("none", {"a": 1}) is None
+
+
+def test_dropped_partitions(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    rows = spark.createDataFrame([("d1", "a:b", 1), ("d1", "c", 2), ("d2", "c", 3)], "information_date string, model_id string, v int")
+    sinks.replace_partitions(rows, path, ["information_date", "model_id"])
+    gone = spark.createDataFrame([("d1", "a:b"), ("d9", "z")], "information_date string, model_id string")
+    sinks.drop_partitions(gone, path, ["information_date", "model_id"])
+    assert {r.v for r in spark.read.parquet(path).collect()} == {2, 3}
+    sinks.drop_partitions(gone, f"{tmp_path}/nothing", ["information_date", "model_id"])
 
 
 def test_schemas(spark):

@@ -1,10 +1,13 @@
 """A whole run on the ten-row frames: score, target, two inputs over three sources."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
 from modelmon.plans.feeds import ConfigTables
-from modelmon.plans.monitor import run_models
+from modelmon.plans.monitor import Monitor, measured, run_models
+from modelmon.sources.sinks import KeptTables
 from tests.conftest import BASE, CUR
 
 MODEL = "M1"
@@ -51,10 +54,18 @@ def config_tables(spark, frames):
 
 
 @pytest.fixture(scope="module")
-def written(spark, frames, tmp_path_factory):
-    out = str(tmp_path_factory.mktemp("run"))
-    runs = spark.createDataFrame([(MODEL, BASE), (MODEL, "2099-01-01")], "model_id string, information_date string")
-    paths = run_models(spark, config_tables(spark, frames), runs, out, "exec-1", as_of=F.lit("2025-01-03").cast("date"))
+def out(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("run"))
+
+
+def asked(spark):
+    return spark.createDataFrame([(MODEL, BASE), (MODEL, "2099-01-01")], "model_id string, information_date string")
+
+
+@pytest.fixture(scope="module")
+def written(spark, frames, out):
+    store = KeptTables(spark, f"{out}/kept")
+    paths = run_models(spark, config_tables(spark, frames), asked(spark), out, "exec-1", store=store, as_of=F.lit("2025-01-03").cast("date"))
     return {t: spark.read.parquet(p) for t, p in paths.items()}
 
 
@@ -96,3 +107,25 @@ def test_rollups(written):
     assert stats["score", "p50"].statistic_value == pytest.approx(0.55)
     late = {(str(r.information_date), r.source_table): r.control for r in written["data_availability"].collect()}
     assert late[BASE, "raw"] == "Latest Data Updated" and late["2099-01-01", "raw"] == "Data ingestion in progress"
+
+
+def test_reuse_measures_nothing(spark, frames, written, out, monkeypatch):
+    monitor, store, runs = Monitor(spark, config_tables(spark, frames)), KeptTables(spark, f"{out}/kept"), asked(spark)
+    monkeypatch.setattr(Monitor, "run", lambda self, runs: pytest.fail("measured again"))
+    kept = measured(monitor, runs, runs, store, None)
+    assert kept.results.count() == written["metric_result"].count()
+    monitor.config.thresholds = spark.createDataFrame([(MODEL, 1)], "model_id string, x int")
+    with pytest.raises(pytest.fail.Exception):
+        measured(monitor, runs, runs, store, None)
+
+
+def test_rerun_leaves_nothing_of_the_run_before(spark, frames, written, out):
+    config = config_tables(spark, frames)
+    for name in ("scores", "targets", "raw"):
+        spark.table(name).where(F.col("information_date") != BASE).createOrReplaceTempView(name)
+    runs = spark.createDataFrame([(MODEL, BASE)], "model_id string, information_date string")
+    paths = run_models(spark, config, runs, out, "exec-2", as_of=F.lit("2025-01-03").cast("date"))
+    log = [(r.execution_id, r.status) for r in spark.read.parquet(paths["execution_log"]).where(F.col("information_date") == BASE).collect()]
+    assert log == [("exec-2", "MISSING_DATA")]
+    assert not glob.glob(f"{paths['metric_result']}/information_date={BASE}/*") and not glob.glob(f"{paths['alert_aggregate']}/information_date={BASE}/*")
+    config_tables(spark, frames)
