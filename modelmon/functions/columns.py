@@ -36,6 +36,15 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y), frames)
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: of several the greatest, column by column, so that the choice is the same on every run."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    chosen = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_chosen"))
+    return chosen.select(*[c if c in keys else F.col("_chosen")[c].alias(c) for c in df.columns])
+
+
 def first_rank_key(count: Column, value: Column) -> Column:
     """Sort key for 'most frequent first': ties go to the smaller value, null last."""
     return F.struct((-count).alias("n"), value.isNull().alias("is_null"), value.alias("value"))

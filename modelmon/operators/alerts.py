@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from modelmon.functions.columns import one_per_key
 from modelmon.operators.thresholds import AMBAR, GREEN, RED
 
 # The alert policy where no table gives one.
@@ -42,7 +43,7 @@ def alert_aggregate(results: DataFrame, policy: DataFrame | None = None) -> Data
         F.count_if(F.col("status") == AMBAR).cast("int").alias("count_ambar"),
         F.count_if(F.col("status") == RED).cast("int").alias("count_red"),
     )
-    used = counted.join(policy.select(*on, *limits).dropDuplicates(on), on, "left").fillna(
+    used = counted.join(one_per_key(policy.select(*on, *limits), on), on, "left").fillna(
         dict(zip(limits, UNKNOWN_POLICY))
     )
     weight = F.col("red_equivalent")

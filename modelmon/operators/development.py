@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from modelmon.functions.columns import KEYS, ratio
+from modelmon.functions.columns import KEYS, one_per_key, ratio
 from modelmon.operators.quality import outliers
 from modelmon.operators.score import entropy
 
@@ -67,9 +67,7 @@ def with_policy(ranks: DataFrame, policy: DataFrame | None = None) -> DataFrame:
     if policy is None:
         ranks = ranks.withColumns({c: F.lit(None).cast("int") for c in ("top_n_threshold", "critical_top_k")})
     else:
-        fixed = policy.select("model_id", "variable", "top_n_threshold", "critical_top_k").dropDuplicates(
-            ["model_id", "variable"]
-        )
+        fixed = one_per_key(policy.select("model_id", "variable", "top_n_threshold", "critical_top_k"), ["model_id", "variable"])
         ranks = ranks.join(fixed, ["model_id", "variable"], "left")
     return ranks.fillna({"top_n_threshold": POLICY_TOP_N, "critical_top_k": POLICY_TOP_K})
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from modelmon.functions.columns import KEYS, first_rank_key, is_current
+from modelmon.functions.columns import KEYS, first_rank_key, is_current, one_per_key
 from modelmon.operators.observations import value_counts
 from modelmon.operators.stability import PERCENTILES
 from modelmon.operators.thresholds import AMBAR, RED
@@ -116,7 +116,7 @@ def scoring_summary(results: DataFrame, summaries: DataFrame, available: DataFra
     )
     joined = per_run.join(population, run, "left").join(available.select(*run, "done"), run, "left")
     if models is not None:
-        joined = joined.join(models.select("model_id", "model_name").dropDuplicates(["model_id"]), "model_id", "left")
+        joined = joined.join(one_per_key(models.select("model_id", "model_name"), ["model_id"]), "model_id", "left")
     else:
         joined = joined.withColumn("model_name", F.lit(None).cast("string"))
     done = F.coalesce("done", F.lit(False))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from modelmon.functions.columns import one_per_key
 from modelmon.operators import registry
 
 # Default limits (ambar, red); None = no limit at that level.
@@ -116,7 +117,8 @@ def resolve_thresholds(results: DataFrame, auto: DataFrame | None = None, manual
         trained = auto.select(
             "model_id", "variable", "metric_name",
             F.col("threshold_ambar").cast("double").alias("_t_ambar"), F.col("threshold_red").cast("double").alias("_t_red"),
-        ).dropDuplicates(["model_id", "variable", "metric_name"])
+        )
+        trained = one_per_key(trained, ["model_id", "variable", "metric_name"])
         limits = limits.join(trained, ["model_id", "variable", "metric_name"], "left")
         ambar.insert(0, F.col("_t_ambar"))
         red.insert(0, F.col("_t_red"))
@@ -125,7 +127,8 @@ def resolve_thresholds(results: DataFrame, auto: DataFrame | None = None, manual
         fixed = manual.select(
             "model_id", "variable", F.col("type").alias("var_type"),
             *[(F.col(c).cast("double") if c in manual.columns else F.lit(None).cast("double")).alias(c) for c in names],
-        ).dropDuplicates(["model_id", "variable", "var_type"])
+        )
+        fixed = one_per_key(fixed, ["model_id", "variable", "var_type"])
         limits = limits.join(fixed, ["model_id", "variable", "var_type"], "left")
 
         def chosen(level: int) -> Column:

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
-from modelmon.functions.columns import union_all
+from modelmon.functions.columns import one_per_key, union_all
 from modelmon.functions.dates import format_date
 from modelmon.functions.sizes import all_reliable, bounded, reliable
 from modelmon.operators.calendar import resolve_dates
@@ -97,7 +97,8 @@ class Feeds:
                     ("execution_monthly_day", "int"), ("execution_weekday", "int"),
                 )
             ],
-        ).fillna({"frequency": "daily", "cut_off_probability": 0.5}).dropDuplicates(["model_id"])
+        ).fillna({"frequency": "daily", "cut_off_probability": 0.5})
+        self.summary = one_per_key(self.summary, ["model_id"])
         self.tables = load_table_config(config.table_config)
         self.metadata = metadata.select(
             "model_id", "variable", "var_type", "data_type", "source_table", "source_column"

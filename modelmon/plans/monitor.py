@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from modelmon import schemas
-from modelmon.functions.columns import KEYS, clean_double, union_all
+from modelmon.functions.columns import KEYS, clean_double, one_per_key, union_all
 from modelmon.operators import conjugate, quality, registry, score, stability, summary, target, thresholds
 from modelmon.operators.alerts import alert_aggregate
 from modelmon.operators.availability import availability_done, data_availability, newest_dates
@@ -70,9 +70,7 @@ class Monitor:
         policy = self._latest(self.config.category_policy)
         if policy is None:
             return quality.DEFAULT_TOP_N, None
-        policy = policy.select("model_id", "variable", F.col("top_n_threshold").alias("top_n")).dropDuplicates(
-            ["model_id", "variable"]
-        )
+        policy = one_per_key(policy.select("model_id", "variable", F.col("top_n_threshold").alias("top_n")), ["model_id", "variable"])
         largest = policy.agg(F.max("top_n").alias("m")).first()["m"]
         return policy, largest
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from modelmon.functions.columns import one_per_key
+
 # Text that means true.
 TRUE_WORDS = ["true", "1", "t", "yes", "y"]
 GLOBAL_MODEL = "global"
@@ -101,8 +103,7 @@ def parse_table_config(rows: DataFrame) -> DataFrame:
 
 def load_table_config(table: DataFrame) -> DataFrame:
     """Newest active table configuration of every model, one row per source table."""
-    parsed = parse_table_config(latest_partition(table))
-    return parsed.dropDuplicates(["model_id", "source_table"])
+    return one_per_key(parse_table_config(latest_partition(table)), ["model_id", "source_table"])
 
 
 def metadata_join(metadata: DataFrame, tables: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modelmon import schemas
+from modelmon.functions.columns import one_per_key
 from modelmon.functions.dates import date_pattern, parse_date
 from modelmon.sources import config, reader, sinks
 
@@ -110,6 +111,13 @@ def test_dropped_partitions(spark, tmp_path):
     sinks.drop_partitions(gone, f"{tmp_path}/nothing", ["information_date", "model_id"])
 
 
+def test_one_per_key(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("a", 2, "b"), ("b", None, None)], "k string, v int, w string").repartition(3)
+    picked = one_per_key(rows, ["k"])
+    assert picked.columns == rows.columns and {tuple(r) for r in picked.collect()} == {("a", 2, "b"), ("b", None, None)}
+    assert one_per_key(rows.select("k"), ["k"]).count() == 2
+
+
 def test_schemas(spark):
     assert len(schemas.TABLES) == 20 and schemas.columns("x.metric_result")[-2:] == ["information_date", "model_id"]
     padded = schemas.conform(spark.range(1).select(F.lit("v").alias("variable")), "metric_result")
