@@ -8,7 +8,7 @@ from checks import data
 from checks.catalog import Tables, check, iso, month, r6, scratch
 from checks.data import LOG, NUM, RES, TXT
 from modelmon import schemas
-from modelmon.functions.columns import KEYS, union_all
+from modelmon.functions.columns import KEYS, smallest_per_key, union_all
 from modelmon.functions.dates import format_date, parse_date
 from modelmon.functions.ordering import top_per_group
 from modelmon.functions.columns import first_rank_key
@@ -237,8 +237,9 @@ def append_rows(t):
 @check("insert_overwrite_year", f"""WITH {data.CAL} SELECT strftime(calendar_date, '%Y-%m') AS month, count(*) AS days, count(*) FILTER (biz) AS business_days FROM cal WHERE year(calendar_date) = 1998 GROUP BY 1""")
 def insert_overwrite_year(t):
     path = scratch(t, "calendar")
-    sinks.calendar_year(data.calendar(t), 1998).write.mode("overwrite").parquet(path)
-    return t.spark.read.parquet(path).groupBy(F.date_format("calendar_date", "yyyy-MM").alias("month")).agg(
+    for year in (1997, 1998, 1998):
+        sinks.overwrite_calendar_year(data.calendar(t), year, path)
+    return t.spark.read.parquet(path).where("calendar_year = 1998").groupBy(F.date_format("calendar_date", "yyyy-MM").alias("month")).agg(
         F.count("*").alias("days"), F.count_if("is_business_day").alias("business_days")
     )
 
@@ -278,6 +279,17 @@ def mirror_sync(t):
     return sinks.mirror_plan(data.results(t), data.run_log(t))
 
 
+@check("mirror_synced", f"WITH {RES} SELECT information_date, model_id, count(*) AS n FROM res GROUP BY 1, 2")
+def mirror_synced(t):
+    """What a mirror that held the runs of the log holds after a sync with the results."""
+    path, run = scratch(t, "mirror"), ["information_date", "model_id"]
+    held = data.run_log(t).select(F.lit(0.0).alias("metric_value"), *[F.col(c).cast("string").alias(c) for c in run])
+    sinks.replace_partitions(held, path, run)
+    wanted = data.results(t).select("metric_value", *[F.col(c).cast("string").alias(c) for c in run])
+    sinks.sync_mirror(wanted, path)
+    return t.spark.read.schema(wanted.schema).parquet(path).groupBy(*run).agg(F.count("*").alias("n"))
+
+
 @check("mirror_result", f"""WITH {RES}, {LOG} SELECT information_date, model_id, count(*) AS n FROM (SELECT information_date, model_id FROM log WHERE information_date < '1998-01-01'
   UNION ALL SELECT information_date, model_id FROM res WHERE information_date >= '1998-01-01') GROUP BY 1, 2""")
 def mirror_result(t):
@@ -348,9 +360,7 @@ def anchor_align(t):
     rows = t.lineitem.select("l_orderkey", F.date_format("l_shipdate", "yyyyMM").alias("ym"), "l_extendedprice")
     dated = reader.on_dates(rows, "ym", MONTHS, "%Y%m").withColumn("day", parse_date(F.col("ym"), "%Y%m"))
     keyed = dated.withColumn("join_date", F.date_format("day", "yyyy-MM"))
-    return keyed.groupBy("l_orderkey", "join_date").agg(
-        F.min("l_extendedprice").alias("price"), (F.count("*") - 1).alias("removed")
-    )
+    return smallest_per_key(keyed, ["l_orderkey", "join_date"], ["l_extendedprice"], "removed").withColumnRenamed("l_extendedprice", "price")
 
 
 @check("date_pattern", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-01') AS a, strftime(o_orderdate, '%Y-%m-%d') AS b, strftime(o_orderdate, '%d/%m/%Y') AS c FROM orders")
@@ -438,7 +448,7 @@ def set_jaccard(t):
 @check("set_except", f"WITH {RES}, {LOG} SELECT DISTINCT information_date, model_id FROM log EXCEPT SELECT information_date, model_id FROM res")
 def set_except(t):
     run = ["information_date", "model_id"]
-    return data.run_log(t).select(*run).distinct().join(data.results(t).select(*run).distinct(), run, "left_anti")
+    return sinks.mirror_plan(data.results(t), data.run_log(t)).where("action = 'drop'").select(*run)
 
 
 @check("distinct_values", "SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders")
@@ -448,7 +458,7 @@ def distinct_values(t):
 
 @check("drop_duplicates", "SELECT l_orderkey, l_linenumber, min(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2")
 def drop_duplicates(t):
-    return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_extendedprice").alias("price"))
+    return smallest_per_key(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_extendedprice"]).withColumnRenamed("l_extendedprice", "price")
 
 
 @check("successful_run_exists", f"WITH {RES}, {LOG}, s AS (SELECT DISTINCT model_id, information_date FROM log WHERE status = 'SUCCESS') SELECT r.model_id, r.information_date, s.model_id IS NOT NULL AS run_exists FROM (SELECT DISTINCT model_id, information_date FROM res) r LEFT JOIN s USING (model_id, information_date)")

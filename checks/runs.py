@@ -16,7 +16,7 @@ from modelmon.operators import bins, conjugate, dashboard, development, quality,
 from modelmon.plans.feeds import ConfigTables
 from modelmon.plans.monitor import Monitor, run_models
 from modelmon.plans.training import Trainer
-from modelmon.sources import config
+from modelmon.sources import config, sinks
 from modelmon.sources.config import metadata_join as join_metadata
 
 # -- joins ------------------------------------------------------------------------------
@@ -94,13 +94,20 @@ FLAGS = "flags AS (SELECT model_id, information_date, bool_or(aggregate_status =
 MISS = "miss AS (SELECT DISTINCT model_id, information_date, true AS m FROM log WHERE status = 'MISSING_DATA')"
 
 
-@check("recipients", f"""WITH {RES}, {LOG}, {ALERTS}, {CON}, {FLAGS}, {MISS}, rr AS (SELECT flags.*, coalesce(m, false) AS missing FROM flags LEFT JOIN miss USING (model_id, information_date)),
+ADDRESSED = """rr AS (SELECT flags.*, coalesce(m, false) AS missing FROM flags LEFT JOIN miss USING (model_id, information_date)),
   hit AS (SELECT DISTINCT rr.model_id, rr.information_date, contact_email FROM rr JOIN lcon USING (model_id) WHERE (missing AND notify_on_missing) OR (has_red AND notify_on_red) OR (has_ambar AND notify_on_ambar)),
   too AS (SELECT model_id, information_date, string_agg(contact_email, ', ' ORDER BY contact_email) AS a FROM hit GROUP BY 1, 2),
   bc AS (SELECT rr.model_id, rr.information_date, string_agg(email, ', ' ORDER BY email) AS b FROM rr, (SELECT DISTINCT 'r' || n_nationkey || '@x' AS email FROM nation WHERE n_regionkey = 1)
-    WHERE (has_red OR missing) GROUP BY 1, 2)
-  SELECT model_id, information_date, coalesce(a, b, '') AS recipients_to, CASE WHEN a IS NULL THEN '' ELSE coalesce(b, '') END AS recipients_bcc FROM rr LEFT JOIN too USING (model_id, information_date) LEFT JOIN bc USING (model_id, information_date)""")
+    WHERE (has_red OR missing) GROUP BY 1, 2),
+  adr AS (SELECT model_id, information_date, coalesce(a, b, '') AS recipients_to, CASE WHEN a IS NULL THEN '' ELSE coalesce(b, '') END AS recipients_bcc FROM rr LEFT JOIN too USING (model_id, information_date) LEFT JOIN bc USING (model_id, information_date))"""
+
+
+@check("recipients", f"WITH {RES}, {LOG}, {ALERTS}, {CON}, {FLAGS}, {MISS}, {ADDRESSED} SELECT * FROM adr")
 def recipients(t):
+    return addressed(t)
+
+
+def addressed(t):
     run = ["model_id", "information_date"]
     flags = data.alerts(t).groupBy(*run).agg(
         F.bool_or(F.col("aggregate_status") == "RED").alias("has_red"), F.bool_or(F.col("aggregate_status") == "AMBAR").alias("has_ambar")
@@ -290,15 +297,15 @@ DONE = "av_ AS (SELECT DISTINCT model_id, information_date, true AS done FROM lo
   SELECT g.model_id, g.information_date, g.information_date AS scoring_date, g.information_date AS vintage, CASE WHEN done THEN 'DONE' ELSE 'PENDING' END AS control_data_availability,
     CASE WHEN pre_red THEN 'Reprocess' ELSE 'OK' END AS control_pre_scoring, coalesce(csi_max, -1) AS csi_max, CASE WHEN csi_red THEN 'Stop' ELSE 'OK' END AS csi_status,
     CASE WHEN done IS NULL THEN 'DQR Process Pending' WHEN pre_red THEN 'Reprocess' WHEN lights OR csi_red THEN 'WARNING' ELSE 'OK' END AS general_status,
-    p.v IS NOT NULL AS has_psi, q.v IS NOT NULL AS has_variation FROM g LEFT JOIN av_ USING (model_id, information_date)
+    round(coalesce(p.v, -1), 9) + 0.0::DOUBLE AS psi, round(coalesce(q.v, -1), 9) + 0.0::DOUBLE AS psi_variation FROM g LEFT JOIN av_ USING (model_id, information_date)
     LEFT JOIN (SELECT * FROM first_ WHERE metric_name = 'psi_canonical') p USING (model_id, information_date) LEFT JOIN (SELECT * FROM first_ WHERE metric_name = 'psi_dynamic') q USING (model_id, information_date)""")
 def scoring_summary(t):
     available = data.run_log(t).where("status = 'SUCCESS'").select("model_id", "information_date").distinct().withColumn("done", F.lit(True))
     found = summary.scoring_summary(data.results(t), data.statistics(t), available)
     return found.select(
         "model_id", "information_date", "scoring_date", "vintage", "control_data_availability", "control_pre_scoring",
-        F.coalesce("csi_max", F.lit(-1.0)).alias("csi_max"), "csi_status", "general_status", F.col("psi").isNotNull().alias("has_psi"),
-        F.col("psi_variation").isNotNull().alias("has_variation"),
+        F.coalesce("csi_max", F.lit(-1.0)).alias("csi_max"), "csi_status", "general_status",
+        r6(F.coalesce("psi", F.lit(-1.0)), 9).alias("psi"), r6(F.coalesce("psi_variation", F.lit(-1.0)), 9).alias("psi_variation"),
     )
 
 
@@ -411,6 +418,18 @@ def digest_header(t):
     return al.digest_header(data.run_log(t), data.alerts(t), data.results(t), "[MON]")
 
 
+@check("digest_mail", f"""WITH {RES}, {LOG}, {ALERTS}, {WORST}, {LATEST_RUN}, {CON}, {FLAGS}, {MISS}, {ADDRESSED}, sent AS (
+  SELECT l.model_id, l.information_date, CASE WHEN run_status = 'MISSING_DATA' THEN 'MISSING_DATA' ELSE coalesce(overall_status, 'GREEN') END AS alert_type FROM lrs l LEFT JOIN ov USING (model_id, information_date)
+    WHERE run_status = 'MISSING_DATA' OR (run_status = 'SUCCESS' AND (l.model_id, l.information_date) IN (SELECT model_id, information_date FROM res)))
+  SELECT model_id, information_date, alert_type, '[MON] ' || alert_type || ' - ' || model_id || ' - ' || information_date AS subject, recipients_to, recipients_bcc
+  FROM sent JOIN adr USING (model_id, information_date) WHERE recipients_to <> ''""")
+def digest_mail(t):
+    header = al.digest_header(data.run_log(t), data.alerts(t), data.results(t), "[MON]")
+    path = scratch(t, "mail")
+    sinks.append_rows(al.digest_mail(header, addressed(t), "e1"), "email_log", path)
+    return t.spark.read.parquet(path).select("model_id", "information_date", "alert_type", "subject", "recipients_to", "recipients_bcc")
+
+
 @check("alert_digest", f"""WITH {RES}, {ALERTS}, dg AS (SELECT model_id, information_date, 'types' AS section, var_type AS item, 'stress_ratio' AS metric_name, stress_ratio AS value, aggregate_status AS status FROM alr
   UNION ALL SELECT model_id, information_date, 'red', variable, metric_name, metric_value, status FROM res WHERE status = 'RED'
   UNION ALL SELECT model_id, information_date, 'performance', variable, metric_name, metric_value, status FROM res WHERE metric_name IN ('auc', 'gini', 'brier_score', 'lift_top_decile')

@@ -45,6 +45,16 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return chosen.select(*[c if c in keys else F.col("_chosen")[c].alias(c) for c in df.columns])
 
 
+def smallest_per_key(df: DataFrame, keys: list[str], values: list[str], removed: str | None = None) -> DataFrame:
+    """``keys`` and ``values`` of one row per key: of several the smallest, so that the choice is the same on every run.
+
+    ``removed`` names a column for the number of rows that went.
+    """
+    dropped = [(F.count("*") - 1).alias(removed)] if removed else []
+    chosen = df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_chosen"), *dropped)
+    return chosen.select(*keys, "_chosen.*", *([removed] if removed else []))
+
+
 def first_rank_key(count: Column, value: Column) -> Column:
     """Sort key for 'most frequent first': ties go to the smaller value, null last."""
     return F.struct((-count).alias("n"), value.isNull().alias("is_null"), value.alias("value"))

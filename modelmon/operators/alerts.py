@@ -100,10 +100,10 @@ def recipients(runs: DataFrame, contacts: DataFrame, red_list: DataFrame) -> Dat
     )
     listed = red_list.where("is_active").agg(F.sort_array(F.collect_set("email")).alias("all_bcc"))
     empty = F.array().cast("array<string>")
-    joined = runs.join(to, RUN, "left").withColumn("_one", F.lit(1)).join(listed.withColumn("_one", F.lit(1)), "_one", "left")
+    joined = runs.join(to, RUN, "left")
     to_list = F.coalesce("to_list", empty)
     bcc = F.when(
-        F.col("has_red") | F.col("missing_data"), F.array_except(F.coalesce("all_bcc", empty), to_list)
+        F.col("has_red") | F.col("missing_data"), F.array_except(F.coalesce(listed.scalar(), empty), to_list)
     ).otherwise(empty)
     moved = F.size(to_list) == 0
     return joined.select(
@@ -134,6 +134,21 @@ def digest_header(
     )
 
 
+def digest_mail(header: DataFrame, addressed: DataFrame, execution_id: str = "") -> DataFrame:
+    """Rows for ``email_log``: each announced run with its subject, type and recipients; runs without any get no row.
+
+    ``header`` comes from ``digest_header``, ``addressed`` from ``recipients``. The id follows from run and execution, so a
+    second attempt writes the same one.
+    """
+    found = header.join(addressed, RUN).where("recipients_to <> ''")
+    email_id = F.sha2(F.concat_ws("|", F.lit(execution_id), "model_id", F.col("information_date").cast("string")), 256)
+    return found.select(
+        email_id.alias("email_id"), F.lit(execution_id).alias("execution_id"), "alert_type", "recipients_to", "recipients_bcc",
+        "subject", F.lit("READY").alias("status"), F.lit(0).alias("retry_count"),
+        F.col("information_date").cast("string").alias("information_date"), "model_id",
+    )
+
+
 def alert_digest(alerts: DataFrame, results: DataFrame) -> DataFrame:
     """Digest lines per run: type summary, red metrics, performance, target.
 

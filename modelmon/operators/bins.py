@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key
 from modelmon.functions.ordering import Grid, cut_points, top_per_group
-from modelmon.functions.sizes import bounded, reliable
+from modelmon.functions.sizes import fits, reliable
 from modelmon.operators.observations import value_counts, weighted
 
 PSI_EPSILON = 1e-6
+# Shares over which a variable's values are dealt where its bins are too many to broadcast.
+SPREAD = 64
 NUMERIC, CATEGORICAL = "NUMERIC", "CATEGORICAL"
 TRAINED_CATEGORIES = 50
 
@@ -133,16 +135,24 @@ def bin_counts(rows: DataFrame, bins: DataFrame, numeric: bool = True) -> DataFr
     """Rows per (key, bin) and side against stored bins, zero-filled for empty bins.
 
     ``rows`` are observations. A category is counted before it meets the bins; a number meets
-    the few bins of its own variable only. Adds ``n_cur, n_base`` to each bin of each key.
+    the few bins of its own variable only. Bins too many to broadcast meet counted values, and each
+    variable's values are dealt over ``SPREAD`` copies of its bins, so a variable with a third of all
+    rows is not one task. Adds ``n_cur, n_base`` to each bin of each key.
     """
     owner = ["model_id", "var_type", "variable"]
     bins = bins.select(*owner, *BIN_COLUMNS)
-    counted = weighted(rows) if numeric else value_counts(rows)
+    on = owner
+    if fits(bins):
+        counted, side = weighted(rows) if numeric else value_counts(rows), F.broadcast(bins)
+    else:
+        on = [*owner, "_share"]
+        counted = value_counts(rows).withColumn("_share", F.pmod(F.xxhash64("value"), F.lit(SPREAD)).cast("int"))
+        side = bins.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     matched = (
         counted.alias("o")
         .join(
-            bounded(bins).alias("b"),
-            [F.col(f"o.{c}") == F.col(f"b.{c}") for c in owner] + [in_bin(F.col("o.value"), numeric)],
+            side.alias("b"),
+            [F.col(f"o.{c}") == F.col(f"b.{c}") for c in on] + [in_bin(F.col("o.value"), numeric)],
         )
         .groupBy(*[F.col(f"o.{c}").alias(c) for c in KEYS], F.col("b.bin").alias("bin"))
         .agg(F.sum("o.n_cur").alias("n_cur"), F.sum("o.n_base").alias("n_base"))

@@ -95,8 +95,9 @@ def scoring_summary(results: DataFrame, summaries: DataFrame, available: DataFra
     inputs = kind.isin("raw", "input")
 
     def score_value(metric: str) -> Column:
-        return F.min_by(F.when((kind == "score") & (name == metric), F.col("metric_value")),
-                        F.when((kind == "score") & (name == metric), F.col("variable")))
+        """That of the first variable by name; of several rows of it the smallest."""
+        found = F.struct("variable", F.col("metric_value").alias("v"))
+        return F.min(F.when((kind == "score") & (name == metric), found))["v"]
 
     def any_red(condition: Column) -> Column:
         return F.coalesce(F.bool_or(condition & (status == RED)), F.lit(False))
@@ -112,7 +113,7 @@ def scoring_summary(results: DataFrame, summaries: DataFrame, available: DataFra
     population = (
         summaries.where((F.col("var_type") == "score") & (F.col("statistic") == "count_total"))
         .groupBy(*run)
-        .agg(F.min_by("statistic_value", "variable").alias("population_scored"))
+        .agg(F.min(F.struct("variable", F.col("statistic_value").alias("v")))["v"].alias("population_scored"))
     )
     joined = per_run.join(population, run, "left").join(available.select(*run, "done"), run, "left")
     if models is not None:

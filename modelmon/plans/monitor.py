@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from modelmon import schemas
-from modelmon.functions.columns import KEYS, clean_double, one_per_key, union_all
+from modelmon.functions.columns import KEYS, clean_double, one_per_key, smallest_per_key, union_all
 from modelmon.operators import conjugate, quality, registry, score, stability, summary, target, thresholds
 from modelmon.operators.alerts import alert_aggregate
 from modelmon.operators.availability import availability_done, data_availability, newest_dates
@@ -116,10 +116,9 @@ class Monitor:
                 rows.append((conjugate.SCORE_VARIABLE, conjugate.SCORE_TYPE, metric))
             elif family == "correlation":
                 rows.append((INPUTS_VARIABLE, INPUTS_TYPE, metric))
-        fixed = self.spark.createDataFrame(rows, "variable string, var_type string, metric_name string")
-        return self.feeds.summary.select("model_id").withColumn("_one", F.lit(1)).join(
-            fixed.withColumn("_one", F.lit(1)), "_one"
-        ).drop("_one")
+        names = ("variable", "var_type", "metric_name")
+        each = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])
+        return self.feeds.summary.select("model_id", F.explode(each).alias("m")).select("model_id", "m.*")
 
     def _found(self, dates: DataFrame) -> DataFrame:
         """Current read dates that the sources really hold."""
@@ -215,10 +214,6 @@ class Monitor:
 
     # -- score with target ----------------------------------------------------------
 
-    def _one_row(self, rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-        """One row per key, the same one on every run."""
-        return rows.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_row")).select(*keys, "_row.*")
-
     def _feed_of(self, row) -> Feed:
         return next(f for f in self.feeds.feeds if f.source_table == row["source_table"] and row in f.rows)
 
@@ -248,7 +243,7 @@ class Monitor:
                 keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
                 value = clean_double(F.col(r["source_column"])).alias(name)
                 plain = rows_of.select(*RUN, "side", "read_date", *keys, value)
-                sides.append((self._one_row(plain, [*RUN, "side", "read_date", *keys], [name]), keys))
+                sides.append((smallest_per_key(plain, [*RUN, "side", "read_date", *keys], [name]), keys))
             shared = [k for k in sides[0][1] if k in sides[1][1]]
             joined = conjugate.join_pairs(sides[0][0], sides[1][0], [*RUN, "side", "read_date", *shared])
             pair = conjugate.as_pairs(joined, conjugate.tie_order(shared or ["read_date"]))
@@ -295,7 +290,7 @@ class Monitor:
                 *RUN, "side", "read_date", *keys,
                 *[clean_double(F.col(r["source_column"])).alias(x) for r, x in zip(mine, labels)],
             )
-            tables.append((self._one_row(plain, [*RUN, "side", "read_date", *keys], labels), keys))
+            tables.append((smallest_per_key(plain, [*RUN, "side", "read_date", *keys], labels), keys))
         keys = reduce(lambda a, b: [k for k in a if k in b], [k for _, k in tables])
         on = [*RUN, "side", "read_date", *keys]
         wide = reduce(lambda a, b: a.join(b, on), [df for df, _ in tables])

@@ -182,3 +182,17 @@ def test_correlation_drift(spark):
     base = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 6.5)], "a double, b double")
     r = one(calculate("correlation_drift", cur, base, {}, variable="__INPUTS__"))
     assert r.metric_value == pytest.approx(abs(abs(cur.stat.corr("a", "b")) - abs(base.stat.corr("a", "b"))))
+
+
+def test_bin_counts_are_the_same_where_bins_are_too_many_to_broadcast(spark, monkeypatch):
+    from modelmon.operators import bins
+
+    rows = spark.range(4000).selectExpr(
+        "'m' AS model_id", "'2024-01-01' AS information_date", "'raw' AS var_type", "'v' AS variable",
+        "CASE WHEN id % 2 = 0 THEN 'current' ELSE 'baseline' END AS side", "CASE WHEN id % 3 = 0 THEN 5.0D ELSE CAST(id % 97 AS DOUBLE) END AS value",
+    )
+    made = bins.numeric_bins(rows)
+    wanted = sorted(map(tuple, bins.bin_counts(rows, made).select("bin", "n_cur", "n_base").collect()), key=str)
+    monkeypatch.setattr(bins, "fits", lambda df: False)
+    assert sorted(map(tuple, bins.bin_counts(rows, made).select("bin", "n_cur", "n_base").collect()), key=str) == wanted
+    assert sum(n for _, n, _ in wanted) == 2000
