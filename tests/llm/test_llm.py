@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from modelmon.llm import (
-    components, decontaminate, html_region, licenses, mixing, quality, queries, secrets, simhash, simple8b, trie_counts, warc,
+    components, decontaminate, html_region, licenses, mixing, quality, queries, secrets, shingles, simhash, simple8b, trie_counts, warc,
 )
 
 WORDS = "the of and to in lorem ipsum dolor sit amet over under zebra quark".split()
@@ -107,6 +107,46 @@ def test_links_find_every_close_pair(spark):
     assert {frozenset(s) for s in by_root.values()} == {t for t in together if len(t) > 1}
 
 
+def plain_sets(text):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_kept(rows):
+    """The doc_ids that stay of (doc_id, text) rows when every two texts are compared."""
+    sets, root = [plain_sets(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [root[i] if r == root[j] else r for r in root]
+    return {min(rows[k][0] for k in range(len(rows)) if root[k] == c) for c in root}
+
+
+def test_pipeline_drops_similar_texts(spark, empty):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    wide = [f"w{i}" for i in range(3000)]
+    texts = ["", None, " \n ", "two words", "Two  WORDS", "one two three four five", *(" ".join(rng.choices(WORDS, k=60)) for _ in range(20))]
+    line = " ".join(wide[:30])
+    for size in (12, 60, 300):
+        for _ in range(12):
+            base = rng.choices(wide, k=size)
+            texts.append(" ".join(base))
+            for edits in (1, 2, size // 60, size // 40, size // 25):
+                copy = list(base)
+                for _ in range(edits):
+                    copy[rng.randrange(size)] = rng.choice(wide)
+                texts.append(" ".join(copy))
+            texts.append(f"{line} {texts[-1]}")
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == similar_kept(rows)
+    assert shingles.keep_one(empty).count() == 0 and shingles.keep_one(empty).columns == empty.columns
+
+
 @pytest.mark.parametrize("high", [2, 50257, 2**63])
 @pytest.mark.parametrize("n", [0, 1, 59, 60, 1023, 1025, 3000])
 def test_simple8b_round_trip(high, n):
