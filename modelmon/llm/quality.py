@@ -1,7 +1,8 @@
 """Quality rules: counted rules, then divergence from the references of the text's language.
 
 Each text gives two histograms: its characters by class, and its words among the function words below. The reference of a
-language is the sum of these over all its texts. A text is rejected when the Jensen-Shannon distance (base 2, 0 to 1)
+language is, class by class, the median share over its different texts that pass the base rules, each counted once whatever
+its length and number of copies: up to half of a language's texts can be junk without moving it to them. A text is rejected when the Jensen-Shannon distance (base 2, 0 to 1)
 between its shares and the reference's is over a limit and the text is long enough for the comparison to mean anything.
 Only DataFrame functions: everything about one text is computed inside its row, nothing about it is shuffled but counts.
 """
@@ -35,6 +36,9 @@ MAX_CHAR_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.75
 MIN_CHARS = 200
 MIN_COMMON = 20
+# Shares are counted in steps of one in so many, so that medians are exact, the same on every run, and bounded in size.
+STEPS = 2_000
+
 
 def _windows(w: Column) -> Column:
     """The hash of each 3-word window, in order."""
@@ -64,13 +68,15 @@ def _covered(placed: Column) -> Column:
 def counts(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns and every count the rules need, per row with columns ``text`` and ``lang``. Null texts are empty."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    step = docs.select(*keep, F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"), text.alias("t"), words(text).alias("w"))
+    step = docs.select(
+        *keep, F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"), F.xxhash64(text).alias("same"), text.alias("t"), words(text).alias("w")
+    )
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     mark = F.create_map(*[F.lit(x) for pair in zip(COMMON, MARKS) for x in pair])
     common = F.array_join(F.transform(F.filter(F.transform("w", F.lower), lambda x: x.isin(COMMON)), lambda x: mark[x]), "")
     symbols = reduce(lambda x, y: x + y, [F.length("t") - F.length(F.replace("t", F.lit(c))) for c in SYMBOLS])
     step = step.select(
-        *keep, "language",
+        *keep, "language", "same",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
@@ -87,7 +93,7 @@ def counts(docs: DataFrame, keep: list[str]) -> DataFrame:
     )
     named = F.aggregate("classes", F.lit(0).cast("long"), lambda x, y: x + y)
     return step.select(
-        *keep, "language", "n_words", "word_chars", "n_symbols",
+        *keep, "language", "same", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(_covered(F.col("placed")), F.lit(0)).cast("long").alias("n_repeat_words"),
         "n_chars",
@@ -120,22 +126,56 @@ def _distance(mine: str, reference: str) -> Column:
 SIZES = {"by_class": len(CLASSES) + 3, "by_word": len(COMMON)}
 
 
+def _failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+
+
 def references(counted: DataFrame) -> DataFrame:
-    """One row per language: the sums of its texts' histograms, combined before the shuffle."""
-    return counted.groupBy("language").agg(
-        *[F.array(*[F.sum(F.get(c, F.lit(i))).cast("double") for i in range(n)]).alias(f"{c}_all") for c, n in SIZES.items()]
+    """One row per language: the median share of each class over its different texts that pass the base rules.
+
+    Only texts long enough for a comparison count in it; a language without any has an empty reference. Texts are told apart
+    by their hash, shares become counts per step before the shuffle, and a median is read from at most STEPS + 1 of them.
+    """
+    # Copies have equal counts, so any of them stands for all.
+    texts = counted.where(~_failed()).groupBy("language", "same").agg(F.first("n_chars").alias("n_chars"), *[F.first(c).alias(c) for c in SIZES])
+    places, at = [], 0
+    for c, n in SIZES.items():
+        total = F.aggregate(c, F.lit(0).cast("long"), lambda x, y: x + y)
+        enough = (F.col("n_chars") >= MIN_CHARS) & (total > 0) if c == "by_class" else total >= MIN_COMMON
+        start = at
+        shares = F.transform(c, lambda x, i: ((i + start) * (STEPS + 1) + F.floor(x * STEPS / total + 0.5)).cast("int"))
+        places.append(F.when(enough, shares).otherwise(F.array().cast("array<int>")))
+        at += n
+    counts = texts.select("language", F.explode(F.concat(*places)).alias("at")).groupBy("language", "at").agg(F.count("*").alias("n"))
+    # Steps in order with their counts; the first one at which half of all is reached is the (lower) median.
+    medians = (
+        counts.select("language", F.floor(F.col("at") / (STEPS + 1)).cast("int").alias("part"), F.struct((F.col("at") % (STEPS + 1)).alias("s"), "n").alias("x"))
+        .groupBy("language", "part").agg(F.sort_array(F.collect_list("x")).alias("xs"), F.sum("x.n").alias("total"))
+        .select("language", "part", F.aggregate(
+            "xs", F.struct(F.lit(0).cast("long").alias("upto"), F.lit(-1).alias("s")),
+            lambda a, x: F.struct(
+                (a["upto"] + x["n"]).alias("upto"), F.when((a["s"] < 0) & (2 * (a["upto"] + x["n"]) >= F.col("total")), x["s"]).otherwise(a["s"]).alias("s")
+            ),
+            lambda a: a["s"].cast("double"),
+        ).alias("median"))
+        .groupBy("language").agg(F.map_from_entries(F.collect_list(F.struct("part", "median"))).alias("m"))
     )
+    whole_table = counted.select("language").distinct().join(medians, "language", "left")
+    at, out = 0, []
+    for c, n in SIZES.items():
+        out.append(F.array(*[F.coalesce(F.try_element_at("m", F.lit(at + i)), F.lit(0.0)) for i in range(n)]).alias(f"{c}_all"))
+        at += n
+    return fixed(whole_table.select("language", *out), "references")
 
 
 def judged(counted: DataFrame, reference: DataFrame) -> DataFrame:
     """The counts with base_failed, char_distance, word_distance (null: too short to compare) and kept."""
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     both = counted.join(reference, "language")
     for c in SIZES:
         both = both.withColumns({c: F.col(c).cast("array<double>"), f"{c}_n": _total(F.col(c).cast("array<double>")), f"{c}_all_n": _total(F.col(f"{c}_all"))})
     return both.select(
         *[c for c in counted.columns if c not in SIZES],
-        failed.alias("base_failed"),
+        _failed().alias("base_failed"),
         F.when(F.col("n_chars") >= MIN_CHARS, _distance("by_class", "by_class_all")).alias("char_distance"),
         F.when(F.col("by_word_n") >= MIN_COMMON, _distance("by_word", "by_word_all")).alias("word_distance"),
     ).withColumn(

@@ -196,6 +196,17 @@ def test_junk_diverges(spark):
     assert not kept[100]
 
 
+def test_junk_rejects_no_clean_text(spark):
+    good = [(i, prose(i, 150), "en") for i in range(40)]
+    table = lambda seed, n: " ".join(str(random.Random(seed * 9973 + k).getrandbits(40)) for k in range(n))
+    rows_of_junk = [(100 + i, table(i, 150), "en") for i in range(20)]
+    copies_of_junk = [(200 + i, table(7, 150), "en") for i in range(100)]
+    for junk in (rows_of_junk, copies_of_junk, [(300, table(1, 40_000), "en")], rows_of_junk + copies_of_junk + [(300, table(1, 40_000), "en")]):
+        docs = spark.createDataFrame(good + junk, "doc_id long, text string, lang string")
+        kept = {r.doc_id for r in quality.quality(docs).where("kept").collect()}
+        assert kept == {i for i, _, _ in good}
+
+
 def test_mixture_equals_sql(docs, empty):
     rows = docs.select("doc_id", "text", "lang", "source").toPandas()
     con = duckdb.connect()
