@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modelmon.llm import decontaminate, html_region, licenses, mixing, quality, secrets, simhash, simple8b, trie_counts, warc
+from modelmon.llm import decontaminate, html_region, licenses, mixing, quality, secrets, simhash, simple8b, substrings, trie_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -138,3 +138,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string")
     )
     return licenses.licences(docs.select("doc_id", path.alias("path"), "text"), named_only=False)
+
+
+@query("op13_substrings")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
