@@ -171,13 +171,13 @@ def _candidates(before: int | None, window: int):
         ids = docs.column("doc_id")
         missing = ids.is_null().to_numpy()[text] if len(at) else np.empty(0, bool)
         doc = ids.fill_null(0).to_numpy()[text] if len(at) else np.empty(0, np.int64)
-        h, other = part.runs(window)[at], part.runs(window, 1)[at]
+        h, other = part.runs(window)[at], (part.runs(window, 1)[at] >> np.uint64(32)).astype(np.uint32)
         order = np.lexsort((start, doc, missing, other, h))
         h, other, doc, missing, start = (x[order] for x in (h, other, doc, missing, start))
         first = np.nonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (other[1:] != other[:-1])]))[0] if len(h) else order
         n = np.diff(np.append(first, len(h)))
         return pa.table({
-            "hash": _signed(h[first]), "other": _signed(other[first]), "missing": pa.array(missing[first]), "doc": pa.array(doc[first]),
+            "hash": _signed(h[first]), "other": pa.array(other[first].view(np.int32)), "missing": pa.array(missing[first]), "doc": pa.array(doc[first]),
             "start": pa.array(start[first].astype(np.int32)), "part": pa.array(np.full(len(first), key[0].as_py(), np.int32)), "many": pa.array(n > 1),
         })
 
@@ -188,7 +188,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What each part must know of its windows; rows come sorted by hash, other, missing, doc, start.
 
     A part that does not hold a window's first place removes all its places (``first`` is false); one that does, and has
-    the window several times, removes all but the first.
+    the window several times, removes all but the first. Windows are told apart by 96 bits of hash here; inside a part, which
+    looks its few million windows up in its own list, 64 bits do.
     """
     names = ("hash", "other", "missing", "doc", "start")
     lead = None
@@ -204,8 +205,12 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = [x[at[-1]] for x in now]
         skip = len(new) - batch.num_rows
         first = first[skip:]
-        out = pa.array(~first | batch.column("many").to_numpy(zero_copy_only=False))
-        yield batch.append_column("first", pa.array(first)).select(["part", "hash", "other", "missing", "doc", "start", "first"]).filter(out)
+        out = ~first | batch.column("many").to_numpy(zero_copy_only=False)
+        missing, doc, start = (np.where(first, x[skip:], 0).astype(x.dtype)[out] for x in now[2:])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).filter(pa.array(out)) for c in ("part", "hash")] + [pa.array(x) for x in (missing, doc, start, first[out])],
+            names=["part", "hash", "missing", "doc", "start", "first"],
+        )
 
 
 def _removed(window: int):
@@ -213,13 +218,13 @@ def _removed(window: int):
 
     def run(key, docs: pa.Table, known: pa.Table) -> pa.Table:
         part = Part(_texts(docs), window)
-        listed, other = _unsigned(known, "hash"), _unsigned(known, "other")
+        listed = _unsigned(known, "hash")
         gone = np.zeros(len(part.hashed), bool)
         if len(listed) and len(gone) >= window:
             order = np.argsort(listed)
-            h, o = part.runs(window), part.runs(window, 1)
+            h = part.runs(window)
             to = order[np.minimum(np.searchsorted(listed, h, sorter=order), len(order) - 1)]
-            at = np.nonzero(part.windows() & (listed[to] == h) & (other[to] == o))[0]
+            at = np.nonzero(part.windows() & (listed[to] == h))[0]
             to = to[at]
             text, start = part.place(at)
             ids = docs.column("doc_id")
@@ -272,9 +277,9 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         went_on = found.repartition("hash").sortWithinPartitions("hash").mapInArrow(_going_on, "part int, hash long")
         before = size
     found = with_list(
-        _candidates(before, window), went_on, "hash long, other long, missing boolean, doc long, start int, part int, many boolean"
+        _candidates(before, window), went_on, "hash long, other int, missing boolean, doc long, start int, part int, many boolean"
     )
     known = found.repartition("hash").sortWithinPartitions("hash", "other", "missing", "doc", "start").mapInArrow(
-        _repeated, "part int, hash long, other long, missing boolean, doc long, start int, first boolean"
+        _repeated, "part int, hash long, missing boolean, doc long, start int, first boolean"
     )
     return with_list(_removed(window), known, "doc_id long, text string, n_words long, n_removed long")
