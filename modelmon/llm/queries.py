@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modelmon.llm import decontaminate, html_region, licenses, mixing, quality, secrets, simhash, simple8b, substrings, trie_counts, warc
+from modelmon.llm import (
+    collocations, decontaminate, html_region, licenses, mixing, negatives, quality, secrets, simhash, simple8b, substrings, trie_counts, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -140,7 +142,74 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licences(docs.select("doc_id", path.alias("path"), "text"), named_only=False)
 
 
-@query("op13_substrings")
+HARD_NEGATIVES_SQL = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, list_inner_product(a.q, r.q)::BIGINT AS score
+    FROM whole a JOIN whole r ON r.vec_id != a.vec_id WHERE a.vec_id % 50 = 0),
+own AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT own.anchor_id, positive_id, row_number() OVER (PARTITION BY own.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM own JOIN pairs ON pairs.anchor_id = own.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+@query("op11_hard_negatives", HARD_NEGATIVES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+COLLOCATIONS_SQL = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+    FROM documents),
+grams AS (
+    {" UNION ALL ".join(f"SELECT lang, {k} AS k, w[i : i + {k - 1}] AS p FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces)" for k in range(1, 5))}),
+f AS (SELECT lang, k, p, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+cuts AS (SELECT lang, k, p, a, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+scored AS (
+    SELECT cuts.lang, cuts.p, cuts.a, c, x.a AS l, y.a AS r, (2000000::HUGEINT * cuts.a // (x.a + y.a))::BIGINT AS score
+    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.p = cuts.p[1:c] JOIN f y ON y.lang = cuts.lang AND y.p = cuts.p[c + 1 :]
+    QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.p ORDER BY score, c) = 1),
+inner_parts AS (SELECT lang, a, k, p, unnest(range(2, k)) AS m FROM f WHERE k > 2),
+held AS (SELECT lang, p[i : i + m - 1] AS p, max(a) AS most FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM inner_parts) GROUP BY ALL),
+kept AS (
+    SELECT scored.*, array_to_string(scored.p, ' ') AS phrase FROM scored LEFT JOIN held ON held.lang = scored.lang AND held.p = scored.p
+    WHERE most IS NULL OR 100 * most < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
+@query("op12_collocations", COLLOCATIONS_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+SUBSTRINGS_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, s, w[s : s + 19] AS q FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+firsts AS (SELECT q, min({'doc': doc_id, 's': s}) AS f, count(*) AS c FROM windows GROUP BY q HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS pos FROM windows JOIN firsts USING (q) WHERE {'doc': doc_id, 's': s} > f),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (
+    SELECT doc_id, count(*) FILTER (WHERE gone.pos IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone.pos IS NULL) AS rest
+    FROM words LEFT JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op13_substrings", SUBSTRINGS_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
