@@ -27,8 +27,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def clean_double(value: Column) -> Column:
-    """Cast to double and read NaN as missing."""
-    number = value.cast("double")
+    """As a double; NaN and text that is no number are missing."""
+    number = value.try_cast("double")
     return F.when(~F.isnan(number), number)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from modelmon.functions.columns import KEYS, first_rank_key
 from modelmon.functions.ordering import Grid, cut_points, top_per_group
 from modelmon.functions.sizes import fits, reliable
-from modelmon.operators.observations import value_counts, weighted
+from modelmon.operators.observations import sizes, value_counts, weighted
 
 PSI_EPSILON = 1e-6
 # Shares over which a variable's values are dealt where its bins are too many to broadcast.
@@ -157,7 +157,7 @@ def bin_counts(rows: DataFrame, bins: DataFrame, numeric: bool = True) -> DataFr
         .groupBy(*[F.col(f"o.{c}").alias(c) for c in KEYS], F.col("b.bin").alias("bin"))
         .agg(F.sum("o.n_cur").alias("n_cur"), F.sum("o.n_base").alias("n_base"))
     )
-    wanted = rows.select(*KEYS).distinct().join(bins, owner)
+    wanted = sizes(rows).select(*KEYS).join(bins, owner)
     return wanted.join(matched, [*KEYS, "bin"], "left").fillna(0, ["n_cur", "n_base"])
 
 

@@ -2,7 +2,8 @@
 
 ``KEYS + side + value`` where side is ``current`` or ``baseline``. Numeric and text variables
 travel in separate frames, so numbers are never turned into strings. One scan of a source
-feeds all of its variables and both sides.
+feeds all of its variables and both sides. Counted once by value (``value_counts``), the same
+observations are ``KEYS + value + n_cur + n_base``; families take either form.
 """
 
 from __future__ import annotations
@@ -76,13 +77,25 @@ def unpivot(rows: DataFrame, variables: list[tuple[str, str, str]], numeric: boo
     )
 
 
+def is_counted(rows: DataFrame) -> bool:
+    """Whether a frame holds values with their occurrences (``n_cur``, ``n_base``) in place of sides."""
+    return "n_cur" in rows.columns and "side" not in rows.columns
+
+
 def weighted(rows: DataFrame) -> DataFrame:
     """Add whole-number weights ``n_cur`` / ``n_base`` in place of the side."""
+    if is_counted(rows):
+        return rows
     return rows.withColumns(
         {"n_cur": is_current().cast("long"), "n_base": is_baseline().cast("long")}
     )
 
 
+def sizes(rows: DataFrame) -> DataFrame:
+    """KEYS with the rows of both sides."""
+    return weighted(rows).groupBy(*KEYS).agg(F.sum("n_cur").alias("n_cur"), F.sum("n_base").alias("n_base"))
+
+
 def with_cutoff(rows: DataFrame, cutoff: float | DataFrame) -> DataFrame:
     """Attach the approval cutoff: one number, or a (model_id, cutoff) frame."""
     if isinstance(cutoff, DataFrame):
@@ -93,7 +106,9 @@ def with_cutoff(rows: DataFrame, cutoff: float | DataFrame) -> DataFrame:
 
 
 def value_counts(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Occurrences per value and side, counted before anything is shuffled."""
+    """Occurrences per value and side, counted before anything is shuffled. What is counted already stays as it is."""
+    if is_counted(rows) and keys == KEYS:
+        return rows.select(*keys, "value", "n_cur", "n_base")
     return rows.groupBy(*keys, "value").agg(
         F.count_if(is_current()).alias("n_cur"), F.count_if(is_baseline()).alias("n_base")
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS, first_rank_key, is_current, ratio
 from modelmon.functions.ordering import top_per_group
 from modelmon.functions.sizes import bounded, reliable
-from modelmon.operators.observations import side_counts, value_counts, with_cutoff
+from modelmon.operators.observations import side_counts, value_counts, weighted, with_cutoff
 from modelmon.operators.registry import Metric, register, register_family
 
 DEFAULT_TOP_N = 10
@@ -55,16 +55,29 @@ def distinct(rows: DataFrame) -> DataFrame:
     )
 
 
-def outliers(rows: DataFrame, quartiles: DataFrame) -> DataFrame:
-    """Rows beyond 1.5 inter-quartile ranges. ``quartiles`` holds KEYS + q1, q3."""
+def _beyond(rows: DataFrame, quartiles: DataFrame) -> tuple[DataFrame, Column]:
     spread = 1.5 * (F.col("q3") - F.col("q1"))
     fences = quartiles.select(*KEYS, (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
-    beyond = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
-    n_cur, n_base = side_counts()
-    return (
-        rows.join(bounded(reliable(fences)), KEYS, "left")
-        .groupBy(*KEYS)
-        .agg(n_cur.alias("n_cur"), n_base.alias("n_base"), F.count_if(is_current() & beyond).alias("outliers_cur"))
+    fenced = weighted(rows).join(bounded(reliable(fences)), KEYS, "left")
+    return fenced, (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+
+
+def _sizes() -> list:
+    return [F.sum("n_cur").alias("n_cur"), F.sum("n_base").alias("n_base")]
+
+
+def outliers(rows: DataFrame, quartiles: DataFrame) -> DataFrame:
+    """Rows beyond 1.5 inter-quartile ranges. ``quartiles`` holds KEYS + q1, q3."""
+    fenced, beyond = _beyond(rows, quartiles)
+    return fenced.groupBy(*KEYS).agg(*_sizes(), F.sum(F.when(beyond, F.col("n_cur")).otherwise(0)).alias("outliers_cur"))
+
+
+def values(counted: DataFrame, quartiles: DataFrame) -> DataFrame:
+    """What ``distinct`` and ``outliers`` say, from one pass over values counted before."""
+    fenced, beyond = _beyond(counted, quartiles)
+    return fenced.groupBy(*KEYS).agg(
+        *_sizes(), F.sum(F.when(beyond, F.col("n_cur")).otherwise(0)).alias("outliers_cur"),
+        F.count_if(F.col("value").isNotNull() & (F.col("n_cur") > 0)).alias("distinct_cur"),
     )
 
 
@@ -98,6 +111,7 @@ def categories(rows: DataFrame, top_n: int | DataFrame = DEFAULT_TOP_N, max_top_
         F.sum("n_cur").alias("n_cur"),
         F.sum("n_base").alias("n_base"),
         F.max("n_cur").alias("largest_cur"),
+        F.count_if(F.col("value").isNotNull() & (F.col("n_cur") > 0)).alias("distinct_cur"),
     )
     return totals.join(shared, KEYS, "left")
 

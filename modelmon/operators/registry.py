@@ -56,17 +56,19 @@ def family(name: str) -> Callable[..., DataFrame]:
     return _FAMILIES[name]
 
 
-def measure(table: DataFrame, metrics: list[Metric]) -> DataFrame:
+def measure(table: DataFrame, metrics: list[Metric], keep_undefined: bool = False) -> DataFrame:
     """One row per key and metric from a family table.
 
-    Metrics that need a baseline give no row where no baseline row exists.
+    Metrics that need a baseline give no row where no baseline row exists. What cannot be worked out is 0, or null
+    with ``keep_undefined``.
     """
     entries = []
     for metric in metrics:
+        value = metric.value().cast("double")
         baseline = metric.baseline() if metric.baseline else F.lit(None)
         entry = F.struct(
             F.lit(metric.name).alias("metric_name"),
-            F.coalesce(metric.value().cast("double"), F.lit(0.0)).alias("metric_value"),
+            (value if keep_undefined else F.coalesce(value, F.lit(0.0))).alias("metric_value"),
             baseline.cast("double").alias("baseline_value"),
         )
         entries.append(F.when(F.col("n_base") > 0, entry) if metric.needs_baseline else entry)

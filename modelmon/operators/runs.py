@@ -45,11 +45,13 @@ def candidate_dates(models: DataFrame, calendar: DataFrame, first: Column, last:
     return due_runs(days, calendar, log).select("model_id", "information_date").distinct()
 
 
-def execution_log(results: DataFrame, missing: DataFrame, execution_id: str, job: str, reason: str = "SCHEDULED") -> DataFrame:
-    """One log row per run: SUCCESS from its results, MISSING_DATA from ``missing``.
+def execution_log(
+    results: DataFrame, missing: DataFrame, execution_id: str, job: str, reason: str = "SCHEDULED", failed: DataFrame | None = None
+) -> DataFrame:
+    """One log row per run: SUCCESS from its results, MISSING_DATA from ``missing``, FAILED from ``failed``.
 
-    ``missing``: model_id, information_date, error_message, variables_missing. A metric without
-    a value counts as failed.
+    ``missing``: model_id, information_date, error_message, variables_missing; ``failed`` the same without the last. A
+    metric without a value counts as failed. A run that failed has no other row.
     """
     run = ["model_id", "information_date"]
     done = results.groupBy(*run).agg(
@@ -67,7 +69,12 @@ def execution_log(results: DataFrame, missing: DataFrame, execution_id: str, job
         zero.alias("variables_processed"), F.col("variables_missing").cast("int").alias("variables_missing"),
         zero.alias("metrics_calculated"), zero.alias("metrics_failed"),
     )
-    return done.unionByName(absent).withColumns(
+    rows = done.unionByName(absent)
+    if failed is not None:
+        broken = failed.groupBy(*run).agg(F.concat_ws("; ", F.sort_array(F.collect_set("error_message"))).alias("error_message"))
+        broken = broken.withColumns({"status": F.lit("FAILED"), **{c: zero for c in rows.columns if c not in (*run, "status", "error_message")}})
+        rows = rows.join(broken.select(*run), run, "left_anti").unionByName(broken)
+    return rows.withColumns(
         {
             "execution_id": F.lit(execution_id), "dag_id": F.lit(job), "airflow_run_id": F.lit(execution_id),
             "reason": F.lit(reason),

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from modelmon.functions.columns import KEYS, is_baseline, is_current, ratio
+from modelmon.functions.columns import BASELINE, CURRENT, KEYS, is_baseline, is_current, ratio
 from modelmon.functions.ordering import ordered_cross
-from modelmon.operators.observations import side_counts, with_cutoff
+from modelmon.operators.observations import is_counted, sizes, weighted, with_cutoff
 from modelmon.operators.registry import Metric, register, register_family
 from modelmon.operators.stability import stored_psi
 
@@ -20,8 +20,7 @@ def _has_base(value):
 def entropy(rows: DataFrame) -> DataFrame:
     """Entropy of ten score bands per side. A missing score falls in the top band."""
     band = F.least(F.floor(F.col("value") * 10), F.lit(TOP_ENTROPY_BIN).cast("long"))
-    n_cur, n_base = side_counts()
-    per_band = rows.groupBy(*KEYS, band.alias("band")).agg(n_cur.alias("c"), n_base.alias("b"))
+    per_band = weighted(rows).groupBy(*KEYS, band.alias("band")).agg(F.sum("n_cur").alias("c"), F.sum("n_base").alias("b"))
     totals = per_band.groupBy(*KEYS).agg(F.sum("c").alias("n_cur"), F.sum("b").alias("n_base"))
 
     def term(count: str, total: str):
@@ -45,11 +44,14 @@ def concentration(rows: DataFrame) -> DataFrame:
 
     Missing scores take the lowest ranks, as in an ascending sort.
     """
-    value = F.coalesce(F.col("value"), F.lit(0.0))
-    sized = rows.groupBy(*KEYS, "side").agg(
-        F.count("*").cast("double").alias("n"), F.count_if(F.col("value").isNull()).alias("nulls")
-    )
-    weights = rows.withColumns({"one": F.lit(1.0), "mass": value})
+    if is_counted(rows):
+        sides = [F.struct(F.lit(s).alias("side"), F.col(c).cast("double").alias("one")) for s, c in ((CURRENT, "n_cur"), (BASELINE, "n_base"))]
+        weights = rows.select(*KEYS, "value", F.explode(F.array(*sides)).alias("s")).select(*KEYS, "value", "s.*").where("one > 0")
+    else:
+        weights = rows.withColumn("one", F.lit(1.0))
+    weights = weights.withColumn("mass", F.coalesce(F.col("value"), F.lit(0.0)) * F.col("one"))
+    missing = F.sum(F.when(F.col("value").isNull(), F.col("one")).otherwise(0.0))
+    sized = weights.groupBy(*KEYS, "side").agg(F.sum("one").alias("n"), missing.alias("nulls"))
     ranked = ordered_cross(weights, [*KEYS, "side"], "value", "one", "mass")
     n, mass = F.col("n"), F.col("total_right")
     rank_sum = F.col("cross") + mass / 2 + F.col("nulls") * mass
@@ -99,8 +101,6 @@ def split_psi(
         "variable", F.concat_ws("\x1f", "variable", "part")
     ).drop("part")
     found = stored_psi(tagged, split_bins, True, expected)
-    n_cur, n_base = side_counts()
-    sizes = rows.groupBy(*KEYS).agg(n_cur.alias("n_cur"), n_base.alias("n_base"))
     named = found.withColumns(
         {"part": F.element_at(F.split("variable", "\x1f"), -1), "variable": F.split("variable", "\x1f")[0]}
     )
@@ -109,7 +109,7 @@ def split_psi(
         F.max(F.when(F.col("part") == "rejected", F.col("psi"))).alias("psi_rejected"),
     )
     owner = ["model_id", "var_type", "variable"]
-    return sizes.join(bins.select(*owner).distinct(), owner, "left_semi").join(per_part, KEYS, "left")
+    return sizes(rows).join(bins.select(*owner).distinct(), owner, "left_semi").join(per_part, KEYS, "left")
 
 
 register_family("entropy", entropy)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from modelmon.functions.columns import KEYS, first_rank_key, is_baseline, is_current, union_all
 from modelmon.functions.ordering import Grid, cut_points, top_per_group
 from modelmon.operators.bins import bin_counts, psi, psi_term
-from modelmon.operators.observations import side_counts, value_counts, weighted
+from modelmon.operators.observations import sizes, value_counts, weighted
 from modelmon.operators.registry import Metric, register, register_family
 
 DYNAMIC_BINS = 10
@@ -37,8 +37,6 @@ def quantiles(rows: DataFrame, n_bins: int = DYNAMIC_BINS) -> DataFrame:
     fine = KS_STEPS if KS_STEPS % n_bins == 0 else KS_STEPS * n_bins
     grids = [Grid("cur", KS_STEPS), Grid("base", fine), Grid("pool", KS_STEPS)]
     cuts = cut_points(weighted(rows), KEYS, "value", ["n_cur", "n_base"], _RANKS, grids)
-    n_cur, n_base = side_counts()
-    sizes = rows.groupBy(*KEYS).agg(n_cur.alias("n_cur"), n_base.alias("n_base"))
 
     def percentile(by: str, percent: int) -> Column:
         step = percent * (fine if by == "base" else KS_STEPS) // 100
@@ -47,7 +45,7 @@ def quantiles(rows: DataFrame, n_bins: int = DYNAMIC_BINS) -> DataFrame:
     every = fine // n_bins
     edge = (F.col("by") == "base") & (F.col("step") > 0) & (F.col("step") < fine) & (F.col("step") % every == 0)
     running = F.struct(F.col("step"), F.col("upto_n_cur").alias("c"), F.col("upto_n_base").alias("b"))
-    measured = sizes.join(cuts, KEYS, "left").groupBy(*KEYS).agg(
+    measured = sizes(rows).join(cuts, KEYS, "left").groupBy(*KEYS).agg(
         F.first("n_cur").alias("n_cur"),
         F.first("n_base").alias("n_base"),
         F.max("total_n_cur").alias("valid_cur"),
@@ -93,8 +91,7 @@ def dynamic_categories(rows: DataFrame, n_bins: int = DYNAMIC_BINS) -> DataFrame
     order = [first_rank_key(F.col("n_base"), F.col("value"))]
     top = top_per_group(per_value.where(F.col("n_base") > 0), KEYS, order, n_bins)
     binned = top.withColumn("n_cur", F.when(F.col("value").isNull(), 0).otherwise(F.col("n_cur")))
-    sizes = per_value.groupBy(*KEYS).agg(F.sum("n_cur").alias("n_cur"), F.sum("n_base").alias("n_base"))
-    return sizes.join(psi(binned, "n_cur", "n_base", name="psi_dynamic"), KEYS, "left")
+    return sizes(per_value).join(psi(binned, "n_cur", "n_base", name="psi_dynamic"), KEYS, "left")
 
 
 def stored_psi(rows: DataFrame, bins: DataFrame, numeric: bool = True, expected: str = "dev") -> DataFrame:
@@ -106,19 +103,19 @@ def stored_psi(rows: DataFrame, bins: DataFrame, numeric: bool = True, expected:
     binned = bin_counts(rows, bins, numeric)
     base = F.col("n_base")
     binned = binned.withColumn("n_exp", F.coalesce(F.col("count_dev"), base) if expected == "dev" else base)
-    n_cur, n_base = side_counts()
-    sizes = rows.groupBy(*KEYS).agg(n_cur.alias("n_cur"), n_base.alias("n_base"))
-    return sizes.join(psi(binned, "n_cur", "n_exp"), KEYS)
+    return sizes(rows).join(psi(binned, "n_cur", "n_exp"), KEYS)
 
 
-def canonical_psi(rows: DataFrame, bins: DataFrame, dynamic: DataFrame, numeric: bool = True) -> DataFrame:
-    """PSI on stored bins, or on baseline bins (``dynamic``) for variables without any."""
+def canonical_psi(rows: DataFrame, bins: DataFrame | None, dynamic: DataFrame, numeric: bool = True) -> DataFrame:
+    """PSI on stored bins, or on baseline bins (``dynamic``) for variables without any; without both it is 0."""
+    own = dynamic.select(
+        *KEYS, "n_base", F.when(F.col("n_base") > 0, F.coalesce("psi_dynamic", F.lit(0.0))).otherwise(0.0).alias("psi_canonical")
+    )
+    if bins is None:
+        return own
     stored = stored_psi(rows, bins, numeric).select(*KEYS, "n_base", F.col("psi").alias("psi_canonical"))
     owner = ["model_id", "var_type", "variable"]
-    fallback = dynamic.join(bins.select(*owner).distinct(), owner, "left_anti").select(
-        *KEYS, "n_base", F.coalesce("psi_dynamic", F.lit(0.0)).alias("psi_canonical")
-    )
-    return stored.unionByName(fallback)
+    return stored.unionByName(own.join(bins.select(*owner).distinct(), owner, "left_anti"))
 
 
 def _correlation(a: str, b: str) -> Column:
@@ -126,12 +123,26 @@ def _correlation(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
-def correlation(wide: DataFrame, columns: list[str], keys: list[str] = KEYS) -> DataFrame:
+def correlation(
+    wide: DataFrame, columns: list[str], keys: list[str] = KEYS, own: dict[str, list[str]] | None = None
+) -> DataFrame:
     """Strongest absolute correlation between any two columns, per side.
 
-    Missing values enter as zero. Pairs are computed many to a pass, never one job each.
+    Missing values enter as zero. Pairs are computed many to a pass, never one job each. ``own`` names the columns of each
+    model where several models share the frame: only pairs that some model owns are computed, and a model's result
+    comes from its own pairs.
     """
     pairs = list(combinations(columns, 2))
+    owners: dict[tuple[str, str], list[str]] = {}
+    if own is not None:
+        for model, mine in own.items():
+            for pair in combinations(sorted(set(mine), key=columns.index), 2):
+                owners.setdefault(pair, []).append(model)
+            # A column that a model uses under two names goes with itself.
+            if len(set(mine)) < len(mine):
+                owners.setdefault((doubled := next(c for c in mine if mine.count(c) > 1), doubled), []).append(model)
+        pairs = sorted(owners, key=lambda p: (columns.index(p[0]), columns.index(p[1])))
+    shared = own is not None and len(own) > 1
     filled = wide.select(*keys, "side", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
     passes = []
     for start in range(0, len(pairs), PAIRS_PER_PASS):
@@ -139,7 +150,12 @@ def correlation(wide: DataFrame, columns: list[str], keys: list[str] = KEYS) ->
         found = filled.groupBy(*keys, "side").agg(
             *[_correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(chunk)], F.count("*").alias("n")
         )
-        strengths = [F.coalesce(F.abs(F.col(f"c{i}")), F.lit(0.0)) for i in range(len(chunk))]
+        strengths = []
+        for i, pair in enumerate(chunk):
+            strength = F.coalesce(F.abs(F.col(f"c{i}")), F.lit(0.0))
+            if shared and len(owners[pair]) < len(own):
+                strength = F.when(F.col("model_id").isin(owners[pair]), strength).otherwise(0.0)
+            strengths.append(strength)
         passes.append(
             found.select(*keys, "side", "n", F.greatest(F.lit(CORRELATION_FLOOR), *strengths).alias("strongest"))
         )

@@ -15,7 +15,7 @@ OK, STOP, REPROCESS, WARNING, PENDING_RUN = "OK", "Stop", "Reprocess", "WARNING"
 DONE, PENDING = "DONE", "PENDING"
 
 
-def _long(wide: DataFrame, statistics: list[tuple[str, Column, Column]], data_type: str) -> DataFrame:
+def _long(wide: DataFrame, statistics: list[tuple[str, Column, Column]], data_type: Column) -> DataFrame:
     entries = [
         F.struct(
             F.lit(name).alias("statistic"),
@@ -24,7 +24,7 @@ def _long(wide: DataFrame, statistics: list[tuple[str, Column, Column]], data_ty
         )
         for name, value, text in statistics
     ]
-    return wide.select(*KEYS, F.lit(data_type).alias("data_type"), F.explode(F.array_compact(F.array(*entries))).alias("s")).select(
+    return wide.select(*KEYS, data_type.alias("data_type"), F.explode(F.array_compact(F.array(*entries))).alias("s")).select(
         *KEYS, "data_type", "s.*"
     )
 
@@ -48,17 +48,22 @@ def numeric_summary(rows: DataFrame, quantiles: DataFrame) -> DataFrame:
         F.count("*").alias("total"), F.count(v).alias("non_null"), F.min(v).alias("min"), F.max(v).alias("max"),
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
     )
+    return numeric_statistics(plain, quantiles)
+
+
+def numeric_statistics(plain: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """The same from KEYS + total, non_null, min, max, mean, std."""
     deciles = quantiles.select(*KEYS, *[F.col(f"cur_p{p}") for p in PERCENTILES])
     wide = plain.join(deciles, KEYS, "left")
-    counted = _long(wide, _counts(F.col("total"), F.col("non_null")), "numeric")
+    counted = _long(wide, _counts(F.col("total"), F.col("non_null")), F.lit("numeric"))
     measured = [(s, F.coalesce(F.col(s), F.lit(0.0)), F.coalesce(F.col(s).cast("string"), F.lit("None"))) for s in ("min", "max", "mean", "std")]
     measured += [(f"p{p}", F.col(f"cur_p{p}"), F.col(f"cur_p{p}")) for p in PERCENTILES]
-    return counted.unionByName(_long(wide.where(F.col("non_null") > 0), measured, "numeric"))
+    return counted.unionByName(_long(wide.where(F.col("non_null") > 0), measured, F.lit("numeric")))
 
 
 def categorical_summary(rows: DataFrame) -> DataFrame:
     """Counts, distinct categories and the most frequent one (missing is a category)."""
-    per_value = value_counts(rows.where(is_current()))
+    per_value = value_counts(rows).where("n_cur > 0")
     wide = per_value.groupBy(*KEYS).agg(
         F.sum("n_cur").alias("total"),
         F.sum(F.when(F.col("value").isNotNull(), F.col("n_cur")).otherwise(0)).alias("non_null"),
@@ -71,13 +76,18 @@ def categorical_summary(rows: DataFrame) -> DataFrame:
         ("top_category", F.lit(None), F.coalesce(F.col("top.value"), F.lit("None"))),
         ("top_category_count", top_count, top_count),
     ]
-    return _long(wide, statistics, "categorical")
+    return _long(wide, statistics, F.lit("categorical"))
 
 
 def count_summary(rows: DataFrame, data_type: str) -> DataFrame:
     """Counts only: what variables of other data types (such as binary targets) get."""
     wide = rows.where(is_current()).groupBy(*KEYS).agg(F.count("*").alias("total"), F.count("value").alias("non_null"))
-    return _long(wide, _counts(F.col("total"), F.col("non_null")), data_type)
+    return count_statistics(wide, F.lit(data_type))
+
+
+def count_statistics(plain: DataFrame, data_type: Column) -> DataFrame:
+    """The same from KEYS + total, non_null."""
+    return _long(plain, _counts(F.col("total"), F.col("non_null")), data_type)
 
 
 def vintage(information_date: Column) -> Column:

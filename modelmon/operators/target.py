@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS
 from modelmon.operators.bins import psi
-from modelmon.operators.observations import value_counts
+from modelmon.operators.observations import sizes, value_counts
 from modelmon.operators.registry import Metric, register, register_family
 from modelmon.operators.stability import stored_psi
 
@@ -16,9 +16,8 @@ def target_psi(rows: DataFrame, bins: DataFrame | None = None) -> DataFrame:
     owner = ["model_id", "var_type", "variable"]
     loose = rows if bins is None else rows.join(bins.select(*owner).distinct(), owner, "left_anti")
     per_value = value_counts(loose)
-    sizes = per_value.groupBy(*KEYS).agg(F.sum("n_base").alias("n_base"))
     binned = per_value.where((F.col("n_cur") > 0) & F.col("value").isNotNull())
-    own = sizes.join(psi(binned, "n_cur", "n_base"), KEYS, "left").fillna(0.0, ["psi"])
+    own = sizes(per_value).drop("n_cur").join(psi(binned, "n_cur", "n_base"), KEYS, "left").fillna(0.0, ["psi"])
     if bins is None:
         return own
     stored = stored_psi(rows, bins).select(*KEYS, "n_base", "psi")

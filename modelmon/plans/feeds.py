@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass, field, fields
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from modelmon.functions.columns import one_per_key, union_all
+from modelmon.functions.columns import clean_double, one_per_key, union_all
 from modelmon.functions.dates import format_date
-from modelmon.functions.sizes import all_reliable, bounded, reliable
+from modelmon.functions.sizes import reliable
 from modelmon.operators.calendar import resolve_dates
 from modelmon.operators.observations import unpivot
 from modelmon.sources import reader
@@ -80,6 +80,7 @@ class Feeds:
         models: list[str] | None = None,
         overrides: dict[str, DataFrame] | None = None,
         skip_unknown: bool = False,
+        isolate: bool = False,
     ) -> None:
         self.spark, self.config = spark, config
         self.overrides = overrides or {}
@@ -105,14 +106,52 @@ class Feeds:
         )
         joined = self.metadata.join(self.tables.drop("process_date"), ["model_id", "source_table"], "left")
         self.rows = sorted(joined.collect(), key=lambda r: (r["model_id"], r["var_type"], r["variable"]))
-        unknown = sorted({f"{r['model_id']}: {r['source_table']}" for r in self.rows if r["table_role"] is None})
-        if unknown and skip_unknown:
-            self.rows = [r for r in self.rows if r["table_role"] is not None]
-        elif unknown:
-            raise MissingConfig(f"table metadata not found for {unknown}")
+        unknown = sorted({(r["model_id"], r["source_table"]) for r in self.rows if r["table_role"] is None})
+        self.reasons: list[tuple[str, str]] = []
+        if isolate:
+            self.reasons = [(m, f"table metadata not found for {table}") for m, table in unknown]
+            self._leave_out()
+        elif unknown and not skip_unknown:
+            raise MissingConfig(f"table metadata not found for {[f'{m}: {table}' for m, table in unknown]}")
+        self.rows = [r for r in self.rows if r["table_role"] is not None]
         self.feeds = self._group()
+        if isolate:
+            before = len(self.reasons)
+            self.reasons += [(m, reason) for feed in self.feeds for m, reason in self._unreadable(feed)]
+            if len(self.reasons) > before:
+                self._leave_out()
+                self.feeds = self._group()
         self._held: DataFrame | None = None
 
+    def _leave_out(self) -> None:
+        """Models with a reason against them are no part of any plan."""
+        broken = sorted({m for m, _ in self.reasons})
+        if broken:
+            self.rows = [r for r in self.rows if r["model_id"] not in set(broken)]
+            self.summary, self.metadata, self.tables = (
+                df.where(~F.col("model_id").isin(broken)) for df in (self.summary, self.metadata, self.tables)
+            )
+
+    def _unreadable(self, feed: Feed) -> list[tuple[str, str]]:
+        """(model, reason) where a source cannot give what is asked of it. Only its schema is looked at."""
+        name = feed.spec.table_or_path
+        try:
+            columns = set(self.load(feed).columns)
+        except Exception as error:  # whatever a reader, a path or a transform raises is this source's fault
+            first = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
+            return [(m, f"cannot read {name}: {first}") for m in feed.models]
+        if not feed.spec.date_column or feed.spec.date_column not in columns:
+            return [(m, f"no date column {feed.spec.date_column or ''} in {name}") for m in feed.models]
+        lacking: dict[str, set[str]] = defaultdict(set)
+        for r in feed.rows:
+            lacking[r["model_id"]] |= {r["source_column"], *feed.spec.key_columns} - columns
+        return [(m, f"missing columns {sorted(c)} in {name}") for m, c in sorted(lacking.items()) if c]
+
+    @property
+    def failures(self) -> DataFrame:
+        """(model_id, error_message): one row per reason why a model cannot be measured."""
+        return self.spark.createDataFrame(sorted(set(self.reasons)), "model_id string, error_message string")
+
     def _group(self) -> list[Feed]:
         grouped: dict[tuple, Feed] = {}
         for r in self.rows:
@@ -134,7 +173,7 @@ class Feeds:
         def labelled(feed: Feed) -> DataFrame:
             return dates(feed).distinct().select(F.lit(feed.source_table).alias("source_table"), "*")
 
-        return reliable(union_all(all_reliable([lambda f=f: labelled(f) for f in feeds])).distinct())
+        return reliable(union_all([labelled(f) for f in feeds]).distinct())
 
     def present_dates(self, modes: list[str] | None = None) -> DataFrame | None:
         """(source_table, date) held by the sources; with ``modes``, only of sources read so."""
@@ -166,12 +205,15 @@ class Feeds:
             .select("model_id", "source_table", "frequency", "lag", "reading_mode", "use_business_days", "history_months")
         )
 
-    def resolve(self, runs: DataFrame, lag: Column | None = None) -> DataFrame:
-        """(model, date, source, side, read_date) for runs (model_id, information_date)."""
+    def resolve(self, runs: DataFrame, lags: DataFrame | None = None) -> DataFrame:
+        """(model, date, source, side, read_date) for runs (model_id, information_date).
+
+        ``lags`` (model_id, lag) takes the place of the sources' own lags.
+        """
         asked = runs.select("model_id", F.col("information_date").cast("date").alias("information_date")).distinct()
         per_source = self.per_source().drop("history_months")
-        if lag is not None:
-            per_source = per_source.withColumn("lag", lag)
+        if lags is not None:
+            per_source = per_source.drop("lag").join(lags, "model_id")
         expanded = asked.join(per_source, "model_id")
         resolved = resolve_dates(expanded, self.config.calendar, self.present_dates(PARTITION_MODES))
         named = self.with_source_date(resolved).withColumn(
@@ -214,8 +256,8 @@ class Feeds:
         """Rows of one source for every (model, date, side) they serve.
 
         The dates to read are few; they become literals, so source partitions are pruned. They
-        meet the rows as the text the source stores, so no date is parsed per row, and the date
-        table is broadcast when counted small, so source rows are not shuffled here.
+        meet the rows as the text the source stores, so no date is parsed per row. ``dates`` is a
+        written table whose size Spark knows, so it is broadcast when small, and source rows are not shuffled here.
         """
         spec = feed.spec
         if not spec.date_column:
@@ -231,7 +273,24 @@ class Feeds:
         if keys:
             df = reader.canonical_keys(df, spec.key_columns, spec.canonical_keys)
         clash = [c for c in ("model_id", "information_date", "side") if c in df.columns]
-        return df.drop(*clash).join(bounded(serving), "source_date").drop("source_date")
+        return df.drop(*clash).join(serving, "source_date").drop("source_date")
+
+    def columns(self, feed: Feed, dates: DataFrame, literals: dict, alias: dict[tuple[str, bool], str]) -> DataFrame:
+        """(model, date, side) rows of one source with the (column, numeric) of ``alias``: numbers as doubles, others as text."""
+        spec, base = feed.spec, self.load(feed)
+        missing = sorted({c for c, _ in alias} - set(base.columns))
+        if missing:
+            raise ValueError(f"missing columns {missing} in {spec.table_or_path}; available: {sorted(base.columns)}")
+        typed = {a: clean_double(F.col(f"`{c}`")) if numeric else F.col(f"`{c}`").cast("string") for (c, numeric), a in alias.items()}
+        when = sorted({d for m in feed.models for d in literals.get((m, feed.source_table), [])})
+        return self.slices(feed, dates, when, list(alias.values()), base=base.withColumns(typed))
+
+    def owned(self, feed: Feed, rows: DataFrame) -> DataFrame:
+        """Only the variables that a model itself reads, where several models share a source."""
+        if len(feed.models) == 1:
+            return rows
+        mine = self.metadata.where(F.col("source_table") == feed.source_table)
+        return rows.join(mine.select("model_id", "variable", "var_type"), ["model_id", "variable", "var_type"], "left_semi")
 
     def observations(self, dates: DataFrame, literals: dict, numeric: bool) -> DataFrame | None:
         """Long observations of all numeric (or all text) variables."""
@@ -240,21 +299,9 @@ class Feeds:
             entries = feed.entries(numeric)
             if not entries:
                 continue
-            needed = list(dict.fromkeys(e[0] for e in entries))
-            alias = {c: f"_v{i}" for i, c in enumerate(needed)}
-            spec = feed.spec
-            renamed = self.load(feed)
-            missing = [c for c in needed if c not in renamed.columns]
-            if missing:
-                raise ValueError(f"missing columns {missing} in {spec.table_or_path}; available: {sorted(renamed.columns)}")
-            renamed = renamed.withColumns({alias[c]: F.col(f"`{c}`") for c in needed})
-            when = sorted({d for m in feed.models for d in literals.get((m, feed.source_table), [])})
-            plain = self.slices(feed, dates, when, list(alias.values()), base=renamed)
-            rows = unpivot(plain, [(alias[c], v, t) for c, v, t in entries], numeric)
-            if len(feed.models) > 1:
-                owned = self.metadata.where(F.col("source_table") == feed.source_table)
-                rows = rows.join(owned.select("model_id", "variable", "var_type"), ["model_id", "variable", "var_type"], "left_semi")
-            frames.append(rows)
+            alias = {(c, numeric): f"_v{i}" for i, c in enumerate(dict.fromkeys(e[0] for e in entries))}
+            plain = self.columns(feed, dates, literals, alias)
+            frames.append(self.owned(feed, unpivot(plain, [(alias[c, numeric], v, t) for c, v, t in entries], numeric)))
         return union_all(frames) if frames else None
 
 

@@ -15,11 +15,13 @@ from modelmon.operators import conjugate, quality, registry, score, stability, s
 from modelmon.operators.alerts import alert_aggregate
 from modelmon.operators.availability import availability_done, data_availability, newest_dates
 from modelmon.operators.bins import normalise_bins
+from modelmon.operators.observations import value_counts
 from modelmon.operators.runs import execution_log
-from modelmon.functions.sizes import all_reliable, bounded, reliable
+from modelmon.functions.sizes import all_reliable, reliable
+from modelmon.plans import wide
 from modelmon.plans.feeds import SINGLE_MODES, ConfigTables, Feed, Feeds, by_model
 from modelmon.sources.config import latest_partition
-from modelmon.sources.sinks import KeptTables, drop_partitions, write_partition
+from modelmon.sources.sinks import KeptTables, drop_partitions, is_there, replace_partitions
 
 RUN = ["model_id", "information_date"]
 PARTITION_ORDER = ["information_date", "model_id"]
@@ -27,6 +29,8 @@ SUMMARY_COLUMNS = [*KEYS, "data_type", "statistic", "statistic_value", "statisti
 
 # The variable under which joint input metrics are stored.
 INPUTS_VARIABLE, INPUTS_TYPE = "__INPUTS__", "input"
+# Metrics that are measured on stored bins.
+ON_BINS = ["psi_canonical", "psi_approved", "psi_rejected", "psi_target"]
 
 
 @dataclass
@@ -36,13 +40,14 @@ class RunFrames:
     results: DataFrame
     summaries: DataFrame
     missing: DataFrame
+    failed: DataFrame
 
 
 class Monitor:
     """Monitoring of a set of models over a set of dates.
 
-    Models share one job; give very large fleets in batches, as the plan grows by a few joins
-    per model (score with target, joint inputs), never with the data.
+    Models share one job. The plan grows with the sources that are read, not with the models that read them, and never
+    with the data.
     """
 
     def __init__(
@@ -53,7 +58,7 @@ class Monitor:
         overrides: dict[str, DataFrame] | None = None,
     ) -> None:
         self.spark, self.config = spark, config
-        self.feeds = Feeds(spark, config, models, overrides)
+        self.feeds = Feeds(spark, config, models, overrides, isolate=True)
 
     # -- inputs ---------------------------------------------------------------------
 
@@ -77,36 +82,81 @@ class Monitor:
     # -- run ------------------------------------------------------------------------
 
     def run(self, runs: DataFrame) -> RunFrames:
-        """Metric results with lights, variable summaries and missing runs.
+        """Metric results with lights, variable summaries, missing and failed runs.
 
-        ``runs`` holds (model_id, information_date).
+        ``runs`` holds (model_id, information_date). An undefined metric has no value. Models whose configuration
+        cannot be read are no part of the plan; they come out as ``failed``.
+
+        Sources are read for one wide aggregate (plain counts and moments) and once for their values, which are counted
+        and written; quantiles, bins, bands, categories and concentration start from the counted values.
         """
+        failed = self._failed(runs)
+        if not self.feeds.feeds:
+            none = runs.select("model_id", F.col("information_date").cast("string").alias("information_date")).limit(0)
+            return RunFrames(*(schemas.conform(none, t) for t in ("metric_result", "variable_summary")), none.select(
+                "*", F.lit("").alias("error_message"), F.lit(0).alias("variables_missing")), failed)
         dates = reliable(self.feeds.resolve(runs))
-        found = reliable(self._found(dates))
         literals = self.feeds.read_dates(dates)
         numbers = self.feeds.observations(dates, literals, True)
         texts = self.feeds.observations(dates, literals, False)
-        shared: dict[str, Callable[[], DataFrame | None]] = {
+        found = reliable(self._found(dates))
+        bins = self._stored_bins()
+        first: dict[str, Callable[[], DataFrame | None]] = {
             "missing": lambda: self._missing(runs, dates, found),
+            "wide": lambda: wide.measures(self.feeds, dates, literals),
             "pairs": lambda: self.pairs(runs, dates, literals),
+            "numbers": lambda: None if numbers is None else value_counts(numbers),
+            "texts": lambda: None if texts is None else value_counts(texts),
         }
-        if numbers is not None:
-            shared["spread"] = lambda: stability.quantiles(numbers.where(F.col("var_type") != "target"))
-        if texts is not None:
-            shared["dynamic"] = lambda: stability.dynamic_categories(texts)
-        fixed = dict(zip(shared, all_reliable(list(shared.values()))))
-        missing, spread = fixed["missing"], fixed.get("spread")
-        tasks = self._measures(dates, literals, found, numbers, texts, spread, fixed.get("dynamic"), fixed["pairs"])
-        results = union_all(all_reliable(tasks))
+        fixed = dict(zip(first, all_reliable(list(first.values()))))
+        counts, words = fixed["numbers"], fixed["texts"]
+        independent = self._plain_measures(dates, literals, found, numbers, texts, fixed, bins)
+        shared: list[Callable[[], DataFrame | None]] = [
+            lambda: None if counts is None else stability.quantiles(self._ranked(counts)),
+            lambda: None if words is None else stability.dynamic_categories(words),
+        ]
+        spread, dynamic, *measured = all_reliable([*shared, *independent])
+        late = self._spread_measures(counts, words, spread, dynamic, bins)
+        summaries = lambda: self._summaries(fixed["wide"], words, spread)
+        *more, described = all_reliable([*late, summaries])
+        results = union_all([*measured, *more])
         wanted = thresholds.applicable_metrics(self.feeds.metadata.select("model_id", "variable", "var_type", "data_type"))
         wanted = wanted.select("model_id", "variable", "var_type", "metric_name").unionByName(self._joint_wanted())
         results = results.join(wanted, ["model_id", "variable", "var_type", "metric_name"], "left_semi")
+        missing = fixed["missing"]
         results = results.join(missing.select(*RUN), RUN, "left_anti")
         resolved = thresholds.resolve_thresholds(
             results, self._latest(self.config.auto_thresholds), self._latest(self.config.thresholds)
         )
-        summaries = self._summaries(numbers, texts, spread).join(missing.select(*RUN), RUN, "left_anti")
-        return RunFrames(thresholds.with_status(resolved), summaries, missing)
+        summaries_kept = described.join(missing.select(*RUN), RUN, "left_anti")
+        return RunFrames(thresholds.with_status(self._with_baseline_date(resolved)), summaries_kept, missing, failed)
+
+    def _failed(self, runs: DataFrame) -> DataFrame:
+        """(model_id, information_date, error_message) of the runs whose model cannot be measured as configured."""
+        asked = runs.select("model_id", F.date_format(F.col("information_date").cast("date"), "yyyy-MM-dd").alias("information_date")).distinct()
+        return asked.join(self.feeds.failures, "model_id")
+
+    def _stored_bins(self) -> DataFrame | None:
+        """The bins, if there are any."""
+        if self.config.csi_bins is None:
+            return None
+        bins = reliable(self._bins())
+        return None if bins.isEmpty() else bins
+
+    def _with_baseline_date(self, results: DataFrame) -> DataFrame:
+        """Results on stored bins carry the date these bins were made."""
+        stored = self.config.csi_bins
+        if stored is None or "process_date" not in stored.columns:
+            return results.withColumn("baseline_process_date", F.lit(None).cast("string"))
+        made = latest_partition(stored).groupBy("model_id", F.col("type").alias("var_type"), "variable").agg(
+            F.max(F.col("process_date").cast("string")).alias("baseline_process_date")
+        ).withColumn("metric_name", F.explode(F.array(*[F.lit(m) for m in ON_BINS])))
+        return results.join(made, ["model_id", "var_type", "variable", "metric_name"], "left").select(*results.columns, "baseline_process_date")
+
+    def _ranked(self, counts: DataFrame) -> DataFrame:
+        """Numbers whose order statistics are asked for: targets only if one of them is numeric."""
+        numeric_target = any(r["var_type"] == "target" and r["data_type"] == "numeric" for r in self.feeds.rows)
+        return counts if numeric_target else counts.where(F.col("var_type") != "target")
 
     def _joint_wanted(self) -> DataFrame:
         rows = []
@@ -136,47 +186,29 @@ class Monitor:
             F.count("*").cast("int").alias("variables_missing"),
         )
 
-    def _measures(self, dates, literals, found, numbers, texts, spread, dynamic, pairs) -> list[Callable[[], DataFrame]]:
-        """One small job per family; each yields metric rows."""
-        bins, get = self._bins(), registry.get
+    def _plain_measures(self, dates, literals, found, numbers, texts, fixed, bins) -> list[Callable[[], DataFrame]]:
+        """One small job per family that needs no order statistics; each yields metric rows."""
+        counts, pairs, get = fixed["numbers"], fixed["pairs"], registry.get
         tasks: list[Callable[[], DataFrame]] = []
 
         def add(names: list[str], table: Callable[[], DataFrame]) -> None:
-            tasks.append(lambda: registry.measure(table(), [get(m) for m in names]))
+            tasks.append(lambda: registry.measure(table(), [get(m) for m in names], True))
 
         for family, metrics in self._custom_families().items():
             add(metrics, lambda family=family: registry.family(family)(numbers if numbers is not None else texts))
-        if numbers is not None:
-            features = numbers.where(F.col("var_type").isin("raw", "input", "transformed"))
-            scores = numbers.where(F.col("var_type") == "score")
-            targets = numbers.where(F.col("var_type") == "target")
-            graded = numbers.where(F.col("var_type") != "target")
-            based = spread.where(F.col("n_base") > 0)
-            cutoffs = self.feeds.cutoffs()
-            add(
-                ["null_rate", "population_variation", "range_violation", "approval_rate", "event_rate"],
-                lambda: quality.counts(numbers, cutoffs),
-            )
-            add(["cardinality_ratio"], lambda: quality.distinct(features))
-            add(["median_shift", "psi_dynamic", "ks_vs_dev", "tail_shift"], lambda: spread)
-            add(["outlier_rate"], lambda: quality.outliers(features, stability.quartiles(spread)))
-            add(["psi_canonical"], lambda: stability.canonical_psi(graded, bins, based, True))
+        add(["null_rate", "population_variation", "range_violation", "approval_rate", "event_rate"], lambda: fixed["wide"])
+        if counts is not None:
+            scores = counts.where(F.col("var_type") == "score")
             add(["entropy"], lambda: score.entropy(scores))
             add(["concentration_gini"], lambda: score.concentration(scores))
-            add(["psi_approved", "psi_rejected"], lambda: score.split_psi(scores, bins, cutoffs))
-            add(["psi_target"], lambda: target.target_psi(targets, bins))
-        if texts is not None:
+            add(["psi_target"], lambda: target.target_psi(counts.where(F.col("var_type") == "target"), bins))
+            if bins is not None:
+                add(["psi_approved", "psi_rejected"], lambda: score.split_psi(scores, bins, self.feeds.cutoffs()))
+        if fixed["texts"] is not None:
             top_n, largest = self._top_n()
-            add(["null_rate", "population_variation"], lambda: quality.text_counts(texts))
-            add(["cardinality_ratio"], lambda: quality.distinct(texts))
             add(
-                ["dominant_category_rate", "category_composition_drift"],
-                lambda: quality.categories(texts, top_n, largest),
-            )
-            add(["psi_dynamic"], lambda: dynamic)
-            add(
-                ["psi_canonical"],
-                lambda: stability.canonical_psi(texts, bins, dynamic.where(F.col("n_base") > 0), False),
+                ["dominant_category_rate", "category_composition_drift", "cardinality_ratio"],
+                lambda: quality.categories(fixed["texts"], top_n, largest),
             )
         add(["completeness"], lambda: self._completeness(dates, found))
         if pairs is not None:
@@ -189,6 +221,24 @@ class Monitor:
             add(["correlation_drift"], joint)
         return tasks
 
+    def _spread_measures(self, counts, words, spread, dynamic, bins) -> list[Callable[[], DataFrame]]:
+        """The families that start from quantiles or from the frequent categories."""
+        tasks: list[Callable[[], DataFrame]] = []
+
+        def add(names: list[str], table: Callable[[], DataFrame]) -> None:
+            tasks.append(lambda: registry.measure(table(), [registry.get(m) for m in names], True))
+
+        if counts is not None:
+            features = counts.where(F.col("var_type").isin("raw", "input", "transformed"))
+            graded = counts.where(F.col("var_type") != "target")
+            add(["median_shift", "psi_dynamic", "ks_vs_dev", "tail_shift"], lambda: spread)
+            add(["cardinality_ratio", "outlier_rate"], lambda: quality.values(features, stability.quartiles(spread)))
+            add(["psi_canonical"], lambda: stability.canonical_psi(graded, bins, spread, True))
+        if words is not None:
+            add(["psi_dynamic"], lambda: dynamic)
+            add(["psi_canonical"], lambda: stability.canonical_psi(words, bins, dynamic, False))
+        return tasks
+
     # Families measured above; anything else registered by a user runs on all observations.
     BUILT_IN = {
         "counts", "distinct", "outliers", "categories", "completeness", "quantiles", "canonical", "correlation",
@@ -217,38 +267,47 @@ class Monitor:
     def _feed_of(self, row) -> Feed:
         return next(f for f in self.feeds.feeds if f.source_table == row["source_table"] and row in f.rows)
 
+    def _joint_rows(self, feed: Feed, asked: DataFrame, models: list[str], columns: list[str], read: list) -> tuple[DataFrame, list[str]]:
+        """Rows of one source for some models with their keys, and the names of the keys."""
+        mine = self.feeds.with_source_date(asked.where(F.col("model_id").isin(models)).withColumn("source_table", F.lit(feed.source_table)))
+        rows = self.feeds.slices(feed, mine, read, columns, keys=True)
+        return rows, [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows.columns]
+
     def pairs(self, runs: DataFrame, dates: DataFrame, literals: dict) -> DataFrame | None:
-        """Score and outcome of the same customer and cohort: the score is read at the target's lag."""
-        frames = []
+        """Score and outcome of the same customer and cohort: the score is read at the target's lag.
+
+        Models that read their score and their target alike are one join, with the model and the cohort's date among its
+        keys: the plan follows the sources, not the models.
+        """
+        groups: dict[tuple, list[tuple[str, int]]] = {}
         for model, rows in by_model(self.feeds.rows).items():
             scores = [r for r in rows if r["var_type"] == "score"]
             targets = [r for r in rows if r["var_type"] == "target"]
-            if not scores or not targets:
-                continue
-            s, t = scores[-1], targets[-1]
-            own = runs.where(F.col("model_id") == model)
-            shifted = self.feeds.resolve(own, F.lit(t["lag"] or 0))
-            cohort = dates.where((F.col("source_table") == t["source_table"]) & (F.col("model_id") == model))
-            aligned = shifted.where(F.col("source_table") == s["source_table"]).join(
-                cohort.select(*RUN, "side", "read_date"), [*RUN, "side", "read_date"], "left_semi"
-            )
+            if scores and targets:
+                s, t = scores[-1], targets[-1]
+                ends = tuple((self.feeds.feeds.index(self._feed_of(r)), r["source_column"]) for r in (s, t))
+                groups.setdefault(ends, []).append((model, t["lag"] or 0))
+        if not groups:
+            return None
+        lags = self.spark.createDataFrame([m for models in groups.values() for m in models], "model_id string, lag int")
+        shifted = reliable(self.feeds.resolve(runs.join(lags.select("model_id"), "model_id", "left_semi"), lags))
+        frames = []
+        on = [*RUN, "side", "read_date"]
+        for ((score_feed, score_column), (target_feed, target_column)), members in groups.items():
+            models = [m for m, _ in members]
+            s, t = self.feeds.feeds[score_feed], self.feeds.feeds[target_feed]
+            cohort = dates.where((F.col("source_table") == t.source_table) & F.col("model_id").isin(models))
+            aligned = shifted.where(F.col("source_table") == s.source_table).join(cohort.select(*on), on, "left_semi")
+            read = sorted({d for m in models for d in literals.get((m, t.source_table), [])})
             sides = []
-            for r, when, name in ((s, aligned, "score"), (t, cohort, "target")):
-                feed = self._feed_of(r)
-                asked = self.feeds.with_source_date(
-                    when.where(F.col("model_id") == model).withColumn("source_table", F.lit(r["source_table"]))
-                )
-                read = literals.get((model, t["source_table"]), [])
-                rows_of = self.feeds.slices(feed, asked, read, [r["source_column"]], keys=True)
-                keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
-                value = clean_double(F.col(r["source_column"])).alias(name)
-                plain = rows_of.select(*RUN, "side", "read_date", *keys, value)
-                sides.append((smallest_per_key(plain, [*RUN, "side", "read_date", *keys], [name]), keys))
+            for feed, column, when, name in ((s, score_column, aligned, "score"), (t, target_column, cohort, "target")):
+                rows, keys = self._joint_rows(feed, when, models, [column], read)
+                plain = rows.select(*on, *keys, clean_double(F.col(column)).alias(name))
+                sides.append((smallest_per_key(plain, [*on, *keys], [name]), keys))
             shared = [k for k in sides[0][1] if k in sides[1][1]]
-            joined = conjugate.join_pairs(sides[0][0], sides[1][0], [*RUN, "side", "read_date", *shared])
-            pair = conjugate.as_pairs(joined, conjugate.tie_order(shared or ["read_date"]))
-            frames.append(self._binary_only(pair))
-        return union_all(frames) if frames else None
+            joined = conjugate.join_pairs(sides[0][0], sides[1][0], [*on, *shared])
+            frames.append(self._binary_only(conjugate.as_pairs(joined, conjugate.tie_order(shared or ["read_date"]))))
+        return union_all(frames)
 
     def _binary_only(self, pairs: DataFrame) -> DataFrame:
         """Score-target metrics need a 0/1 outcome; runs with any other value get none."""
@@ -257,68 +316,71 @@ class Monitor:
 
     # -- joint inputs ---------------------------------------------------------------
 
-    def _correlations(self, dates: DataFrame, literals: dict) -> list[Callable[[], DataFrame]]:
-        out = []
+    def joint_inputs(self, dates: DataFrame, literals: dict) -> list[tuple[DataFrame, list[str], dict[str, list[str]]]]:
+        """(joined inputs of some models, their columns, each model's own columns); one entry per set of sources.
+
+        Inputs meet by one join per source table, at the anchor dates. Models that read the same sources share the joins,
+        whatever columns they use: the plan follows the sources, not the models.
+        """
+        groups: dict[tuple, list[tuple[str, list]]] = {}
         for model, rows in by_model(self.feeds.rows).items():
             inputs = [r for r in rows if r["var_type"] in ("raw", "input") and r["data_type"] == "numeric"]
             if len(inputs) > 1:
-                out.append(lambda model=model, inputs=inputs: self._correlation(model, inputs, dates, literals))
-        return out
-
-    def _correlation(self, model: str, inputs: list, dates: DataFrame, literals: dict) -> DataFrame:
-        """Joint inputs of one model: one join per source table, at the anchor dates."""
-        single = next((r for r in inputs if r["reading_mode"] in SINGLE_MODES), None)
-        leader = single or inputs[0]
-        anchor = dates.where((F.col("model_id") == model) & (F.col("source_table") == leader["source_table"]))
-        anchor = anchor.select(*RUN, "side", "read_date")
-        if single is None:
+                single = next((r for r in inputs if r["reading_mode"] in SINGLE_MODES), None)
+                leader = self.feeds.feeds.index(self._feed_of(single or inputs[0]))
+                sources = tuple(dict.fromkeys(self.feeds.feeds.index(self._feed_of(r)) for r in inputs))
+                groups.setdefault((sources, leader, single is None), []).append((model, inputs))
+        return [self._joined_inputs(key, members, dates, literals) for key, members in groups.items()]
+
+    def _joined_inputs(self, key: tuple, members: list, dates: DataFrame, literals: dict):
+        sources, leader, every_date = key
+        models = [m for m, _ in members]
+        on = [*RUN, "side", "read_date"]
+        mine = dates.where(F.col("model_id").isin(models))
+        anchor = mine.where(F.col("source_table") == self.feeds.feeds[leader].source_table).select(*on)
+        if every_date:
             anchor = anchor.groupBy(*RUN, "side").agg(F.min("read_date").alias("read_date"))
+        labels: dict[tuple[int, str], str] = {}
+        own: dict[str, list[str]] = {}
+        for model, inputs in members:
+            columns = [(self.feeds.feeds.index(self._feed_of(r)), r["source_column"]) for r in inputs]
+            own[model] = [labels.setdefault(c, f"x{len(labels)}") for c in columns]
         tables: list[tuple[DataFrame, list[str]]] = []
-        names: list[str] = []
-        for source in dict.fromkeys(r["source_table"] for r in inputs):
-            mine = [r for r in inputs if r["source_table"] == source]
-            feed = self._feed_of(mine[0])
-            when = dates.where((F.col("source_table") == source) & (F.col("model_id") == model)).join(
-                anchor, [*RUN, "side", "read_date"], "left_semi"
-            )
-            columns = list(dict.fromkeys(r["source_column"] for r in mine))
-            rows_of = self.feeds.slices(feed, when, literals.get((model, source), []), columns, keys=True)
-            keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows_of.columns]
-            labels = [f"x{len(names) + i}" for i in range(len(mine))]
-            names += labels
-            plain = rows_of.select(
-                *RUN, "side", "read_date", *keys,
-                *[clean_double(F.col(r["source_column"])).alias(x) for r, x in zip(mine, labels)],
-            )
-            tables.append((smallest_per_key(plain, [*RUN, "side", "read_date", *keys], labels), keys))
+        for source in sources:
+            feed = self.feeds.feeds[source]
+            when = mine.where(F.col("source_table") == feed.source_table).join(anchor, on, "left_semi")
+            named = {c: x for (f, c), x in labels.items() if f == source}
+            read = sorted({d for m in models for d in literals.get((m, feed.source_table), [])})
+            rows, keys = self._joint_rows(feed, when, models, list(named), read)
+            plain = rows.select(*on, *keys, *[clean_double(F.col(c)).alias(x) for c, x in named.items()])
+            tables.append((smallest_per_key(plain, [*on, *keys], list(named.values())), keys))
         keys = reduce(lambda a, b: [k for k in a if k in b], [k for _, k in tables])
-        on = [*RUN, "side", "read_date", *keys]
-        wide = reduce(lambda a, b: a.join(b, on), [df for df, _ in tables])
-        keyed = wide.withColumns({"var_type": F.lit(INPUTS_TYPE), "variable": F.lit(INPUTS_VARIABLE)})
-        return stability.correlation(keyed, names).where(F.col("n_cur") > 0)
+        joined = reduce(lambda a, b: a.join(b, [*on, *keys]), [df for df, _ in tables])
+        keyed = joined.withColumns({"var_type": F.lit(INPUTS_TYPE), "variable": F.lit(INPUTS_VARIABLE)})
+        return keyed, list(labels.values()), own
+
+    def _correlations(self, dates: DataFrame, literals: dict) -> list[Callable[[], DataFrame]]:
+        found = self.joint_inputs(dates, literals)
+        return [
+            lambda rows=rows, names=names, own=own: stability.correlation(rows, names, own=own).where(F.col("n_cur") > 0)
+            for rows, names, own in found
+        ]
 
     # -- summaries ------------------------------------------------------------------
 
-    def _summaries(self, numbers, texts, spread) -> DataFrame:
-        kinds = self.feeds.metadata.select("model_id", "variable", "var_type", "data_type")
+    def _summaries(self, measured: DataFrame, words: DataFrame | None, spread: DataFrame | None) -> DataFrame:
         owner = ["model_id", "variable", "var_type"]
-        tasks = []
-        if numbers is not None:
-            numeric_kinds = bounded(kinds.where(F.col("data_type") == "numeric").select(*owner))
-            other_kinds = bounded(kinds.where(~F.col("data_type").isin("numeric", "categorical")))
-            numeric = numbers.join(numeric_kinds, owner, "left_semi")
-            other = numbers.join(other_kinds.select(*owner), owner, "left_semi")
-            deciles = spread
-            loose = numeric.where(F.col("var_type") == "target")
-            if any(r["var_type"] == "target" and r["data_type"] == "numeric" for r in self.feeds.rows):
-                deciles = spread.unionByName(stability.quantiles(loose))
-            tasks.append(lambda: summary.numeric_summary(numeric, deciles))
-            tasks.append(
-                lambda: summary.count_summary(other, "").drop("data_type").join(other_kinds, owner).select(*SUMMARY_COLUMNS)
-            )
-        if texts is not None:
-            tasks.append(lambda: summary.categorical_summary(texts))
-        return union_all(all_reliable(tasks))
+        kinds = self.feeds.metadata.select(*owner, "data_type").distinct()
+        plain = measured.where(F.col("n_cur") > 0).join(kinds, owner).select(
+            *KEYS, "data_type", F.col("n_cur").alias("total"), F.col("known_cur").alias("non_null"), F.col("low_cur").alias("min"),
+            F.col("high_cur").alias("max"), F.col("mean_cur").alias("mean"), F.col("std_cur").alias("std"),
+        )
+        parts = [summary.count_statistics(plain.where(~F.col("data_type").isin("numeric", "categorical")), F.col("data_type"))]
+        if spread is not None:
+            parts.append(summary.numeric_statistics(plain.where(F.col("data_type") == "numeric"), spread))
+        if words is not None:
+            parts.append(summary.categorical_summary(words))
+        return union_all([p.select(*SUMMARY_COLUMNS) for p in parts])
 
     # -- roll-ups -------------------------------------------------------------------
 
@@ -379,20 +441,25 @@ def run_models(
 
     def put(df: DataFrame, table: str) -> DataFrame:
         stamped = df.withColumns({k: v for k, v in stamp.items() if k in schemas.columns(table)})
+        # Fixed as a table of its own, which is the staged one: nothing is computed or staged twice.
         rows = reliable(schemas.conform(stamped, table))
+        was_there = is_there(spark, paths[table])
         if not rows.isEmpty():
-            write_partition(rows, paths[table], execution_id=execution_id, table=table)
-        drop_partitions(asked.join(rows.select(*RUN).distinct(), RUN, "left_anti"), paths[table], PARTITION_ORDER)
+            replace_partitions(rows, paths[table], PARTITION_ORDER)
+        if was_there:
+            drop_partitions(asked.join(rows.select(*RUN).distinct(), RUN, "left_anti"), paths[table], PARTITION_ORDER)
         return rows
 
-    results = put(frames.results, "metric_result")
+    # An undefined metric is stored as 0, as its light says; the log counts it as failed.
+    measured_rows = reliable(frames.results)
+    results = put(measured_rows.fillna(0.0, ["metric_value"]), "metric_result")
     summaries = put(frames.summaries, "variable_summary")
     put(alert_aggregate(results, None if config.alert_policy is None else latest_partition(config.alert_policy)), "alert_aggregate")
     available = put(monitor.availability(runs, as_of), "data_availability")
     put(
         summary.scoring_summary(results, summaries, availability_done(available), monitor.feeds.summary), "scoring_summary"
     )
-    log = execution_log(results, frames.missing, execution_id, job, reason)
+    log = execution_log(measured_rows, frames.missing, execution_id, job, reason, frames.failed)
     took = int(time.monotonic() - begun)
     put(log.withColumns({"end_date": F.current_timestamp(), "duration_seconds": F.lit(took)}), "execution_log")
     return paths
