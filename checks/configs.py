@@ -284,7 +284,7 @@ def mirror_synced(t):
     """What a mirror that held the runs of the log holds after a sync with the results."""
     path, run = scratch(t, "mirror"), ["information_date", "model_id"]
     held = data.run_log(t).select(F.lit(0.0).alias("metric_value"), *[F.col(c).cast("string").alias(c) for c in run])
-    sinks.replace_partitions(held, path, run)
+    sinks.sync_mirror(held, path)
     wanted = data.results(t).select("metric_value", *[F.col(c).cast("string").alias(c) for c in run])
     sinks.sync_mirror(wanted, path)
     return t.spark.read.schema(wanted.schema).parquet(path).groupBy(*run).agg(F.count("*").alias("n"))

@@ -31,19 +31,23 @@ def join_score_target(t):
 @check("join_score_target_lagged", f"""WITH {ORD}, {OUT} SELECT strftime(m + INTERVAL 2 MONTH, '%Y-%m-%d') AS information_date, count(*) AS n, round(sum(o_totalprice) / 500000, 6) + 0.0 AS scores, CAST(sum(target) AS BIGINT) AS events
   FROM ord JOIN out_ USING (o_orderkey) WHERE m + INTERVAL 2 MONTH IN (SELECT m FROM ord) GROUP BY 1""")
 def join_score_target_lagged(t):
-    asked = t.orders.select(month("o_orderdate").alias("information_date")).distinct()
-    refs = asked.withColumn("cohort", shift_periods(F.col("information_date"), F.lit("monthly"), 2))
-    scores = t.orders.select("o_orderkey", month("o_orderdate").alias("cohort"), (F.col("o_totalprice") / 500000).alias("score"))
-    both = conjugate.join_pairs(scores, data.outcomes(t), ["o_orderkey"]).join(refs, "cohort")
-    return both.groupBy(iso("information_date").alias("information_date")).agg(
+    monitor, runs = Monitor(t.spark, *joint_model(t)), order_runs(t)
+    dates, lagged = monitor.resolved(runs)
+    both = monitor.pairs(dates, lagged, monitor.feeds.read_dates(dates)).where("side = 'current'")
+    return both.groupBy("information_date").agg(
         F.count("*").alias("n"), r6(F.sum("score")).alias("scores"), F.sum("target").cast("long").alias("events")
     )
 
 
 @check("join_inputs", f"WITH {INP} SELECT d AS information_date, side, count(*) AS n, round(sum(qty), 4) + 0.0 AS qty, round(sum(ext), 2) + 0.0 AS ext FROM inp GROUP BY 1, 2")
 def join_inputs(t):
-    return data.inputs(t).groupBy("information_date", "side").agg(
-        F.count("*").alias("n"), r6(F.sum("qty"), 4).alias("qty"), r6(F.sum("ext"), 2).alias("ext")
+    monitor, runs = Monitor(t.spark, *joint_model(t)), order_runs(t)
+    after = runs.select("model_id", iso(F.add_months(F.col("information_date").cast("date"), 1)).alias("information_date"))
+    dates, _ = monitor.resolved(runs.unionByName(after))
+    (rows, _, own), = monitor.joint_inputs(dates, monitor.feeds.read_dates(dates))
+    ext, qty = own[data.MODEL]
+    return rows.groupBy("information_date", "side").agg(
+        F.count("*").alias("n"), r6(F.sum(qty), 4).alias("qty"), r6(F.sum(ext), 2).alias("ext")
     )
 
 
@@ -507,6 +511,37 @@ def order_model(t: Tables):
     return ConfigTables(model_row, meta, conf, data.calendar(t))
 
 
+def monthly_config(t: Tables, variables: list[tuple], sources: dict[str, tuple[str, int]]) -> ConfigTables:
+    """Configuration of monthly models. ``variables``: variable, type, data type, source, model; ``sources``: role and lag."""
+    spark, d = t.spark, "1995-01-01"
+    models = sorted({v[-1] for v in variables})
+    meta = spark.createDataFrame(
+        [(v, vt, dt, s, v, d, m) for v, vt, dt, s, m in variables],
+        "variable string, var_type string, data_type string, source_table string, source_column string, process_date string, model_id string",
+    )
+    conf = spark.createDataFrame(
+        [(role, s, "PARQUET", "", s, '["o_orderkey"]', '["o_orderkey"]', "month", "%Y%m", 84, lag, "", "[]", "first", False, True, 10, d, m) for s, (role, lag) in sources.items() for m in models],
+        "table_role string, table_name string, source_type string, source_schema string, source_table string, entity_key_columns string, canonical_key_columns string, date_column string, date_format string, history_months int, lag int, sql_transform string, partition_columns string, reading_mode string, use_business_days boolean, active boolean, deadline_days int, process_date string, model_id string",
+    )
+    rows = spark.createDataFrame([(m, "active", 0.5, "monthly", d, m) for m in models], "model_name string, status string, cut_off_probability double, frequency string, process_date string, model_id string")
+    return ConfigTables(rows, meta, conf, data.calendar(t))
+
+
+def joint_model(t: Tables):
+    """Configuration and sources of a model with score, a target two months later, and two inputs."""
+    o = t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("month"), (F.col("o_totalprice") / 500000).alias("score"))
+    li = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").alias("qty"), F.sum("l_extendedprice").alias("ext"))
+    sources = {
+        "scores": o, "targets": o.drop("score").join(data.outcomes(t), "o_orderkey"), "inputs": o.drop("score").join(li, "o_orderkey"),
+    }
+    variables = [
+        ("score", "score", "numeric", "scores", data.MODEL), ("target", "target", "binary", "targets", data.MODEL),
+        ("ext", "input", "numeric", "inputs", data.MODEL), ("qty", "input", "numeric", "inputs", data.MODEL),
+    ]
+    config = monthly_config(t, variables, {"scores": ("score", 0), "targets": ("target", 2), "inputs": ("input", 0)})
+    return config, None, sources
+
+
 def order_runs(t: Tables):
     """Every month of the order table as a run."""
     return t.orders.select(F.lit(data.MODEL).alias("model_id"), iso(month("o_orderdate")).alias("information_date")).distinct()
@@ -518,6 +553,24 @@ def run_metrics(t):
     return found.select("model_id", "information_date", "var_type", "variable", "metric_name", r6("metric_value", 9).alias("metric_value"), "status")
 
 
+@check("execution_log_failures", f"""WITH {ORD}, mon AS (SELECT DISTINCT m FROM ord)
+  SELECT 'good' AS model_id, strftime(m, '%Y-%m-%d') AS information_date, 'SUCCESS' AS status, '' AS error_message, CASE WHEN m IN (DATE '1997-05-01', DATE '1997-06-01') THEN 1 ELSE 0 END AS metrics_failed FROM mon
+  UNION ALL SELECT 'no column', strftime(m, '%Y-%m-%d'), 'FAILED', 'missing columns [''mark''] in scores', 0 FROM mon
+  UNION ALL SELECT 'no table', strftime(m, '%Y-%m-%d'), 'FAILED', 'table metadata not found for elsewhere', 0 FROM mon""")
+def execution_log_failures(t):
+    """A model whose score is empty for a month, and two that cannot be read as configured: the others go on."""
+    empty = F.date_format("o_orderdate", "yyyyMM") == "199705"
+    scores = t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("month"), F.when(~empty, F.col("o_totalprice") / 500000).alias("score"))
+    variables = [("score", "score", "numeric", "scores", m) for m in ("good", "no column", "no table")]
+    variables += [("mark", "score", "numeric", "scores", "no column"), ("age", "raw", "numeric", "elsewhere", "no table")]
+    config_ = monthly_config(t, variables, {"scores": ("score", 0)})
+    models = F.explode(F.array(*[F.lit(m) for m in ("good", "no column", "no table")]))
+    asked = order_runs(t).select("information_date").withColumn("model_id", models)
+    found = Monitor(t.spark, config_, None, {"scores": scores}).run(asked)
+    log = runs.execution_log(found.results, found.missing, "exec", "monitoring", failed=found.failed)
+    return log.select("model_id", "information_date", "status", "error_message", "metrics_failed")
+
+
 @check("run_model_date")
 def run_model_date(t):
     paths = run_models(t.spark, order_model(t), order_runs(t), scratch(t, "run"), "exec", as_of=F.lit("2001-08-01").cast("date"))

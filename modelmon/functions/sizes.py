@@ -58,5 +58,10 @@ def all_reliable(makers: list[Callable[[], DataFrame | None]]) -> list[DataFrame
         df = make()
         return None if df is None else reliable(df)
 
+    return side_by_side([lambda make=make: fixed(make) for make in makers])
+
+
+def side_by_side(work: list[Callable]) -> list:
+    """What independent pieces of work give, a few at a time, in their order."""
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        return list(pool.map(fixed, makers))
+        return list(pool.map(lambda job: job(), work))

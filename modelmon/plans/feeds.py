@@ -12,8 +12,8 @@ from dataclasses import dataclass, field, fields
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from modelmon.functions.columns import clean_double, one_per_key, union_all
-from modelmon.functions.dates import format_date
-from modelmon.functions.sizes import reliable
+from modelmon.functions.dates import format_date, parse_date
+from modelmon.functions.sizes import all_reliable, reliable
 from modelmon.operators.calendar import resolve_dates
 from modelmon.operators.observations import unpivot
 from modelmon.sources import reader
@@ -99,11 +99,13 @@ class Feeds:
                 )
             ],
         ).fillna({"frequency": "daily", "cut_off_probability": 0.5})
-        self.summary = one_per_key(self.summary, ["model_id"])
-        self.tables = load_table_config(config.table_config)
-        self.metadata = metadata.select(
-            "model_id", "variable", "var_type", "data_type", "source_table", "source_column"
-        )
+        # Configuration is worked out once; everything later reads these small tables.
+        self.summary, self.tables, self.metadata, self.calendar = all_reliable([
+            lambda: one_per_key(self.summary, ["model_id"]),
+            lambda: load_table_config(config.table_config),
+            lambda: metadata.select("model_id", "variable", "var_type", "data_type", "source_table", "source_column"),
+            lambda: config.calendar,
+        ])
         joined = self.metadata.join(self.tables.drop("process_date"), ["model_id", "source_table"], "left")
         self.rows = sorted(joined.collect(), key=lambda r: (r["model_id"], r["var_type"], r["variable"]))
         unknown = sorted({(r["model_id"], r["source_table"]) for r in self.rows if r["table_role"] is None})
@@ -169,32 +171,37 @@ class Feeds:
         base = self.overrides.get(feed.source_table)
         return reader.transform(base, feed.spec.sql_transform) if base is not None else reader.source(self.spark, feed.spec)
 
-    def _per_source_dates(self, feeds: list[Feed], dates) -> DataFrame:
-        def labelled(feed: Feed) -> DataFrame:
-            return dates(feed).distinct().select(F.lit(feed.source_table).alias("source_table"), "*")
-
-        return reliable(union_all([labelled(f) for f in feeds]).distinct())
+    def _dates_of(self, feed: Feed) -> DataFrame:
+        """(source_table, source_date, date) of one source: every date it holds, as it stores it and as a date."""
+        spec, df = feed.spec, self.load(feed)
+        day = F.to_date("source_date") if reader.has_type(df, spec.date_column) else parse_date(F.col("source_date"), spec.date_format)
+        if reader.has_type(df, spec.date_column) and spec.date_format:
+            # The pattern may drop the day, so the day itself is looked at.
+            both = df.select(reader.date_text(df, spec.date_column, spec.date_format).alias("source_date"), F.col(f"`{spec.date_column}`").cast("date").alias("date"))
+            found = both.distinct()
+        else:
+            found = df.select(reader.date_text(df, spec.date_column, spec.date_format).alias("source_date")).distinct().withColumn("date", day)
+        return found.select(F.lit(feed.source_table).alias("source_table"), "source_date", "date")
+
+    def held(self) -> DataFrame:
+        """(source_table, source_date, date) of all sources; each is looked at once for all that asks."""
+        if self._held is None:
+            self._held = reliable(union_all([self._dates_of(f) for f in self.feeds if f.spec.date_column]).distinct())
+        return self._held
 
     def present_dates(self, modes: list[str] | None = None) -> DataFrame | None:
         """(source_table, date) held by the sources; with ``modes``, only of sources read so."""
-        wanted = [
-            f for f in self.feeds
+        wanted = sorted({
+            f.source_table for f in self.feeds
             if f.spec.date_column and (modes is None or any(r["reading_mode"] in modes for r in f.rows))
-        ]
+        })
         if not wanted:
             return None
-        return self._per_source_dates(
-            wanted, lambda f: reader.source_dates(self.load(f), f.spec.date_column, f.spec.date_format)
-        )
+        return self.held().where(F.col("source_table").isin(wanted) & F.col("date").isNotNull()).select("source_table", "date").distinct()
 
     def held_texts(self) -> DataFrame:
         """(source_table, source_date): every date a source holds, as it stores it."""
-        if self._held is None:
-            self._held = self._per_source_dates(
-                self.feeds,
-                lambda f: (df := self.load(f)).select(reader.date_text(df, f.spec.date_column, f.spec.date_format).alias("source_date")),
-            )
-        return self._held
+        return self.held().select("source_table", "source_date").distinct()
 
     def per_source(self) -> DataFrame:
         """(model, source) rows with what date resolution needs."""
@@ -206,22 +213,22 @@ class Feeds:
         )
 
     def resolve(self, runs: DataFrame, lags: DataFrame | None = None) -> DataFrame:
-        """(model, date, source, side, read_date) for runs (model_id, information_date).
+        """(model, date, source, side, read_date, lagged) for runs (model_id, information_date).
 
-        ``lags`` (model_id, lag) takes the place of the sources' own lags.
+        With ``lags`` (model_id, lag) the dates at that lag in place of the sources' own come along, told by ``lagged``.
         """
         asked = runs.select("model_id", F.col("information_date").cast("date").alias("information_date")).distinct()
-        per_source = self.per_source().drop("history_months")
+        per_source = self.per_source().drop("history_months").withColumn("lagged", F.lit(False))
         if lags is not None:
-            per_source = per_source.drop("lag").join(lags, "model_id")
+            per_source = per_source.unionByName(per_source.drop("lag", "lagged").join(lags, "model_id").withColumn("lagged", F.lit(True)))
         expanded = asked.join(per_source, "model_id")
-        resolved = resolve_dates(expanded, self.config.calendar, self.present_dates(PARTITION_MODES))
+        resolved = resolve_dates(expanded, self.calendar, self.present_dates(PARTITION_MODES))
         named = self.with_source_date(resolved).withColumn(
             "information_date", F.date_format("information_date", "yyyy-MM-dd")
         )
         # Dates that a source stores under one text are one date to read.
         return named.groupBy(
-            "model_id", "information_date", "source_table", "reading_mode", "side", "source_date"
+            "model_id", "information_date", "source_table", "reading_mode", "side", "source_date", "lagged"
         ).agg(F.min("read_date").alias("read_date"))
 
     def with_source_date(self, dates: DataFrame) -> DataFrame:

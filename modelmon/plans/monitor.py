@@ -17,7 +17,7 @@ from modelmon.operators.availability import availability_done, data_availability
 from modelmon.operators.bins import normalise_bins
 from modelmon.operators.observations import value_counts
 from modelmon.operators.runs import execution_log
-from modelmon.functions.sizes import all_reliable, reliable
+from modelmon.functions.sizes import all_reliable, reliable, side_by_side
 from modelmon.plans import wide
 from modelmon.plans.feeds import SINGLE_MODES, ConfigTables, Feed, Feeds, by_model
 from modelmon.sources.config import latest_partition
@@ -95,7 +95,7 @@ class Monitor:
             none = runs.select("model_id", F.col("information_date").cast("string").alias("information_date")).limit(0)
             return RunFrames(*(schemas.conform(none, t) for t in ("metric_result", "variable_summary")), none.select(
                 "*", F.lit("").alias("error_message"), F.lit(0).alias("variables_missing")), failed)
-        dates = reliable(self.feeds.resolve(runs))
+        dates, lagged = self.resolved(runs)
         literals = self.feeds.read_dates(dates)
         numbers = self.feeds.observations(dates, literals, True)
         texts = self.feeds.observations(dates, literals, False)
@@ -104,7 +104,7 @@ class Monitor:
         first: dict[str, Callable[[], DataFrame | None]] = {
             "missing": lambda: self._missing(runs, dates, found),
             "wide": lambda: wide.measures(self.feeds, dates, literals),
-            "pairs": lambda: self.pairs(runs, dates, literals),
+            "pairs": lambda: self.pairs(dates, lagged, literals),
             "numbers": lambda: None if numbers is None else value_counts(numbers),
             "texts": lambda: None if texts is None else value_counts(texts),
         }
@@ -131,6 +131,11 @@ class Monitor:
         summaries_kept = described.join(missing.select(*RUN), RUN, "left_anti")
         return RunFrames(thresholds.with_status(self._with_baseline_date(resolved)), summaries_kept, missing, failed)
 
+    def resolved(self, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The dates to read for the runs: at the sources' own lags, and all sources at the lag of the model's target."""
+        resolved = reliable(self.feeds.resolve(runs, self._target_lags()))
+        return resolved.where("NOT lagged").drop("lagged"), resolved.where("lagged").drop("lagged")
+
     def _failed(self, runs: DataFrame) -> DataFrame:
         """(model_id, information_date, error_message) of the runs whose model cannot be measured as configured."""
         asked = runs.select("model_id", F.date_format(F.col("information_date").cast("date"), "yyyy-MM-dd").alias("information_date")).distinct()
@@ -273,12 +278,8 @@ class Monitor:
         rows = self.feeds.slices(feed, mine, read, columns, keys=True)
         return rows, [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows.columns]
 
-    def pairs(self, runs: DataFrame, dates: DataFrame, literals: dict) -> DataFrame | None:
-        """Score and outcome of the same customer and cohort: the score is read at the target's lag.
-
-        Models that read their score and their target alike are one join, with the model and the cohort's date among its
-        keys: the plan follows the sources, not the models.
-        """
+    def _score_targets(self) -> dict[tuple, list[tuple[str, int]]]:
+        """(score source and column, target source and column) to the models read so and their target's lag."""
         groups: dict[tuple, list[tuple[str, int]]] = {}
         for model, rows in by_model(self.feeds.rows).items():
             scores = [r for r in rows if r["var_type"] == "score"]
@@ -287,17 +288,28 @@ class Monitor:
                 s, t = scores[-1], targets[-1]
                 ends = tuple((self.feeds.feeds.index(self._feed_of(r)), r["source_column"]) for r in (s, t))
                 groups.setdefault(ends, []).append((model, t["lag"] or 0))
+        return groups
+
+    def _target_lags(self) -> DataFrame | None:
+        lags = [m for models in self._score_targets().values() for m in models]
+        return self.spark.createDataFrame(lags, "model_id string, lag int") if lags else None
+
+    def pairs(self, dates: DataFrame, lagged: DataFrame, literals: dict) -> DataFrame | None:
+        """Score and outcome of the same customer and cohort: the score is read at the target's lag (``lagged``).
+
+        Models that read their score and their target alike are one join, with the model and the cohort's date among its
+        keys: the plan follows the sources, not the models.
+        """
+        groups = self._score_targets()
         if not groups:
             return None
-        lags = self.spark.createDataFrame([m for models in groups.values() for m in models], "model_id string, lag int")
-        shifted = reliable(self.feeds.resolve(runs.join(lags.select("model_id"), "model_id", "left_semi"), lags))
         frames = []
         on = [*RUN, "side", "read_date"]
         for ((score_feed, score_column), (target_feed, target_column)), members in groups.items():
             models = [m for m, _ in members]
             s, t = self.feeds.feeds[score_feed], self.feeds.feeds[target_feed]
             cohort = dates.where((F.col("source_table") == t.source_table) & F.col("model_id").isin(models))
-            aligned = shifted.where(F.col("source_table") == s.source_table).join(cohort.select(*on), on, "left_semi")
+            aligned = lagged.where(F.col("source_table") == s.source_table).join(cohort.select(*on), on, "left_semi")
             read = sorted({d for m in models for d in literals.get((m, t.source_table), [])})
             sides = []
             for feed, column, when, name in ((s, score_column, aligned, "score"), (t, target_column, cohort, "target")):
@@ -421,8 +433,8 @@ def run_models(
 ) -> dict[str, str]:
     """The whole job: metrics, alerts, summaries, availability, scoring summary, log.
 
-    Each table is fixed once and carried on as it is, so nothing is measured twice and no history is read. What a table
-    held of a run that has no rows now is deleted: a rerun leaves nothing of the run before. With a ``store``, results
+    Each table is fixed once and carried on as it is, so nothing is measured twice and no history is read; the log is
+    written last. What a table held of a run that has no rows now is deleted: a rerun leaves nothing of the run before. With a ``store``, results
     of the same configuration and runs are looked up before anything is measured. Returns the paths.
     """
     begun = time.monotonic()
@@ -439,27 +451,32 @@ def run_models(
         "metric_result", "alert_aggregate", "variable_summary", "data_availability", "scoring_summary", "execution_log",
     )}
 
-    def put(df: DataFrame, table: str) -> DataFrame:
-        stamped = df.withColumns({k: v for k, v in stamp.items() if k in schemas.columns(table)})
-        # Fixed as a table of its own, which is the staged one: nothing is computed or staged twice.
-        rows = reliable(schemas.conform(stamped, table))
+    def stamped(df: DataFrame, table: str) -> DataFrame:
+        return schemas.conform(df.withColumns({k: v for k, v in stamp.items() if k in schemas.columns(table)}), table)
+
+    def put(rows: DataFrame, table: str) -> None:
         was_there = is_there(spark, paths[table])
         if not rows.isEmpty():
-            replace_partitions(rows, paths[table], PARTITION_ORDER)
+            replace_partitions(stamped(rows, table), paths[table], PARTITION_ORDER)
         if was_there:
             drop_partitions(asked.join(rows.select(*RUN).distinct(), RUN, "left_anti"), paths[table], PARTITION_ORDER)
-        return rows
-
-    # An undefined metric is stored as 0, as its light says; the log counts it as failed.
-    measured_rows = reliable(frames.results)
-    results = put(measured_rows.fillna(0.0, ["metric_value"]), "metric_result")
-    summaries = put(frames.summaries, "variable_summary")
-    put(alert_aggregate(results, None if config.alert_policy is None else latest_partition(config.alert_policy)), "alert_aggregate")
-    available = put(monitor.availability(runs, as_of), "data_availability")
-    put(
-        summary.scoring_summary(results, summaries, availability_done(available), monitor.feeds.summary), "scoring_summary"
+
+    # Each table is fixed before it is written, which is its staged copy; undefined metrics have no value here.
+    results, summaries, available = all_reliable(
+        [lambda: frames.results, lambda: frames.summaries, lambda: monitor.availability(runs, as_of)]
     )
-    log = execution_log(measured_rows, frames.missing, execution_id, job, reason, frames.failed)
+    # Stored, an undefined metric is 0, as its light says; the log counts it as failed.
+    stored = results.fillna(0.0, ["metric_value"])
+    policy = None if config.alert_policy is None else latest_partition(config.alert_policy)
+    alerts, scoring, log = all_reliable([
+        lambda: alert_aggregate(stored, policy),
+        lambda: summary.scoring_summary(stored, summaries, availability_done(available), monitor.feeds.summary),
+        lambda: execution_log(results, frames.missing, execution_id, job, reason, frames.failed),
+    ])
+    tables = {
+        "metric_result": stored, "variable_summary": summaries, "alert_aggregate": alerts, "data_availability": available, "scoring_summary": scoring,
+    }
+    side_by_side([lambda df=df, table=table: put(df, table) for table, df in tables.items()])
     took = int(time.monotonic() - begun)
     put(log.withColumns({"end_date": F.current_timestamp(), "duration_seconds": F.lit(took)}), "execution_log")
     return paths

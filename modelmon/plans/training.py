@@ -56,7 +56,7 @@ class Trainer:
             refs = models.withColumn("reference_date", F.lit(information_date).cast("date"))
         refs = refs.select("model_id", F.col("reference_date").alias("ref_date"))
         expanded = refs.join(self.feeds.per_source(), "model_id")
-        read = dev_dates(expanded, self.config.calendar, self.feeds.present_dates(PARTITION_MODES))
+        read = dev_dates(expanded, self.feeds.calendar, self.feeds.present_dates(PARTITION_MODES))
         named = self.feeds.with_source_date(read).withColumns(
             {"information_date": F.lit(process_date), "side": F.lit("current")}
         )

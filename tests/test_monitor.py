@@ -129,3 +129,89 @@ def test_rerun_leaves_nothing_of_the_run_before(spark, frames, written, out):
     assert log == [("exec-2", "MISSING_DATA")]
     assert not glob.glob(f"{paths['metric_result']}/information_date={BASE}/*") and not glob.glob(f"{paths['alert_aggregate']}/information_date={BASE}/*")
     config_tables(spark, frames)
+
+
+def many_models(config, spark, frames, names):
+    """The configuration of MODEL under several names; all read the same sources."""
+    each = F.explode(F.array(*[F.lit(n) for n in names]))
+    copy = lambda df: None if df is None else df.drop("model_id").withColumn("model_id", each)
+    return ConfigTables(*[copy(df) if name != "calendar" else df for name, df in vars(config).items()])
+
+
+def plan_size(df):
+    return df._jdf.queryExecution().analyzed().toString().count("\n")
+
+
+def joint_plans(spark, config, names):
+    monitor = Monitor(spark, config)
+    dates, lagged = monitor.resolved(spark.createDataFrame([(n, BASE) for n in names], "model_id string, information_date string"))
+    literals = monitor.feeds.read_dates(dates)
+    joint = monitor.joint_inputs(dates, literals)
+    return [plan_size(monitor.pairs(dates, lagged, literals)), len(joint), plan_size(joint[0][0])]
+
+
+def test_plans_follow_sources_not_models(spark, frames):
+    config, names = config_tables(spark, frames), [f"F{i}" for i in range(20)]
+    assert joint_plans(spark, many_models(config, spark, frames, names), names) == joint_plans(spark, config, [MODEL])
+
+
+def test_fleet_equals_single_models(spark, frames, written):
+    names = ["A", "B"]
+    config = many_models(config_tables(spark, frames), spark, frames, names)
+    # The second model leaves an input out, so the two share sources but not columns.
+    config.variable_metadata = config.variable_metadata.where("NOT (model_id = 'B' AND variable = 'category')")
+    found = Monitor(spark, config).run(spark.createDataFrame([(n, BASE) for n in names], "model_id string, information_date string")).results
+    rows = {(r.model_id, r.variable, r.metric_name): r.metric_value for r in found.collect()}
+    alone = {(r.variable, r.metric_name): r.metric_value for r in written["metric_result"].where(F.col("information_date") == BASE).collect()}
+    for name in names:
+        assert {k[1:]: pytest.approx(v, abs=1e-12) for k, v in rows.items() if k[0] == name} == {
+            k: v for k, v in alone.items() if name == "A" or k[0] != "category"
+        }
+
+
+def test_correlations_of_own_columns(spark):
+    from modelmon.operators.stability import correlation
+
+    data = [(m, "d", "input", "v", s, float(i), float(i * i % 7), float(-i)) for m in ("A", "B") for s in ("current", "baseline") for i in range(9)]
+    rows = spark.createDataFrame(data, "model_id string, information_date string, var_type string, variable string, side string, a double, b double, c double")
+    found = {r.model_id: r.corr_cur for r in correlation(rows, ["a", "b", "c"], own={"A": ["a", "b"], "B": ["c", "a"]}).collect()}
+    alone = correlation(rows.where("model_id = 'A'"), ["a", "b"]).first().corr_cur
+    assert found["B"] == pytest.approx(1.0) and found["A"] == pytest.approx(alone) and alone < 0.9
+    twice = correlation(rows.where("model_id = 'A'"), ["a"], own={"A": ["a", "a"]}).first()
+    assert twice.corr_cur == pytest.approx(1.0)
+
+
+def test_failed_and_undefined(spark, frames, tmp_path):
+    names = ["good", "lost", "odd"]
+    config = many_models(config_tables(spark, frames), spark, frames, names)
+    meta = config.variable_metadata
+    table = F.when((F.col("model_id") == "lost") & (F.col("variable") == "age"), "nowhere").otherwise(F.col("source_table"))
+    column = F.when((F.col("model_id") == "odd") & (F.col("variable") == "age2"), "wrong").otherwise(F.col("source_column"))
+    config.variable_metadata = meta.withColumns({"source_table": table, "source_column": column})
+    spark.table("scores").withColumn("score", F.when(F.col("information_date") != BASE, F.col("score"))).createOrReplaceTempView("scores")
+    runs = spark.createDataFrame([(n, BASE) for n in names], "model_id string, information_date string")
+    paths = run_models(spark, config, runs, str(tmp_path), "exec-3", as_of=F.lit("2025-01-03").cast("date"))
+    config_tables(spark, frames)
+    log = {r.model_id: r for r in spark.read.parquet(paths["execution_log"]).collect()}
+    assert {m: r.status for m, r in log.items()} == {"good": "SUCCESS", "lost": "FAILED", "odd": "FAILED"}
+    assert log["lost"].error_message == "table metadata not found for nowhere" and "missing columns ['wrong'] in raw" == log["odd"].error_message
+    results = spark.read.parquet(paths["metric_result"])
+    assert results.select("model_id").distinct().count() == 1
+    assert results.where("metric_value IS NULL").count() == 0
+    assert log["good"].metrics_failed == 3
+    tail = results.where("metric_name = 'tail_shift'").first()
+    assert (tail.metric_value, tail.status) == (0.0, "GREEN")
+
+
+def test_nothing_left_to_measure(spark, frames):
+    config = config_tables(spark, frames)
+    config.variable_metadata = config.variable_metadata.withColumn("source_table", F.lit("nowhere"))
+    found = Monitor(spark, config).run(asked(spark))
+    assert found.results.count() == 0 and found.missing.count() == 0 and found.failed.select("information_date").distinct().count() == 2
+
+
+def test_baseline_date_of_stored_bins(written):
+    rows = written["metric_result"].where("variable = 'score'").collect()
+    dates = {r.metric_name: r.baseline_process_date for r in rows}
+    assert {m for m, d in dates.items() if d} <= {"psi_canonical", "psi_approved", "psi_rejected"}
+    assert dates["psi_canonical"] == "2025-01-01" and dates["null_rate"] is None
