@@ -119,18 +119,6 @@ def test_reuse_measures_nothing(spark, frames, written, out, monkeypatch):
         measured(monitor, runs, runs, store, None)
 
 
-def test_rerun_leaves_nothing_of_the_run_before(spark, frames, written, out):
-    config = config_tables(spark, frames)
-    for name in ("scores", "targets", "raw"):
-        spark.table(name).where(F.col("information_date") != BASE).createOrReplaceTempView(name)
-    runs = spark.createDataFrame([(MODEL, BASE)], "model_id string, information_date string")
-    paths = run_models(spark, config, runs, out, "exec-2", as_of=F.lit("2025-01-03").cast("date"))
-    log = [(r.execution_id, r.status) for r in spark.read.parquet(paths["execution_log"]).where(F.col("information_date") == BASE).collect()]
-    assert log == [("exec-2", "MISSING_DATA")]
-    assert not glob.glob(f"{paths['metric_result']}/information_date={BASE}/*") and not glob.glob(f"{paths['alert_aggregate']}/information_date={BASE}/*")
-    config_tables(spark, frames)
-
-
 def many_models(config, spark, frames, names):
     """The configuration of MODEL under several names; all read the same sources."""
     each = F.explode(F.array(*[F.lit(n) for n in names]))
@@ -198,7 +186,8 @@ def test_failed_and_undefined(spark, frames, tmp_path):
     results = spark.read.parquet(paths["metric_result"])
     assert results.select("model_id").distinct().count() == 1
     assert results.where("metric_value IS NULL").count() == 0
-    assert log["good"].metrics_failed == 3
+    # No score in the current month: no tail of it, and no squared error against the outcome.
+    assert log["good"].metrics_failed == 2
     tail = results.where("metric_name = 'tail_shift'").first()
     assert (tail.metric_value, tail.status) == (0.0, "GREEN")
 
@@ -215,3 +204,15 @@ def test_baseline_date_of_stored_bins(written):
     dates = {r.metric_name: r.baseline_process_date for r in rows}
     assert {m for m, d in dates.items() if d} <= {"psi_canonical", "psi_approved", "psi_rejected"}
     assert dates["psi_canonical"] == "2025-01-01" and dates["null_rate"] is None
+
+
+def test_rerun_leaves_nothing_of_the_run_before(spark, frames, written, out):
+    config = config_tables(spark, frames)
+    for name in ("scores", "targets", "raw"):
+        spark.table(name).where(F.col("information_date") != BASE).createOrReplaceTempView(name)
+    runs = spark.createDataFrame([(MODEL, BASE)], "model_id string, information_date string")
+    paths = run_models(spark, config, runs, out, "exec-2", as_of=F.lit("2025-01-03").cast("date"))
+    log = [(r.execution_id, r.status) for r in spark.read.parquet(paths["execution_log"]).where(F.col("information_date") == BASE).collect()]
+    assert log == [("exec-2", "MISSING_DATA")]
+    assert not glob.glob(f"{paths['metric_result']}/information_date={BASE}/*") and not glob.glob(f"{paths['alert_aggregate']}/information_date={BASE}/*")
+    config_tables(spark, frames)
