@@ -377,8 +377,7 @@ def test_pipeline_stages(spark, sf_dir):
     final = corpus_pipeline.run(spark, sf_dir)
     good = {r.doc_id for r in quality.quality(docs).where("kept").collect()}
     left = {r.doc_id: r.text for r in docs.collect() if r.doc_id in good}
-    ids, prints = zip(*[(i, plain_print(t)) for i, t in sorted(left.items())])
-    one = {ids[r] for r in plain_classes(list(prints))}
+    one = similar_kept(sorted(left.items()))
     leaked = {i for i in one for b in bench.collect() if b.text.strip() in left[i]}
     clean = one - leaked
     con = duckdb.connect()
