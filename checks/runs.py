@@ -549,7 +549,7 @@ def order_runs(t: Tables):
 
 @check("run_metrics")
 def run_metrics(t):
-    found = Monitor(t.spark, order_model(t)).run(order_runs(t)).results
+    found = Monitor(t.spark, order_model(t)).run(order_runs(t)).results.fillna(0.0, ["metric_value"])
     return found.select("model_id", "information_date", "var_type", "variable", "metric_name", r6("metric_value", 9).alias("metric_value"), "status")
 
 

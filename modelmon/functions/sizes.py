@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,12 +34,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# The folder of the run at hand; threads of ``side_by_side`` see that of the thread which started them.
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def run_tables(spark: SparkSession) -> Iterator[str]:
+    """Inside the block, fixed tables go to one folder of their own, which is deleted at its end, however that comes.
+
+    Nothing read from such a table may leave the block. A block inside another has its own folder.
+    """
+    folder = f"{shared_folder(spark)}/fixed/run-{uuid.uuid4().hex}"
+    mark = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(mark)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Fix a frame as a table in the shared folder: computed once, safe from lost executors.
 
     Read back as a table it has a true size, so Spark chooses joins by it.
     """
-    path = f"{shared_folder(df.sparkSession)}/fixed/{uuid.uuid4().hex}"
+    folder = _RUN_FOLDER.get() or f"{shared_folder(df.sparkSession)}/fixed"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -63,5 +86,6 @@ def all_reliable(makers: list[Callable[[], DataFrame | None]]) -> list[DataFrame
 
 def side_by_side(work: list[Callable]) -> list:
     """What independent pieces of work give, a few at a time, in their order."""
+    contexts = [copy_context() for _ in work]
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        return list(pool.map(lambda job: job(), work))
+        return list(pool.map(lambda context, job: context.run(job), contexts, work))

@@ -165,6 +165,24 @@ class Feeds:
     def cutoffs(self) -> DataFrame:
         return self.summary.select("model_id", F.col("cut_off_probability").alias("cutoff"))
 
+    def sources_version(self) -> dict[str, str]:
+        """Per source what shows any change of it: its files with their sizes and times, or its rows where it has no files.
+
+        Only file statistics are read of a source of files, whatever its size. Views and given frames are hashed row by row.
+        """
+
+        def marks(feed: Feed, number: int) -> DataFrame:
+            spec, base = feed.spec, self.overrides.get(feed.source_table)
+            if base is None and spec.source_type == "PARQUET":
+                rows = reader.load(self.spark, spec).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+            else:
+                rows = reader.load(self.spark, spec) if base is None else base
+            hashed = F.xxhash64(*[rows[c] for c in rows.columns]).cast("decimal(38,0)")
+            return rows.agg(F.lit(number).alias("source"), F.count("*").alias("n"), F.sum(hashed).cast("string").alias("mark"))
+
+        found = union_all([marks(f, i) for i, f in enumerate(self.feeds)]).collect() if self.feeds else []
+        return {f"source {r['source']} {self.feeds[r['source']].source_table}": f"{r['n']}:{r['mark']}" for r in found}
+
     # -- dates ----------------------------------------------------------------------
 
     def load(self, feed: Feed) -> DataFrame:

@@ -17,7 +17,7 @@ from modelmon.operators.availability import availability_done, data_availability
 from modelmon.operators.bins import normalise_bins
 from modelmon.operators.observations import value_counts
 from modelmon.operators.runs import execution_log
-from modelmon.functions.sizes import all_reliable, reliable, side_by_side
+from modelmon.functions.sizes import all_reliable, reliable, run_tables, side_by_side
 from modelmon.plans import wide
 from modelmon.plans.feeds import SINGLE_MODES, ConfigTables, Feed, Feeds, by_model
 from modelmon.sources.config import latest_partition
@@ -403,14 +403,16 @@ class Monitor:
 
 
 def measured(monitor: Monitor, runs: DataFrame, asked: DataFrame, store: KeptTables | None, models: list[str] | None) -> RunFrames:
-    """The frames of the runs: those kept for this configuration and these runs if all are there, else measured and kept.
-
-    The version does not see the source data: after a correction of it take another folder, or forget the tables.
+    """The frames of the runs: those kept for this configuration, these sources and these runs if all are there, else
+    measured and kept. A source that was corrected, file or row, is another version.
     """
     if store is None:
         return monitor.run(runs)
     hashed = F.xxhash64(*RUN).cast("decimal(38,0)")
-    version = {**monitor.config.version(), "models": sorted(models or []), "runs": tuple(asked.agg(F.count("*"), F.sum(hashed)).first())}
+    version = {
+        **monitor.config.version(), **monitor.feeds.sources_version(), "models": sorted(models or []),
+        "runs": tuple(asked.agg(F.count("*"), F.sum(hashed)).first()),
+    }
     kept = {f.name: store.find(f.name, version) for f in fields(RunFrames)}
     if any(df is None for df in kept.values()):
         frames = monitor.run(runs)
@@ -435,8 +437,14 @@ def run_models(
 
     Each table is fixed once and carried on as it is, so nothing is measured twice and no history is read; the log is
     written last. What a table held of a run that has no rows now is deleted: a rerun leaves nothing of the run before. With a ``store``, results
-    of the same configuration and runs are looked up before anything is measured. Returns the paths.
+    of the same configuration and runs are looked up before anything is measured. Intermediate tables are gone when the run
+    ends, also when it breaks off. Returns the paths.
     """
+    with run_tables(spark):
+        return _run_models(spark, config, runs, out_dir, execution_id, job, reason, models, overrides, store, as_of)
+
+
+def _run_models(spark, config, runs, out_dir, execution_id, job, reason, models, overrides, store, as_of) -> dict[str, str]:
     begun = time.monotonic()
     monitor = Monitor(spark, config, models, overrides)
     asked = reliable(

@@ -199,6 +199,55 @@ def test_nothing_left_to_measure(spark, frames):
     assert found.results.count() == 0 and found.missing.count() == 0 and found.failed.select("information_date").distinct().count() == 2
 
 
+def test_corrected_source_is_measured_again(spark, frames, out, written, tmp_path, monkeypatch):
+    config, runs = config_tables(spark, frames), asked(spark)
+    store = KeptTables(spark, f"{out}/kept")
+    raw = spark.table("raw")
+    raw.withColumn("age", F.col("age") + F.when(F.col("customer_id") == 3, 1.0).otherwise(0.0)).createOrReplaceTempView("raw")
+    monkeypatch.setattr(Monitor, "run", lambda self, runs: pytest.fail("measured again"))
+    with pytest.raises(pytest.fail.Exception):
+        measured(Monitor(spark, config), runs, runs, store, None)
+    raw.createOrReplaceTempView("raw")
+    config_tables(spark, frames)
+
+    def version(path, value, mode):
+        spark.createDataFrame([(1, "2025-01-01", value)], "customer_id long, information_date string, age double").write.mode(mode).partitionBy("information_date").parquet(path)
+        own = config_tables(spark, frames)
+        own.table_config = own.table_config.withColumns({
+            "source_type": F.when(F.col("source_table") == "raw", "PARQUET").otherwise(F.col("source_type")),
+            "table_name": F.when(F.col("source_table") == "raw", F.lit(path)).otherwise(F.col("table_name")),
+            "source_table": F.when(F.col("source_table") == "raw", F.lit(path)).otherwise(F.col("source_table")),
+        })
+        own.variable_metadata = own.variable_metadata.where("variable != 'category'").withColumn(
+            "source_table", F.when(F.col("source_table") == "raw", F.lit(path)).otherwise(F.col("source_table"))
+        )
+        return {k: v for k, v in Monitor(spark, own).feeds.sources_version().items() if path in k}
+
+    path = str(tmp_path / "raw")
+    first = version(path, 5.0, "overwrite")
+    assert len(first) == 1 and version(path, 5.0, "ignore") == first and version(path, 6.0, "append") != first
+
+
+def test_runs_leave_no_intermediate_tables(spark, frames, tmp_path, monkeypatch):
+    from modelmon.functions.sizes import reliable, run_tables, shared_folder, side_by_side
+
+    shared = f"{shared_folder(spark).removeprefix('file:')}/fixed"
+    left = lambda: set(glob.glob(f"{shared}/run-*"))
+    before = left()
+    with run_tables(spark) as folder:
+        found = side_by_side([lambda: reliable(spark.range(3)), lambda: reliable(spark.range(4))])
+        assert [df.count() for df in found] == [3, 4] and len(glob.glob(f"{folder.removeprefix('file:')}/*")) == 2
+        with pytest.raises(ZeroDivisionError), run_tables(spark):
+            reliable(spark.range(2))
+            1 / 0
+        assert found[0].count() == 3
+    assert left() == before
+    monkeypatch.setattr(Monitor, "availability", lambda self, runs, as_of=None: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_models(spark, config_tables(spark, frames), asked(spark), str(tmp_path), "exec-4")
+    assert left() == before and not glob.glob(f"{tmp_path}/*")
+
+
 def test_baseline_date_of_stored_bins(written):
     rows = written["metric_result"].where("variable = 'score'").collect()
     dates = {r.metric_name: r.baseline_process_date for r in rows}
