@@ -12,7 +12,7 @@ from modelmon.functions.columns import KEYS, smallest_per_key, union_all
 from modelmon.functions.dates import format_date, parse_date
 from modelmon.functions.ordering import top_per_group
 from modelmon.functions.columns import first_rank_key
-from modelmon.operators import bins, dashboard, observations, runs, score
+from modelmon.operators import bins, dashboard, observations, quality, runs, score, summary
 from modelmon.sources import config, reader, sinks
 
 BY_STATUS = """SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) + 0.0 AS total FROM orders GROUP BY 1"""
@@ -215,13 +215,15 @@ def write_partition(t):
 @check("write_audit", """SELECT CAST(o_custkey AS VARCHAR) AS staging_id, CASE WHEN count(*) FILTER (o_orderstatus = 'F') > 0 THEN 'PROMOTED' ELSE 'VALIDATED' END AS status,
   max(o_orderkey) AS row_count_temp, coalesce(max(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END), -1) AS row_count_final FROM orders GROUP BY 1""")
 def write_audit(t):
-    done = F.col("o_orderstatus") == "F"
+    """The log of a write per customer: every order is an event of it, all appended in two batches."""
+    path, done = scratch(t, "audit"), F.col("o_orderstatus") == "F"
     events = t.orders.select(
         F.col("o_custkey").cast("string").alias("staging_id"), F.when(done, sinks.PROMOTED).otherwise(sinks.VALIDATED).alias("status"),
-        F.col("o_orderkey").alias("row_count_temp"), F.when(done, F.col("o_orderkey")).alias("row_count_final"),
-        F.when(~done, F.col("o_orderdate")).alias("validated_at"), F.when(done, F.col("o_orderdate")).alias("promoted_at"),
+        F.col("o_orderkey").cast("int").alias("row_count_temp"), F.when(done, F.col("o_orderkey")).cast("int").alias("row_count_final"),
     )
-    state = sinks.audit_state(events)
+    for status in (sinks.VALIDATED, sinks.PROMOTED):
+        sinks.append_audit(events.where(F.col("status") == status), path)
+    state = sinks.audit_state(t.spark.read.schema(schemas.get("staging_control")).parquet(path))
     return state.select("staging_id", "status", "row_count_temp", F.coalesce("row_count_final", F.lit(-1)).alias("row_count_final"))
 
 
@@ -421,9 +423,12 @@ def topn_categories(t):
 @check("top_category", f"""WITH {TXT}, c AS (SELECT d, variable, value, count(*) AS n FROM txt WHERE side = 'current' GROUP BY 1, 2, 3) SELECT d AS information_date, variable, coalesce(value, '?') AS value, n
   FROM (SELECT *, row_number() OVER (PARTITION BY d, variable ORDER BY n DESC, value NULLS LAST) AS rn FROM c) WHERE rn = 1""")
 def top_category(t):
-    counted = bins.category_counts(data.texts(t).where("side = 'current'"))
-    top = counted.groupBy("information_date", "variable").agg(F.min(first_rank_key(F.col("count_dev"), F.col("value"))).alias("top"))
-    return top.select("information_date", "variable", F.coalesce("top.value", F.lit("?")).alias("value"), (-F.col("top.n")).alias("n"))
+    found = summary.categorical_summary(data.texts(t))
+    of = lambda name, column: F.max(F.when(F.col("statistic") == name, F.col(column)))
+    value = of("top_category", "statistic_value_str")
+    return found.groupBy("information_date", "variable").agg(
+        F.when(value == "None", "?").otherwise(value).alias("value"), of("top_category_count", "statistic_value").cast("long").alias("n")
+    ).where("n IS NOT NULL")
 
 
 @check("order_results", f"WITH {RES} SELECT model_id, information_date, variable, metric_value FROM res ORDER BY model_id, information_date, variable")
@@ -433,16 +438,14 @@ def order_results(t):
 
 @check("union_samples", f"WITH {NUM} SELECT d AS information_date, variable, count(*) AS pooled FROM num GROUP BY 1, 2")
 def union_samples(t):
-    rows = data.numbers(t)
-    pool = rows.where("side = 'current'").drop("side").unionByName(rows.where("side = 'baseline'").drop("side"))
-    return pool.groupBy("information_date", "variable").agg(F.count("*").alias("pooled"))
+    pool = observations.sizes(data.numbers(t))
+    return pool.select("information_date", "variable", (F.col("n_cur") + F.col("n_base")).alias("pooled"))
 
 
 @check("set_jaccard", f"""WITH {TXT} SELECT d AS information_date, variable, round(count(*) FILTER (s = 2) / count(*), 6) + 0.0 AS jaccard FROM (SELECT d, variable, value, count(DISTINCT side) AS s FROM txt GROUP BY 1, 2, 3) GROUP BY 1, 2""")
 def set_jaccard(t):
-    per_value = observations.value_counts(data.texts(t))
-    both = (F.col("n_cur") > 0) & (F.col("n_base") > 0)
-    return per_value.groupBy("information_date", "variable").agg(r6(F.count_if(both) / F.count("*")).alias("jaccard"))
+    # More leaders than there are categories, so both whole sets are compared.
+    return quality.categories(data.texts(t), 100).select("information_date", "variable", r6("jaccard").alias("jaccard"))
 
 
 @check("set_except", f"WITH {RES}, {LOG} SELECT DISTINCT information_date, model_id FROM log EXCEPT SELECT information_date, model_id FROM res")

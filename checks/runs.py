@@ -264,8 +264,14 @@ def metric_registry(t):
     def largest(rows):
         return rows.groupBy(*KEYS).agg(F.max(F.when(F.col("side") == "current", F.col("value"))).alias("top"), F.lit(0).alias("n_base"))
 
-    own = registry.Metric("max_value", "largest", lambda: F.col("top"))
-    return registry.measure(largest(data.numbers(t)), [own]).select("information_date", "variable", "metric_name", "metric_value")
+    registry.register_family("largest", largest)
+    registry.register(registry.Metric("max_value", "largest", lambda: F.col("top")))
+    try:
+        metric = registry.get("max_value")
+        found = registry.measure(registry.family(metric.family)(data.numbers(t)), [metric])
+    finally:
+        registry.forget("max_value", "largest")
+    return found.select("information_date", "variable", "metric_name", "metric_value")
 
 
 # -- roll-ups ---------------------------------------------------------------------------

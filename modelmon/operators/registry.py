@@ -39,6 +39,13 @@ def register_family(name: str, build: Callable[..., DataFrame]) -> None:
     _FAMILIES[name] = build
 
 
+def forget(metric: str, family_name: str | None = None) -> None:
+    """Take back what was registered."""
+    _METRICS.pop(metric, None)
+    if family_name is not None:
+        _FAMILIES.pop(family_name, None)
+
+
 def get(name: str) -> Metric:
     _load()
     if name not in _METRICS:
