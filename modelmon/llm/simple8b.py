@@ -38,13 +38,18 @@ GAP = "\0" * 8
 HEAD = 7
 BLOCK = 1024
 SEGMENT_IDS = 1 << 20
+# Segments of one file: a file is read as a whole, so it stays a few hundred MB whatever a partition holds.
+FILE_SEGMENTS = 64
 END_ID = 2
-# Different pieces of text whose ids a Python worker remembers; the memory is emptied when full.
+# Different pieces of text whose ids a Python worker remembers; when half of them are new, the older half goes.
 REMEMBERED = 700_000
+# Characters that the pre-tokenizer parts from the letters in front of them.
+CLOSING = ".,!?;:*#$%&"
 # Pieces encoded in one call.
 JOINED = 500
 
 _INSIDE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _worker: dict = {}
 
 
@@ -172,69 +177,91 @@ def segments(content: bytes) -> Iterator[tuple[int, int, list, list[np.ndarray]]
 class Encoder:
     """Encodes whole texts with the library; equal to one call per text, but each different piece is encoded once.
 
-    The library's byte-level pre-tokenizer always ends a piece before a single space between two other characters, and
-    between a letter and a full stop or comma, so texts may be cut there. ``rows`` maps a piece (with the space in front
-    of it) to its ids; a text with a space beside other white space is cut by the slower, exact pattern.
+    The library's byte-level pre-tokenizer always ends a piece before a single space or line end between two other
+    characters, and between letters and closing punctuation, so texts may be cut there. ``rows`` maps a piece to its ids:
+    with the space in front of it, or with the line end that the piece then starts with. A text with white space beside
+    white space or at an end is cut by the slower, exact pattern, and so is every text if the vocabulary's pre-tokenizer
+    does not keep line ends apart. ``before`` holds the pieces of the time before ``rows`` was full.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        ids = self._ids
+        self.line_end = ids("\n")
+        self.lines = len(self.line_end) == 4 and all(ids(f"{x}\n{y}") == ids(x) + self.line_end + ids(y) for x in ("a", "a.", "1", ")") for y in ("a", ".", "1"))
         self.forget()
 
     def forget(self) -> None:
         self.rows: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.rows) > REMEMBERED or len(self.heads) > REMEMBERED:
-            self.forget()
-        cut = [text.split(" ") for text in texts]
-        found = set().union(*cut)
-        cut = [c if not self._unfit(c, text) else _INSIDE_SPACE.split(text) for c, text in zip(cut, texts)] if any(
-            not p or p[0].isspace() or p[-1].isspace() for p in found
-        ) else cut
-        rest = [c[1:] for c in cut]
-        self._learn(set().union(*rest))
-        heads = {c[0] for c in cut}.difference(self.heads)
-        for head, encoding in zip(heads, self.tokenizer.encode_batch_fast(list(heads), add_special_tokens=False)):
+        if len(self.rows) > REMEMBERED // 2:
+            self.rows, self.before = {}, self.rows
+        if len(self.heads) > REMEMBERED // 2:
+            self.heads = {}
+        if len(self.tails) > REMEMBERED // 10:
+            self.tails = {}
+        cut = [text.replace("\n", " \n").split(" ") if self._tight(text) else _INSIDE_SPACE.split(text) for text in texts]
+        heads = list({c[0] for c in cut}.difference(self.heads))
+        for head, encoding in zip(heads, self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)):
             self.heads[head] = np.array(encoding.ids, "<u4").tobytes()
+        first = [self.heads[c.pop(0)] for c in cut]
+        self._learn(set().union(*cut).difference(self.rows))
         look = self.rows.__getitem__
-        return [np.frombuffer(self.heads[c[0]] + b"".join(map(look, r)), "<u4") for c, r in zip(cut, rest)]
+        return [np.frombuffer(head + b"".join(map(look, c)), "<u4") for head, c in zip(first, cut)]
 
-    @staticmethod
-    def _unfit(parts: list[str], text: str) -> bool:
-        return any(not p or p[0].isspace() or p[-1].isspace() for p in parts)
+    def _tight(self, text: str) -> bool:
+        """Only single spaces and line ends, each between two other characters; asked once per text."""
+        flat = text.replace("\n", " ")
+        return self.lines and flat[:1] != " " != flat[-1:] and "  " not in flat and not _OTHER_SPACE.search(text)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
-        rows = self.rows
-        new = [p for p in pieces if p not in rows]
-        stems = {p: p[:-1] for p in new if p[-1] in ".," and p[:-1].isalpha()}
-        plain = {stems.get(p, p) for p in new}.difference(rows)
-        lines = [p for p in plain if "\n" not in p]
-        for at in range(0, len(lines), JOINED):
-            self._learn_lines(lines[at : at + JOINED])
-        broken = [p for p in plain if "\n" in p]
-        for p, encoding in zip(broken, self.tokenizer.encode_batch_fast([" " + p for p in broken], add_special_tokens=False)):
+        rows, before = self.rows, self.before
+        stems, plain = {}, set()
+        for p in pieces:
+            if (known := before.get(p)) is not None:
+                rows[p] = known
+                continue
+            stem = p.rstrip(CLOSING)
+            if len(stem) < len(p) and stem.removeprefix("\n").isalpha():
+                stems[p] = stem
+                if stem not in rows:
+                    plain.add(stem)
+            else:
+                plain.add(p)
+        if self.lines:
+            self._learn_lines([p for p in plain if "\n" not in p], " ", b"")
+            self._learn_lines([p for p in plain if p[0] == "\n" and "\n" not in p[1:]], "", self.line_end)
+        rest = [p for p in plain if p not in rows]
+        for p, encoding in zip(rest, self.tokenizer.encode_batch_fast([" " + p for p in rest], add_special_tokens=False)):
             rows[p] = np.array(encoding.ids, "<u4").tobytes()
-        ends = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes() for c in ".,"} if stems else {}
-        rows.update((p, rows[stem] + ends[p[-1]]) for p, stem in stems.items())
-
-    def _learn_lines(self, pieces: list[str]) -> None:
-        """Encode many pieces in one call, a line each; a line end is a token of its own before a space."""
-        text = "\n".join(" " + p for p in pieces)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        stops = np.append(np.nonzero(ids == self._line_end())[0], len(ids)).tolist()
-        if len(stops) != len(pieces):
-            raise ValueError("the tokenizer does not keep line ends apart")
-        data, before = ids.tobytes(), 0
-        for p, stop in zip(pieces, stops):
-            self.rows[p] = data[4 * before : 4 * stop]
-            before = stop + 1
-
-    def _line_end(self) -> int:
-        return self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        for p, stem in stems.items():
+            tail = p[len(stem) :]
+            if tail not in self.tails:
+                self.tails[tail] = self._ids(tail)
+            rows[p] = rows[stem] + self.tails[tail]
+
+    def _learn_lines(self, pieces: list[str], ahead: str, ids_ahead: bytes) -> None:
+        """Encode many pieces in one call, a line each; a line end is a token of its own beside what is no line end."""
+        for at in range(0, len(pieces), JOINED):
+            part = pieces[at : at + JOINED]
+            text = "\n".join(ahead + p.removeprefix("\n") for p in part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.append(np.nonzero(ids == np.frombuffer(self.line_end, "<u4"))[0], len(ids)).tolist()
+            if len(stops) != len(part):
+                raise ValueError("the tokenizer does not keep line ends apart")
+            data, start = ids.tobytes(), 0
+            for p, stop in zip(part, stops):
+                self.rows[p] = ids_ahead + data[4 * start : 4 * stop]
+                start = stop + 1
 
 
 def encoder(path: str) -> Encoder:
@@ -274,11 +301,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, parts: int | N
             yield flush()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ordered = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = texts.repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
     # The text sink writes a string's bytes as they are, and its line separator is the zero word between segments.
     binary = ordered.mapInArrow(run, "segment binary").select(F.col("segment").cast("string").alias("value"))
     with arrow_rows(spark):
-        binary.write.option("lineSep", GAP).text(path)
+        binary.write.option("lineSep", GAP).option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
 
 
 def _read(spark: SparkSession, path: str, columns: str, make) -> DataFrame:

@@ -170,6 +170,29 @@ def test_token_files(docs, empty):
     assert simple8b.token_table(empty, path).count() == 0
 
 
+def test_token_files_are_bounded(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(simple8b, "SEGMENT_IDS", 50)
+    monkeypatch.setattr(simple8b, "FILE_SEGMENTS", 2)
+    many = docs.unionByName(docs).unionByName(docs)
+    simple8b.write_tokens(many, queries.tokenizer_path(queries.TOKENIZER), f"{tmp_path}/t", 1)
+    assert len(list((tmp_path / "t").glob("part-*"))) > 1
+    found = simple8b.digests(spark, f"{tmp_path}/t").orderBy("start").collect()
+    assert len(found) == many.count()
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
+
+
+def test_pieces_equal_whole_calls():
+    from tokenizers import Tokenizer
+
+    path, rng = queries.tokenizer_path(queries.TOKENIZER), random.Random(5)
+    parts = ["a", "bc", " ", "\n", "\n", ".", ",", "***", "!", "'s", "'", "é", "\t", "\r\n", "12", "<s>", "</s>", "#", "_", "\x1c", "漢", " x", " The"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(3000)]
+    whole, encode = Tokenizer.from_file(path), simple8b.Encoder(path)
+    for at in range(0, len(texts), 100):
+        for text, ids in zip(texts[at : at + 100], encode(texts[at : at + 100])):
+            assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_quality(docs, empty):
     got = Counter()
     for r in quality.quality(docs).collect():
