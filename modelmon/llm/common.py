@@ -6,7 +6,9 @@ import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from modelmon.functions.sizes import shared_folder
@@ -35,12 +37,37 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def fixed(df: DataFrame, name: str, rows: int = BATCH_ROWS) -> DataFrame:
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables fixed inside the block are deleted at its end, however that comes, unless they are fixed as lasting.
+
+    Shuffle files of jobs in the block go as soon as their job has ended: what it made is a table by then.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    mark = _PASSING.set([])
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for path in _PASSING.get():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _PASSING.reset(mark)
+
+
+def fixed(df: DataFrame, name: str, rows: int = BATCH_ROWS, lasting: bool = False) -> DataFrame:
     """The frame as a written table in the shared folder: computed once, and safe from lost executors.
 
-    Python stages in it get at most ``rows`` rows in an Arrow batch.
+    Python stages in it get at most ``rows`` rows in an Arrow batch. A lasting table outlives ``passing_tables``.
     """
     path = folder(df.sparkSession, name)
+    if _PASSING.get() is not None and not lasting:
+        _PASSING.get().append(path)
     with arrow_rows(df.sparkSession, rows):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -54,6 +81,21 @@ def whole(docs: DataFrame) -> DataFrame:
     return fixed(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("d")), "whole")
 
 
+def numbered(docs: DataFrame, stored: bool) -> DataFrame:
+    """As ``whole``, without a copy where ``stored`` says that docs is a plain read of Parquet files.
+
+    A row is then told by its file (a 64-bit hash of the path) and its place in it, which no later read changes.
+    """
+    if stored:
+        try:
+            place = docs.metadataColumn("_metadata")
+            row = F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("place"))
+            return docs.select(row.alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("d"))
+        except AnalysisException:
+            pass  # not a read of files: the rows are written
+    return whole(docs)
+
+
 def unpack(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col("d")[c].alias(c) for c in columns])
 

@@ -13,7 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from modelmon.llm.common import fixed, unpack, whole, words
+from modelmon.functions.sizes import bounded
+from modelmon.llm.common import fixed, numbered, passing_tables, unpack, words
 
 # Frequent function words of four languages. A word in two lists counts once, as itself.
 FUNCTION_WORDS = {
@@ -199,11 +200,12 @@ def quality(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with their own columns."""
-    table = whole(docs)
-    counted = fixed(
-        counts(table.select("row", F.col("d.text").alias("text"), F.col("d.lang").alias("lang")), ["row"]), "quality"
-    )
-    kept = judged(counted, references(counted)).where("kept").select("row")
-    return unpack(table.join(kept, "row", "left_semi"), docs.columns)
+def keep_good(docs: DataFrame, stored: bool = False) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with their own columns. ``stored``: see ``numbered``."""
+    table = numbered(docs, stored)
+    with passing_tables(docs.sparkSession):
+        counted = fixed(
+            counts(table.select("row", F.col("d.text").alias("text"), F.col("d.lang").alias("lang")), ["row"]), "quality"
+        )
+        dropped = fixed(judged(counted, references(counted)).where(~F.coalesce("kept", F.lit(False))).select("row"), "rejected", lasting=True)
+    return unpack(table.join(bounded(dropped), "row", "left_anti"), docs.columns)
