@@ -147,6 +147,16 @@ def test_pipeline_drops_similar_texts(spark, empty):
     assert shingles.keep_one(empty).count() == 0 and shingles.keep_one(empty).columns == empty.columns
 
 
+def test_stored_rows_need_no_copy(spark, tmp_path):
+    text = prose(3, 70)
+    rows = [(1, text, "x"), (1, text, "x"), (2, text, "y"), (None, text, "z"), (3, prose(4, 70), None), (None, None, "n")]
+    spark.createDataFrame(rows, "doc_id long, text string, _metadata string").repartition(3).write.parquet(f"{tmp_path}/d")
+    stored = spark.read.parquet(f"{tmp_path}/d")
+    kept = shingles.keep_one(stored, stored=True)
+    assert kept.columns == stored.columns
+    assert Counter(map(tuple, kept.collect())) == Counter({(1, text, "x"): 1, (3, prose(4, 70), None): 1, (None, None, "n"): 1})
+
+
 @pytest.mark.parametrize("high", [2, 50257, 2**63])
 @pytest.mark.parametrize("n", [0, 1, 59, 60, 1023, 1025, 3000])
 def test_simple8b_round_trip(high, n):
