@@ -18,6 +18,7 @@ documents are all in ascending order of doc_id.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -50,6 +51,8 @@ JOINED = 500
 
 _INSIDE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+# Words of Latin letters: one piece of the pre-tokenizer each, with a space in front or without.
+_LATIN = re.compile(r"\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 _worker: dict = {}
 
 
@@ -181,14 +184,24 @@ class Encoder:
     characters, and between letters and closing punctuation, so texts may be cut there. ``rows`` maps a piece to its ids:
     with the space in front of it, or with the line end that the piece then starts with. A text with white space beside
     white space or at an end is cut by the slower, exact pattern, and so is every text if the vocabulary's pre-tokenizer
-    does not keep line ends apart. ``before`` holds the pieces of the time before ``rows`` was full.
+    does not keep line ends apart. A word of Latin letters is one piece of the pre-tokenizer, so it goes straight to the
+    library's model, in the letters that the pre-tokenizer shows bytes as, if probes say that this gives the same ids.
+    ``before`` holds the pieces of the time before ``rows`` was full.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         ids = self._ids
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = {c: shown(chr(c))[0][0] for c in range(0xC0, 0x250)}
+        self.space = shown(" ")[0][0]
+        probes = ["a", "Zebra", "internationalisation", "stra\u00dfe", "\u00dcbergr\u00f6\u00dfe", "\u0141\u00f3d\u017a", "s" * 40]
+        self.words = self.tokenizer.normalizer is None and all(
+            self._word(p) == ids(p) and self._word(p, self.space) == ids(" " + p) for p in probes
+        )
         self.line_end = ids("\n")
         self.lines = len(self.line_end) == 4 and all(ids(f"{x}\n{y}") == ids(x) + self.line_end + ids(y) for x in ("a", "a.", "1", ")") for y in ("a", ".", "1"))
         self.forget()
@@ -223,6 +236,11 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str, ahead: str = "") -> bytes:
+        """Ids of a word of Latin letters; ``ahead`` is nothing or a space as the pre-tokenizer shows it."""
+        found = [t.id for t in self.model.tokenize(ahead + (word if word.isascii() else word.translate(self.shown)))]
+        return struct.pack(f"<{len(found)}I", *found)
+
     def _learn(self, pieces: set[str]) -> None:
         rows, before = self.rows, self.before
         stems, plain = {}, set()
@@ -237,6 +255,16 @@ class Encoder:
                     plain.add(stem)
             else:
                 plain.add(p)
+        if self.words:
+            latin, word, space, other = _LATIN.fullmatch, self._word, self.space, set()
+            for p in plain:
+                if not latin(p) or p[0] == "\n" and not self.lines:
+                    other.add(p)
+                elif p[0] == "\n":
+                    rows[p] = self.line_end + word(p[1:])
+                else:
+                    rows[p] = word(p, space)
+            plain = other
         if self.lines:
             self._learn_lines([p for p in plain if "\n" not in p], " ", b"")
             self._learn_lines([p for p in plain if p[0] == "\n" and "\n" not in p[1:]], "", self.line_end)
