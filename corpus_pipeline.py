@@ -18,7 +18,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: of each class of near copies (5-word Jaccard 0.8 or more) the document with the smallest doc_id stays."""
+    """Operator 3: of each class of near copies the document with the smallest doc_id stays.
+
+    The classes of the fingerprints are checked on whole sets (5-word Jaccard 0.8 or more), which also find near copies whose
+    fingerprints are further apart.
+    """
     return shingles.keep_one(docs, stored=True)
 
 

@@ -1,4 +1,9 @@
-"""Near copies by the Jaccard similarity of word shingles: every pair at or above the limit is found, none is estimated.
+"""Near copies by SimHash, checked by the Jaccard similarity of word shingles: every pair at or above the limit is found.
+
+Operator 3 comes first: the fingerprint of every text and the classes that ``simhash.classes`` makes of them. Each set of a
+class is compared with the class's first one, so a link holds by the sets and never by the fingerprints alone. Fingerprints of
+similar texts often differ in more bits than the operator allows, so an exact search finds the pairs that its classes leave
+apart, and looks at no others.
 
 A text is the set of the hashes of its ``SHINGLE``-word runs (lower case). Two sets with similarity ``SIMILARITY`` or more
 share one of their first ``n - ceil(SIMILARITY * n) + 1`` members in any order that is the same for all texts (prefix
@@ -6,8 +11,8 @@ filter), so each text is filed under those members only. The order puts the memb
 these are is only estimated, as the order changes the cost and never the result. Texts that share a key and whose sizes and
 places in the order leave the similarity possible are candidates, and each candidate is verified on the whole sets.
 
-A key that a family of near copies holds gives a star first (each member with the first one); the remaining pairs of a key
-are only formed between members that the verified stars left apart.
+A key that a family of near copies holds gives a star first (each member with the first one, unless the classes have joined
+them); the remaining pairs of a key are only formed between members that classes and stars left apart.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from modelmon.functions.sizes import bounded
+from modelmon.llm import simhash
 from modelmon.llm.common import fixed, numbered, passing_tables, unpack
 from modelmon.llm.components import components
 
@@ -76,45 +82,45 @@ def possible(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray,
 
 
 def _hashed(table: DataFrame, size: int) -> DataFrame:
-    """(row, doc_id, same) per row and, in rows without these, (h, c): hashes that many texts hold and about how often.
+    """(row, doc_id, same, fp) per row and, in rows without these, (h, c): hashes that many texts hold and about how often.
 
-    Equal sets have equal ``same``, and all texts without words have zero. Exact copies in a task count once for ``c``.
+    Equal sets have equal ``same``, and all texts without words have zero; ``fp`` is the fingerprint of operator 3. Exact copies in a task count once for ``c``.
     """
     source = table.select("row", F.col("d.doc_id").alias("doc_id"), F.col("d.text").cast("string").alias("text"))
     kinds = {c: source.schema[c].dataType.simpleString() for c in ("row", "doc_id")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, seen, types = [], 0, set(), None
-        names, lists = ["row", "doc_id", "same", "h", "c"], pa.list_(pa.int64())
+        names, lists = ["row", "doc_id", "same", "fp", "h", "c"], pa.list_(pa.int64())
 
         def told() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             often = np.nonzero(counts >= COMMON_FROM)[0]
             often = often[np.argsort(-counts[often], kind="stable")[:TOLD]]
             both = [pa.array([x], lists) for x in (values[often].view(np.int64), counts[often].astype(np.int64))]
-            return pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.nulls(1, pa.int64()), *both], names=names)
+            return pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), *both], names=names)
 
         for batch in batches:
             types = [batch.column(c).type for c in ("row", "doc_id")]
-            same = []
+            same, prints = [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 members = shingles(text, size)
                 same.append(_name(members))
+                prints.append(simhash.fingerprint(text))
                 if same[-1] not in seen:
                     seen.add(same[-1])
                     held.append(members)
                     n += len(members)
             nothing = pa.nulls(batch.num_rows, lists)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(np.array(same, np.uint64).view(np.int64)), nothing, nothing], names=names
-            )
+            both = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (same, prints)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *both, nothing, nothing], names=names)
             if n >= COUNTED:
                 yield told()
                 held, n = [], 0
         if n:
             yield told()
 
-    return fixed(source.mapInArrow(run, f"row {kinds['row']}, doc_id {kinds['doc_id']}, same long, h array<long>, c array<long>"), "hashed")
+    return fixed(source.mapInArrow(run, f"row {kinds['row']}, doc_id {kinds['doc_id']}, same long, fp long, h array<long>, c array<long>"), "hashed")
 
 
 def _common(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -266,17 +272,29 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARIT
     return unpack(table.join(bounded(dropped), "row", "left_anti"), docs.columns)
 
 
+def _proposed(named: DataFrame) -> DataFrame:
+    """(a, b): each set of a class of operator 3 with the class's first set."""
+    classes = simhash.classes(named.select("doc_id", "fp")).select("fp", "root")
+    sets = fixed(named.select("same", "fp").distinct().join(classes, "fp").select("same", "root").distinct(), "classes")
+    several = sets.groupBy("root").agg(F.min("same").alias("a"), F.count("*").alias("n")).where("n > 1")
+    return sets.join(bounded(fixed(several.select("root", "a"), "several")), "root").where("same != a").select("a", F.col("same").alias("b"))
+
+
 def _dropped(table: DataFrame, size: int, similarity: float) -> DataFrame:
     """The rows (row) of which a class of near copies has a better one."""
     hashed = _hashed(table, size)
-    named = hashed.where("same IS NOT NULL").select("row", "doc_id", "same")
+    named = hashed.where("same IS NOT NULL").select("row", "doc_id", "same", "fp")
     # Equal sets are combined before any join, so a text that a third of the rows hold is one row of it.
     first = fixed(named.groupBy("same").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "row")).alias("first")), "first")
     filed = _filed(table, _common(hashed), size, similarity).repartition("key").sortWithinPartitions("key", "same")
     under = fixed(filed.mapInArrow(_under_first(similarity), "key long, same long, n int, place int, lead long"), "keys", 1 << 16)
-    stars = under.where("lead IS NOT NULL").select(F.col("lead").alias("a"), F.col("same").alias("b"))
-    links = _verified(stars, table, first, size, similarity)
-    # What the stars of a key left apart.
+    links = _verified(_proposed(named), table, first, size, similarity)
+    roots = bounded(components(links))
+    stars = under.where("lead IS NOT NULL").select(F.col("lead").alias("a"), F.col("same").alias("b")).distinct()
+    stars = stars.join(roots.toDF("a", "x"), "a", "left").join(roots.toDF("b", "y"), "b", "left")
+    stars = stars.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
+    links = links.unionByName(_verified(stars, table, first, size, similarity))
+    # What classes and stars left apart.
     roots = components(links).withColumnRenamed("node", "same")
     rest = under.select("key", "same", "n", "place").join(roots, "same", "left").select(
         "key", "same", "n", "place", F.coalesce("root", "same").alias("root")

@@ -147,6 +147,34 @@ def test_pipeline_drops_similar_texts(spark, empty):
     assert shingles.keep_one(empty).count() == 0 and shingles.keep_one(empty).columns == empty.columns
 
 
+def test_near_copies_start_from_fingerprints(spark, monkeypatch):
+    base = [prose(i, 200).split() for i in range(4)]
+    rows = [(i * 10 + k, " ".join(words + ["extra"] * k)) for i, words in enumerate(base) for k in range(3)]
+    # Few shingles: one word more moves the fingerprint, whatever the classes make of it the sets are similar.
+    short = [f"s{i}" for i in range(24)]
+    rows += [(100, " ".join(short)), (101, " ".join(short + ["other"])), (102, None), (None, ""), (102, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prints, asked = {t: simhash.fingerprint((t or "").encode()) for _, t in rows}, []
+    classes, verified = simhash.classes, shingles._verified
+
+    def seen(hashed):
+        asked.append(Counter((r.doc_id, r.fp & (1 << 64) - 1) for r in hashed.collect()))
+        return classes(hashed)
+
+    def first(pairs, *rest):
+        asked.append({(r.a, r.b) for r in pairs.collect()})
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "classes", seen)
+    monkeypatch.setattr(shingles, "_verified", first)
+    kept = sorted(r.doc_id for r in shingles.keep_one(docs).collect())
+    assert kept == [0, 10, 20, 30, 100, 102]
+    # Every text's fingerprint goes to the operator, its pairs are checked first, and no later step asks for those that held.
+    assert asked[0] == Counter((i, prints[t]) for i, t in rows)
+    near = {(min(a, b), max(a, b)) for a, b in asked[1]}
+    assert near and not near & ({(min(a, b), max(a, b)) for a, b in asked[2]} | asked[3])
+
+
 def test_stored_rows_need_no_copy(spark, tmp_path):
     text = prose(3, 70)
     rows = [(1, text, "x"), (1, text, "x"), (2, text, "y"), (None, text, "z"), (3, prose(4, 70), None), (None, None, "n")]
