@@ -338,7 +338,8 @@ def availability(t: Tables):
     """Freshness of each supplier's shipments against every month, as of mid-1999."""
     months = t.orders.select(F.trunc("o_orderdate", "month").alias("information_date")).distinct()
     source = F.concat(F.lit("ship_"), F.col("s_suppkey"))
-    configured = t.supplier.select(
+    # A small file is one task, and each of its rows becomes one a month.
+    configured = t.supplier.repartition(t.spark.sparkContext.defaultParallelism, "s_suppkey").select(
         F.concat(F.lit("S"), F.col("s_suppkey")).alias("model_id"), F.lit("wh").alias("source_schema"), source.alias("source_table"),
         F.when(F.col("s_nationkey") > 2, F.col("s_nationkey")).alias("deadline_days"),
     ).withColumn("_k", F.lit(1)).join(F.broadcast(months.withColumn("_k", F.lit(1))), "_k").drop("_k")

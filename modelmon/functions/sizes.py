@@ -74,6 +74,13 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The frame dealt over all tasks by its keys, however few tasks it was read in; Spark does not gather the tasks again."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def all_reliable(makers: list[Callable[[], DataFrame | None]]) -> list[DataFrame | None]:
     """Build and fix several independent frames, a few jobs at a time."""
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from modelmon.functions.sizes import dealt
+
 # The stored control texts (spelling included).
 UPDATED = "Latest Data Updated"
 IN_PROGRESS = "Data ingestion in progress"
@@ -21,12 +23,13 @@ def data_availability(configured: DataFrame, newest: DataFrame, as_of: Column |
 
     ``configured``: model_id, information_date (date), source_schema, source_table,
     deadline_days. ``newest``: source_table, max_date. The deadline counts from the month start.
+    Rows are dealt over all tasks before they are grouped: nearly each is a group of its own, which a task would hold.
     """
     as_of = F.current_date() if as_of is None else as_of
     vintage = F.trunc("information_date", "month")
     deadline = F.date_add(vintage, F.coalesce(F.col("deadline_days"), F.lit(0)))
     sources = ["model_id", "information_date", "source_schema", "source_table"]
-    unique = configured.groupBy(*sources).agg(F.first("deadline_days").alias("deadline_days"))
+    unique = dealt(configured, *sources).groupBy(*sources).agg(F.first("deadline_days").alias("deadline_days"))
     newest_date = F.col("max_date")
     control = (
         F.when(newest_date >= F.col("information_date"), UPDATED)

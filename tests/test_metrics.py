@@ -3,8 +3,10 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from modelmon.operators import registry
+from modelmon.operators.availability import LATE, NO_DATA, UPDATED, data_availability
 from modelmon.operators.direct import calculate
 
 LIMITS = {"threshold_ambar": 0.05, "threshold_red": 0.10}
@@ -196,3 +198,17 @@ def test_bin_counts_are_the_same_where_bins_are_too_many_to_broadcast(spark, mon
     monkeypatch.setattr(bins, "fits", lambda df: False)
     assert sorted(map(tuple, bins.bin_counts(rows, made).select("bin", "n_cur", "n_base").collect()), key=str) == wanted
     assert sum(n for _, n, _ in wanted) == 2000
+
+
+def test_availability_rows_are_dealt_before_grouping(spark):
+    rows = spark.range(0, 3000, 1, 1).select(
+        F.format_string("m%d", F.col("id") % 1500).alias("model_id"), F.lit("2024-03-01").cast("date").alias("information_date"),
+        F.lit("wh").alias("source_schema"), F.format_string("t%d", F.col("id") % 1500).alias("source_table"), F.lit(3).alias("deadline_days"),
+    )
+    newest = spark.createDataFrame([("t1", "2024-03-02"), ("t2", "2024-01-01")], "source_table string, d string").select("source_table", F.col("d").cast("date").alias("max_date"))
+    found = data_availability(rows, newest, F.lit("2024-05-01").cast("date"))
+    # Rows of one task, nearly each a group: no task groups them before they are dealt out.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.index("partial_first") < plan.index("REPARTITION_BY_NUM")
+    lights = {r.model_id: (r.control, r.deadline_data_ingestion) for r in found.collect()}
+    assert len(lights) == 1500 and lights["m1"] == (UPDATED, "2024-03-04") and lights["m2"][0] == LATE and lights["m3"][0] == NO_DATA
