@@ -12,7 +12,10 @@ these are is only estimated, as the order changes the cost and never the result.
 places in the order leave the similarity possible are candidates, and each candidate is verified on the whole sets.
 
 A key that a family of near copies holds gives a star first (each member with the first one, unless the classes have joined
-them); the remaining pairs of a key are only formed between members that classes and stars left apart.
+them). What classes and stars left apart is compared within the key by sketches: parities of ``SKETCH`` classes of members, of
+which two sets differ in at most as many as they have members that only one of them holds. In rounds, each set asks for the
+nearest set of another class only, so a family grows together by as many rows as it has sets; all remaining pairs that their
+sketches leave possible are asked for last, when few are left.
 """
 
 from __future__ import annotations
@@ -39,6 +42,10 @@ COMMON_FROM = 4
 TOLD, KEPT = 20_000, 1_000_000
 # Rows of an Arrow batch that holds two sets a row.
 PAIR_ROWS = 64
+# Bits of a sketch, and pairs of a key that are compared at once.
+SKETCH, COMPARED = 1024, 1 << 14
+# Rounds in which each set asks for its nearest set only. More rounds leave fewer pairs to the last step and change no result.
+NEAREST_ROUNDS = 2
 _ODD = [pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, 17)]
 
 
@@ -81,46 +88,53 @@ def possible(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray,
     return np.minimum(n - place, m - other) >= least_shared(n, m, similarity)
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """For each class of the members modulo ``SKETCH`` whether their number is odd."""
+    odd = np.bincount((members % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _hashed(table: DataFrame, size: int) -> DataFrame:
-    """(row, doc_id, same, fp) per row and, in rows without these, (h, c): hashes that many texts hold and about how often.
+    """(row, doc_id, same, fp, bits) per row and, in rows without these, (h, c): hashes that many texts hold and about how often.
 
-    Equal sets have equal ``same``, and all texts without words have zero; ``fp`` is the fingerprint of operator 3. Exact copies in a task count once for ``c``.
+    Equal sets have equal ``same``, and all texts without words have zero; ``fp`` is the fingerprint of operator 3, ``bits`` the sketch. Exact copies in a task count once for ``c``.
     """
     source = table.select("row", F.col("d.doc_id").alias("doc_id"), F.col("d.text").cast("string").alias("text"))
     kinds = {c: source.schema[c].dataType.simpleString() for c in ("row", "doc_id")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, seen, types = [], 0, set(), None
-        names, lists = ["row", "doc_id", "same", "fp", "h", "c"], pa.list_(pa.int64())
+        names, lists = ["row", "doc_id", "same", "fp", "bits", "h", "c"], pa.list_(pa.int64())
 
         def told() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             often = np.nonzero(counts >= COMMON_FROM)[0]
             often = often[np.argsort(-counts[often], kind="stable")[:TOLD]]
             both = [pa.array([x], lists) for x in (values[often].view(np.int64), counts[often].astype(np.int64))]
-            return pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), *both], names=names)
+            return pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), *both], names=names)
 
         for batch in batches:
-            types = [batch.column(c).type for c in ("row", "doc_id")]
-            same, prints = [], []
+            types = [*(batch.column(c).type for c in ("row", "doc_id")), pa.int64(), pa.int64(), pa.binary()]
+            same, prints, bits = [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 members = shingles(text, size)
                 same.append(_name(members))
                 prints.append(simhash.fingerprint(text))
+                bits.append(sketch(members))
                 if same[-1] not in seen:
                     seen.add(same[-1])
                     held.append(members)
                     n += len(members)
             nothing = pa.nulls(batch.num_rows, lists)
             both = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (same, prints)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *both, nothing, nothing], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *both, pa.array(bits, pa.binary()), nothing, nothing], names=names)
             if n >= COUNTED:
                 yield told()
                 held, n = [], 0
         if n:
             yield told()
 
-    return fixed(source.mapInArrow(run, f"row {kinds['row']}, doc_id {kinds['doc_id']}, same long, fp long, h array<long>, c array<long>"), "hashed")
+    return fixed(source.mapInArrow(run, f"row {kinds['row']}, doc_id {kinds['doc_id']}, same long, fp long, bits binary, h array<long>, c array<long>"), "hashed")
 
 
 def _common(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -194,46 +208,93 @@ def _under_first(similarity: float):
     return run
 
 
-def _apart(similarity: float):
-    """Pairs of the sets of a key that have different roots; rows come sorted by key. Only the last key is carried on."""
+def _by_key(columns: list[str], work):
+    """``work`` on the arrays of each key that more than one row has; rows come sorted by key. Only the last key is carried on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
 
-        def pairs(key, same, n, place, root) -> Iterator[pa.RecordBatch]:
+        def each(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            key = rows[0]
             start = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
             size = np.diff(np.append(start, len(key)))
             for s, k in zip(start[size > 1], size[size > 1]):
-                order = s + np.argsort(n[s : s + k], kind="stable")
-                if (root[order] == root[order[0]]).all():
-                    continue
-                for i, at in enumerate(order[:-1]):
-                    # Sets in order of size: beyond n / similarity none can be similar.
-                    stop = np.searchsorted(n[order], n[at] / similarity + 1e-9, side="right")
-                    to = order[i + 1 : stop]
-                    to = to[(root[to] != root[at]) & possible(n[at], place[at], n[to], place[to], similarity)]
-                    if len(to):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(same[at], same[to])), pa.array(np.maximum(same[at], same[to]))], names=["a", "b"]
-                        )
+                yield from work(*(x[s : s + k] for x in rows))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy() for c in ("key", "same", "n", "place", "root")]
+            now = [_array(batch.column(c)) for c in columns]
             if kept is not None:
                 now = [np.concatenate([x, y]) for x, y in zip(kept, now)]
             other = np.nonzero(now[0] != now[0][-1])[0]
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield from pairs(*(x[:cut] for x in now))
+                yield from each([x[:cut] for x in now])
             kept = [x[cut:].copy() for x in now]
         if kept is not None:
-            yield from pairs(*kept)
+            yield from each(kept)
 
     return run
 
 
+def _array(column: pa.Array) -> np.ndarray:
+    if pa.types.is_integer(column.type):
+        return column.to_numpy()
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+
+
+def _possible_pairs(n: np.ndarray, place: np.ndarray, root: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (both ways round) of the sets of a key that can be similar and have different roots; all of one set at once."""
+    if (root == root[0]).all():
+        return
+    step = max(1, COMPARED // len(n))
+    for s in range(0, len(n), step):
+        e = s + step
+        ok = (root[s:e, None] != root) & possible(n[s:e, None], place[s:e, None], n, place, similarity)
+        at, to = np.nonzero(ok)
+        if len(at):
+            yield at + s, to
+
+
+def _open(similarity: float):
+    """The sets of each key that can be similar to a set of it with another root."""
+
+    def work(key, same, n, place, root) -> Iterator[pa.RecordBatch]:
+        some = [np.unique(at) for at, _ in _possible_pairs(n, place, root, similarity)]
+        if some:
+            at = np.concatenate(some)
+            yield pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (key, same, n, place)], names=["key", "same", "n", "place"])
+
+    return _by_key(["key", "same", "n", "place", "root"], work)
+
+
+def _apart(similarity: float, nearest: bool):
+    """Pairs of the sets of a key that have different roots and can be similar by their sketches.
+
+    ``nearest``: of each set's pairs only the one whose sketches differ least.
+    """
+
+    def work(key, same, n, place, root, bits) -> Iterator[pa.RecordBatch]:
+        for at, to in _possible_pairs(n, place, root, similarity):
+            if not nearest:
+                at, to = at[at < to], to[at < to]
+            differ = np.concatenate(
+                [np.bitwise_count(bits[at[i : i + COMPARED]] ^ bits[to[i : i + COMPARED]]).sum(axis=1, dtype=np.int64) for i in range(0, len(at), COMPARED)]
+                or [np.empty(0, np.int64)]
+            )
+            both = n[at].astype(np.int64) + n[to]
+            good = np.nonzero(differ <= both - 2 * least_shared(n[at].astype(np.int64), n[to], similarity))[0]
+            if nearest:
+                good = good[np.lexsort((same[to[good]], differ[good] / both[good], at[good]))]
+                good = good[np.unique(at[good], return_index=True)[1]]
+            if len(good):
+                a, b = same[at[good]], same[to[good]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return _by_key(["key", "same", "n", "place", "root", "bits"], work)
+
+
 def _verified(pairs: DataFrame, table: DataFrame, first: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar.
 
@@ -280,12 +341,21 @@ def _proposed(named: DataFrame) -> DataFrame:
     return sets.join(bounded(fixed(several.select("root", "a"), "several")), "root").where("same != a").select("a", F.col("same").alias("b"))
 
 
+def _rooted(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    return sets.join(roots, "same", "left").withColumn("root", F.coalesce("root", "same"))
+
+
+def _sorted_by_key(sets: DataFrame) -> DataFrame:
+    return sets.repartition("key").sortWithinPartitions("key")
+
+
 def _dropped(table: DataFrame, size: int, similarity: float) -> DataFrame:
     """The rows (row) of which a class of near copies has a better one."""
     hashed = _hashed(table, size)
-    named = hashed.where("same IS NOT NULL").select("row", "doc_id", "same", "fp")
+    named = hashed.where("same IS NOT NULL").select("row", "doc_id", "same", "fp", "bits")
     # Equal sets are combined before any join, so a text that a third of the rows hold is one row of it.
-    first = fixed(named.groupBy("same").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "row")).alias("first")), "first")
+    first = fixed(named.groupBy("same").agg(
+        F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "row")).alias("first"), F.min("bits").alias("bits")), "first")
     filed = _filed(table, _common(hashed), size, similarity).repartition("key").sortWithinPartitions("key", "same")
     under = fixed(filed.mapInArrow(_under_first(similarity), "key long, same long, n int, place int, lead long"), "keys", 1 << 16)
     links = _verified(_proposed(named), table, first, size, similarity)
@@ -296,12 +366,12 @@ def _dropped(table: DataFrame, size: int, similarity: float) -> DataFrame:
     links = links.unionByName(_verified(stars, table, first, size, similarity))
     # What classes and stars left apart.
     roots = components(links).withColumnRenamed("node", "same")
-    rest = under.select("key", "same", "n", "place").join(roots, "same", "left").select(
-        "key", "same", "n", "place", F.coalesce("root", "same").alias("root")
-    )
-    apart = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_apart(similarity), "a long, b long")
-    links = links.unionByName(_verified(apart, table, first, size, similarity))
-    roots = components(links).withColumnRenamed("node", "same")
+    rest = _sorted_by_key(_rooted(under.select("key", "same", "n", "place"), roots)).mapInArrow(_open(similarity), "key long, same long, n int, place int")
+    left = fixed(rest, "open", 1 << 16).join(first.select("same", "bits"), "same")
+    for nearest in (True,) * NEAREST_ROUNDS + (False,):
+        pairs = _sorted_by_key(_rooted(left, roots)).mapInArrow(_apart(similarity, nearest), "a long, b long")
+        links = links.unionByName(_verified(pairs, table, first, size, similarity))
+        roots = components(links).withColumnRenamed("node", "same")
     kept = fixed(
         first.join(roots, "same", "left").groupBy(F.coalesce("root", "same").alias("root")).agg(F.min("first").alias("first"))
         .select(F.col("first.row").alias("row")),

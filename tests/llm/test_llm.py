@@ -175,6 +175,38 @@ def test_near_copies_start_from_fingerprints(spark, monkeypatch):
     assert near and not near & ({(min(a, b), max(a, b)) for a, b in asked[2]} | asked[3])
 
 
+def test_near_copies_of_a_family_ask_for_few_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    wide = [f"w{i}" for i in range(5000)]
+    base, rows = rng.choices(wide, k=300), []
+    # Two copies are similar at six edits or fewer together, so most pairs share keys and are not.
+    for i in range(120):
+        copy = list(base)
+        for at in rng.sample(range(300), 2 + i % 5):
+            copy[at] = rng.choice(wide)
+        rows.append((i, " ".join(copy)))
+    rng.shuffle(rows)
+    docs, asked, verified = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), [], shingles._verified
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(shingles, "_verified", counted)
+    kept = [r.doc_id for r in shingles.keep_one(docs).collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == similar_kept(rows)
+    assert sum(asked[2:]) < 10 * len(rows)
+
+
+def test_sketches_differ_in_no_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 30, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 1 << 63, size, dtype=np.uint64)]))
+        x, y = (np.frombuffer(shingles.sketch(s), np.uint64) for s in (a, b))
+        assert len(x) * 64 == shingles.SKETCH and np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_stored_rows_need_no_copy(spark, tmp_path):
     text = prose(3, 70)
     rows = [(1, text, "x"), (1, text, "x"), (2, text, "y"), (None, text, "z"), (3, prose(4, 70), None), (None, None, "n")]
