@@ -44,8 +44,8 @@ TOLD, KEPT = 20_000, 1_000_000
 PAIR_ROWS = 64
 # Bits of a sketch, and pairs of a key that are compared at once.
 SKETCH, COMPARED = 1024, 1 << 14
-# Rounds in which each set asks for its nearest set only. More rounds leave fewer pairs to the last step and change no result.
-NEAREST_ROUNDS = 2
+# Nearest sets are asked for again while a round links more than this share of the sets; it changes the cost, never the result.
+AGAIN = 0.25
 _ODD = [pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, 17)]
 
 
@@ -352,10 +352,9 @@ def _sorted_by_key(sets: DataFrame) -> DataFrame:
 def _dropped(table: DataFrame, size: int, similarity: float) -> DataFrame:
     """The rows (row) of which a class of near copies has a better one."""
     hashed = _hashed(table, size)
-    named = hashed.where("same IS NOT NULL").select("row", "doc_id", "same", "fp", "bits")
+    named = hashed.where("same IS NOT NULL").select("row", "doc_id", "same", "fp")
     # Equal sets are combined before any join, so a text that a third of the rows hold is one row of it.
-    first = fixed(named.groupBy("same").agg(
-        F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "row")).alias("first"), F.min("bits").alias("bits")), "first")
+    first = fixed(named.groupBy("same").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "row")).alias("first")), "first")
     filed = _filed(table, _common(hashed), size, similarity).repartition("key").sortWithinPartitions("key", "same")
     under = fixed(filed.mapInArrow(_under_first(similarity), "key long, same long, n int, place int, lead long"), "keys", 1 << 16)
     links = _verified(_proposed(named), table, first, size, similarity)
@@ -367,11 +366,18 @@ def _dropped(table: DataFrame, size: int, similarity: float) -> DataFrame:
     # What classes and stars left apart.
     roots = components(links).withColumnRenamed("node", "same")
     rest = _sorted_by_key(_rooted(under.select("key", "same", "n", "place"), roots)).mapInArrow(_open(similarity), "key long, same long, n int, place int")
-    left = fixed(rest, "open", 1 << 16).join(first.select("same", "bits"), "same")
-    for nearest in (True,) * NEAREST_ROUNDS + (False,):
-        pairs = _sorted_by_key(_rooted(left, roots)).mapInArrow(_apart(similarity, nearest), "a long, b long")
-        links = links.unionByName(_verified(pairs, table, first, size, similarity))
-        roots = components(links).withColumnRenamed("node", "same")
+    rest = fixed(rest, "open", 1 << 16)
+    asked = bounded(fixed(first.join(rest.select("same").distinct(), "same").select(F.col("first.row").alias("row")), "asked"))
+    sketches = fixed(hashed.join(asked, "row").select("same", "bits"), "sketches")
+    left, sets = rest.join(sketches, "same"), sketches.count()
+    for nearest in (True, False):
+        again = True
+        while again:
+            pairs = _sorted_by_key(_rooted(left, roots)).mapInArrow(_apart(similarity, nearest), "a long, b long")
+            found = _verified(pairs, table, first, size, similarity)
+            links = links.unionByName(found)
+            roots = components(links).withColumnRenamed("node", "same")
+            again = nearest and found.count() > AGAIN * sets
     kept = fixed(
         first.join(roots, "same", "left").groupBy(F.coalesce("root", "same").alias("root")).agg(F.min("first").alias("first"))
         .select(F.col("first.row").alias("row")),
