@@ -51,6 +51,10 @@ def smallest_per_key(df: DataFrame, keys: list[str], values: list[str], removed:
     ``removed`` names a column for the number of rows that went.
     """
     dropped = [(F.count("*") - 1).alias(removed)] if removed else []
+    if len(values) == 1 and df.schema[values[0]].dataType.typeName() == "double":
+        # A struct is compared by sorting; a number need not be. As in a struct, a missing value is the smallest.
+        smallest = F.when(F.count(values[0]) == F.count("*"), F.min(values[0])).alias(values[0])
+        return df.groupBy(*keys).agg(smallest, *dropped)
     chosen = df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_chosen"), *dropped)
     return chosen.select(*keys, "_chosen.*", *([removed] if removed else []))
 

@@ -82,6 +82,11 @@ def is_counted(rows: DataFrame) -> bool:
     return "n_cur" in rows.columns and "side" not in rows.columns
 
 
+def occurrences(rows: DataFrame) -> Column:
+    """How many rows each row of a frame stands for, whatever its side."""
+    return F.col("n_cur") + F.col("n_base") if is_counted(rows) else F.lit(1).cast("long")
+
+
 def weighted(rows: DataFrame) -> DataFrame:
     """Add whole-number weights ``n_cur`` / ``n_base`` in place of the side."""
     if is_counted(rows):
@@ -114,6 +119,11 @@ def value_counts(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     )
 
 
+def merged(counted: DataFrame) -> DataFrame:
+    """Counted values with each value of a key in one row."""
+    return counted.groupBy(*KEYS, "value").agg(F.sum("n_cur").alias("n_cur"), F.sum("n_base").alias("n_base"))
+
+
 def side_counts(condition: Column | None = None) -> tuple[Column, Column]:
     if condition is None:
         return F.count_if(is_current()), F.count_if(is_baseline())

@@ -11,9 +11,9 @@ from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from modelmon.functions.columns import clean_double, one_per_key, union_all
+from modelmon.functions.columns import KEYS, clean_double, is_baseline, is_current, one_per_key, union_all
 from modelmon.functions.dates import format_date, parse_date
-from modelmon.functions.sizes import all_reliable, reliable
+from modelmon.functions.sizes import all_reliable, bounded, reliable
 from modelmon.operators.calendar import resolve_dates
 from modelmon.operators.observations import unpivot
 from modelmon.sources import reader
@@ -284,31 +284,39 @@ class Feeds:
         meet the rows as the text the source stores, so no date is parsed per row. ``dates`` is a
         written table whose size Spark knows, so it is broadcast when small, and source rows are not shuffled here.
         """
+        serving = dates.where(
+            (F.col("source_table") == feed.source_table) & F.col("model_id").isin(feed.models)
+        ).select("model_id", "information_date", "side", "source_date", "read_date")
+        return self.dated(feed, literals, columns, keys, base).join(serving, "source_date").drop("source_date")
+
+    def dated(self, feed: Feed, literals: list, columns: list[str], keys: bool = False, base: DataFrame | None = None) -> DataFrame:
+        """Rows of one source on the given dates, each once, with ``source_date``: the date as the source stores it."""
         spec = feed.spec
         if not spec.date_column:
             raise ValueError(f"{spec.table_or_path} has no date column")
         df = self.load(feed) if base is None else base
         wanted = [*columns, spec.date_column, *(spec.key_columns if keys else [])]
         df = reader.project(df, wanted, spec.table_or_path)
-        serving = dates.where(
-            (F.col("source_table") == feed.source_table) & F.col("model_id").isin(feed.models)
-        ).select("model_id", "information_date", "side", "source_date", "read_date")
         df = reader.on_dates(df, spec.date_column, sorted(literals), spec.date_format) if literals else df.where(F.lit(False))
         df = df.withColumn("source_date", reader.date_text(df, spec.date_column, spec.date_format))
         if keys:
             df = reader.canonical_keys(df, spec.key_columns, spec.canonical_keys)
-        clash = [c for c in ("model_id", "information_date", "side") if c in df.columns]
-        return df.drop(*clash).join(serving, "source_date").drop("source_date")
+        return df.drop(*[c for c in ("model_id", "information_date", "side") if c in df.columns])
 
-    def columns(self, feed: Feed, dates: DataFrame, literals: dict, alias: dict[tuple[str, bool], str]) -> DataFrame:
-        """(model, date, side) rows of one source with the (column, numeric) of ``alias``: numbers as doubles, others as text."""
+    def _typed(self, feed: Feed, literals: dict, alias: dict[tuple[str, bool], str]) -> tuple[DataFrame, list]:
+        """A source with the (column, numeric) of ``alias``, numbers as doubles and others as text, and the dates read of it."""
         spec, base = feed.spec, self.load(feed)
         missing = sorted({c for c, _ in alias} - set(base.columns))
         if missing:
             raise ValueError(f"missing columns {missing} in {spec.table_or_path}; available: {sorted(base.columns)}")
         typed = {a: clean_double(F.col(f"`{c}`")) if numeric else F.col(f"`{c}`").cast("string") for (c, numeric), a in alias.items()}
         when = sorted({d for m in feed.models for d in literals.get((m, feed.source_table), [])})
-        return self.slices(feed, dates, when, list(alias.values()), base=base.withColumns(typed))
+        return base.withColumns(typed), when
+
+    def columns(self, feed: Feed, dates: DataFrame, literals: dict, alias: dict[tuple[str, bool], str]) -> DataFrame:
+        """(model, date, side) rows of one source with the (column, numeric) of ``alias``: numbers as doubles, others as text."""
+        base, when = self._typed(feed, literals, alias)
+        return self.slices(feed, dates, when, list(alias.values()), base=base)
 
     def owned(self, feed: Feed, rows: DataFrame) -> DataFrame:
         """Only the variables that a model itself reads, where several models share a source."""
@@ -329,6 +337,50 @@ class Feeds:
             frames.append(self.owned(feed, unpivot(plain, [(alias[c, numeric], v, t) for c, v, t in entries], numeric)))
         return union_all(frames) if frames else None
 
+    def date_counts(self, literals: dict, numeric: bool) -> DataFrame | None:
+        """(source, column, source_date, value, n): every numeric (or text) value of a source, counted by the date it is stored under.
+
+        A row is counted once, however many models, runs and sides read its date; ``served`` deals the counts out to them.
+        """
+        frames = []
+        for source, feed in enumerate(self.feeds):
+            alias = {(c, numeric): f"_v{i}" for i, c in enumerate(dict.fromkeys(e[0] for e in feed.entries(numeric)))}
+            if alias:
+                base, when = self._typed(feed, literals, alias)
+                rows = self.dated(feed, when, list(alias.values()), base=base)
+                long = rows.select("source_date", *alias.values()).unpivot(["source_date"], list(alias.values()), "column", "value")
+                frames.append(long.withColumn("source", F.lit(source)))
+        if not frames:
+            return None
+        return union_all(frames).groupBy("source", "column", "source_date", "value").agg(F.count("*").alias("n"))
+
+    def serving(self, dates: DataFrame, numeric: bool) -> tuple[DataFrame, bool]:
+        """Who reads the counts of ``date_counts``: (source, column, source_date, KEYS, side), and whether every key reads one
+        date of one column at most per side, so that a value of it comes once.
+        """
+        readers = []
+        for source, feed in enumerate(self.feeds):
+            entries = feed.entries(numeric)
+            labels = {c: f"_v{i}" for i, c in enumerate(dict.fromkeys(e[0] for e in entries))}
+            own = {(r["model_id"], r["variable"], r["var_type"]) for r in self.rows if r["source_table"] == feed.source_table}
+            readers += [
+                (source, feed.source_table, labels[c], m, t, v)
+                for m in feed.models for c, v, t in entries if len(feed.models) == 1 or (m, v, t) in own
+            ]
+        ddl = "source int, source_table string, column string, model_id string, var_type string, variable string"
+        who = self.spark.createDataFrame(readers, ddl)
+        served = dates.join(who, ["source_table", "model_id"]).select("source", "column", "source_date", *KEYS, "side")
+        served = reliable(served)
+        return served, served.groupBy(*KEYS, "side").count().where("count > 1").isEmpty()
+
+    @staticmethod
+    def served(counted: DataFrame, serving: DataFrame) -> DataFrame:
+        """The counts of ``date_counts`` as observations ``KEYS + value + n_cur + n_base``, a row for each date and side."""
+        n = F.col("n")
+        return counted.join(bounded(serving), ["source", "column", "source_date"]).select(
+            *KEYS, "value", F.when(is_current(), n).otherwise(0).alias("n_cur"), F.when(is_baseline(), n).otherwise(0).alias("n_base")
+        )
+
 
 def by_model(rows: list[Row]) -> dict[str, list[Row]]:
     out: dict[str, list[Row]] = defaultdict(list)

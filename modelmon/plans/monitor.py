@@ -15,9 +15,9 @@ from modelmon.operators import conjugate, quality, registry, score, stability, s
 from modelmon.operators.alerts import alert_aggregate
 from modelmon.operators.availability import availability_done, data_availability, newest_dates
 from modelmon.operators.bins import normalise_bins
-from modelmon.operators.observations import value_counts
+from modelmon.operators.observations import merged
 from modelmon.operators.runs import execution_log
-from modelmon.functions.sizes import all_reliable, reliable, run_tables, side_by_side
+from modelmon.functions.sizes import all_reliable, bounded, reliable, run_tables, side_by_side
 from modelmon.plans import wide
 from modelmon.plans.feeds import SINGLE_MODES, ConfigTables, Feed, Feeds, by_model
 from modelmon.sources.config import latest_partition
@@ -87,8 +87,9 @@ class Monitor:
         ``runs`` holds (model_id, information_date). An undefined metric has no value. Models whose configuration
         cannot be read are no part of the plan; they come out as ``failed``.
 
-        Sources are read for one wide aggregate (plain counts and moments) and once for their values, which are counted
-        and written; quantiles, bins, bands, categories and concentration start from the counted values.
+        Sources are read for one wide aggregate (plain counts and moments) and once for their values, which are counted by
+        the date they are stored under and written, whatever runs and sides read that date; quantiles, bins, bands, categories
+        and concentration start from the counted values.
         """
         failed = self._failed(runs)
         if not self.feeds.feeds:
@@ -102,13 +103,13 @@ class Monitor:
         found = reliable(self._found(dates))
         bins = self._stored_bins()
         first: dict[str, Callable[[], DataFrame | None]] = {
-            "missing": lambda: self._missing(runs, dates, found),
-            "wide": lambda: wide.measures(self.feeds, dates, literals),
+            "missing": lambda: reliable(self._missing(runs, dates, found)),
+            "wide": lambda: reliable(wide.measures(self.feeds, dates, literals)),
             "pairs": lambda: self.pairs(dates, lagged, literals),
-            "numbers": lambda: None if numbers is None else value_counts(numbers),
-            "texts": lambda: None if texts is None else value_counts(texts),
+            "numbers": lambda: None if numbers is None else self._counted(dates, literals),
+            "texts": lambda: None if texts is None else reliable(self._counted_texts(dates, literals)),
         }
-        fixed = dict(zip(first, all_reliable(list(first.values()))))
+        fixed = dict(zip(first, side_by_side(list(first.values()))))
         counts, words = fixed["numbers"], fixed["texts"]
         independent = self._plain_measures(dates, literals, found, numbers, texts, fixed, bins)
         shared: list[Callable[[], DataFrame | None]] = [
@@ -136,6 +137,16 @@ class Monitor:
         resolved = reliable(self.feeds.resolve(runs, self._target_lags()))
         return resolved.where("NOT lagged").drop("lagged"), resolved.where("lagged").drop("lagged")
 
+    def _counted(self, dates: DataFrame, literals: dict) -> DataFrame:
+        """All numbers as counted values. Only counts by date are written; what reads several dates gets its values merged."""
+        serving, once = self.feeds.serving(dates, True)
+        counts = self.feeds.served(reliable(self.feeds.date_counts(literals, True)), serving)
+        return counts if once else reliable(merged(counts))
+
+    def _counted_texts(self, dates: DataFrame, literals: dict) -> DataFrame:
+        serving, _ = self.feeds.serving(dates, False)
+        return merged(self.feeds.served(self.feeds.date_counts(literals, False), serving))
+
     def _failed(self, runs: DataFrame) -> DataFrame:
         """(model_id, information_date, error_message) of the runs whose model cannot be measured as configured."""
         asked = runs.select("model_id", F.date_format(F.col("information_date").cast("date"), "yyyy-MM-dd").alias("information_date")).distinct()
@@ -206,7 +217,7 @@ class Monitor:
             scores = counts.where(F.col("var_type") == "score")
             add(["entropy"], lambda: score.entropy(scores))
             add(["concentration_gini"], lambda: score.concentration(scores))
-            add(["psi_target"], lambda: target.target_psi(counts.where(F.col("var_type") == "target"), bins))
+            add(["psi_target"], lambda: target.target_psi(merged(counts.where(F.col("var_type") == "target")), bins))
             if bins is not None:
                 add(["psi_approved", "psi_rejected"], lambda: score.split_psi(scores, bins, self.feeds.cutoffs()))
         if fixed["texts"] is not None:
@@ -272,11 +283,30 @@ class Monitor:
     def _feed_of(self, row) -> Feed:
         return next(f for f in self.feeds.feeds if f.source_table == row["source_table"] and row in f.rows)
 
-    def _joint_rows(self, feed: Feed, asked: DataFrame, models: list[str], columns: list[str], read: list) -> tuple[DataFrame, list[str]]:
-        """Rows of one source for some models with their keys, and the names of the keys."""
-        mine = self.feeds.with_source_date(asked.where(F.col("model_id").isin(models)).withColumn("source_table", F.lit(feed.source_table)))
-        rows = self.feeds.slices(feed, mine, read, columns, keys=True)
-        return rows, [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows.columns]
+    def _meeting(self, asked: list[tuple[Feed, DataFrame]], models: list[str]) -> DataFrame:
+        """(RUN, side, read_date, s0, s1, ..., _meet): the dates under which sources that are joined store the same read date.
+
+        ``_meet`` names one set of such dates. It is the same for all models, runs and sides that read them, so their rows are
+        joined once.
+        """
+        on = [*RUN, "side", "read_date"]
+        each = []
+        for i, (feed, when) in enumerate(asked):
+            mine = when.where(F.col("model_id").isin([m for m in models if m in feed.models])).select(*on).distinct()
+            named = self.feeds.with_source_date(mine.withColumn("source_table", F.lit(feed.source_table)))
+            each.append(named.select(*on, F.col("source_date").alias(f"s{i}")))
+        together = reduce(lambda a, b: a.join(b, on), each)
+        return reliable(together.withColumn("_meet", F.concat_ws("\x1f", *[f"s{i}" for i in range(len(each))])))
+
+    def _meeting_rows(
+        self, feed: Feed, number: int, meeting: DataFrame, columns: dict[str, str], read: list
+    ) -> tuple[DataFrame, list[str]]:
+        """One row of a source for each set of dates and keys, with the named columns as numbers, and the names of the keys."""
+        served = meeting.select(F.col(f"s{number}").alias("source_date"), "_meet").distinct()
+        rows = self.feeds.dated(feed, read, list(columns), keys=True).join(bounded(served), "source_date")
+        keys = [c for c in (feed.spec.canonical_keys or feed.spec.key_columns) if c in rows.columns]
+        plain = rows.select("_meet", *keys, *[clean_double(F.col(c)).alias(name) for c, name in columns.items()])
+        return smallest_per_key(plain, ["_meet", *keys], list(columns.values())), keys
 
     def _score_targets(self) -> dict[tuple, list[tuple[str, int]]]:
         """(score source and column, target source and column) to the models read so and their target's lag."""
@@ -311,20 +341,22 @@ class Monitor:
             cohort = dates.where((F.col("source_table") == t.source_table) & F.col("model_id").isin(models))
             aligned = lagged.where(F.col("source_table") == s.source_table).join(cohort.select(*on), on, "left_semi")
             read = sorted({d for m in models for d in literals.get((m, t.source_table), [])})
-            sides = []
-            for feed, column, when, name in ((s, score_column, aligned, "score"), (t, target_column, cohort, "target")):
-                rows, keys = self._joint_rows(feed, when, models, [column], read)
-                plain = rows.select(*on, *keys, clean_double(F.col(column)).alias(name))
-                sides.append((smallest_per_key(plain, [*on, *keys], [name]), keys))
-            shared = [k for k in sides[0][1] if k in sides[1][1]]
-            joined = conjugate.join_pairs(sides[0][0], sides[1][0], [*on, *shared])
-            frames.append(self._binary_only(conjugate.as_pairs(joined, conjugate.tie_order(shared or ["read_date"]))))
+            meeting = self._meeting([(s, aligned), (t, cohort)], models)
+            scores, score_keys = self._meeting_rows(s, 0, meeting, {score_column: "score"}, read)
+            targets, target_keys = self._meeting_rows(t, 1, meeting, {target_column: "target"}, read)
+            shared = [k for k in score_keys if k in target_keys]
+            joined = conjugate.join_pairs(scores, targets, ["_meet", *shared])
+            tie = conjugate.tie_order(shared) if shared else F.lit(None).cast("double")
+            joined = reliable(joined.select("_meet", "score", "target", tie.alias("tie")))
+            rows = joined.join(bounded(self._binary_only(joined, meeting)), "_meet")
+            frames.append(conjugate.as_pairs(rows, F.col("tie") if shared else conjugate.tie_order(["read_date"])))
         return union_all(frames)
 
-    def _binary_only(self, pairs: DataFrame) -> DataFrame:
-        """Score-target metrics need a 0/1 outcome; runs with any other value get none."""
-        odd = pairs.where(F.col("target").isNotNull() & ~F.col("target").isin(0.0, 1.0)).select(*RUN).distinct()
-        return pairs.join(odd, RUN, "left_anti")
+    def _binary_only(self, joined: DataFrame, meeting: DataFrame) -> DataFrame:
+        """The dates of runs with a 0/1 outcome, which score-target metrics need; runs with any other value get none."""
+        odd = joined.where(F.col("target").isNotNull() & ~F.col("target").isin(0.0, 1.0)).select("_meet").distinct()
+        runs = meeting.join(odd, "_meet", "left_semi").select(*RUN).distinct()
+        return reliable(meeting.join(runs, RUN, "left_anti").select(*RUN, "side", "read_date", "_meet"))
 
     # -- joint inputs ---------------------------------------------------------------
 
@@ -357,18 +389,19 @@ class Monitor:
         for model, inputs in members:
             columns = [(self.feeds.feeds.index(self._feed_of(r)), r["source_column"]) for r in inputs]
             own[model] = [labels.setdefault(c, f"x{len(labels)}") for c in columns]
+        feeds = [self.feeds.feeds[source] for source in sources]
+        meeting = self._meeting(
+            [(f, mine.where(F.col("source_table") == f.source_table).join(anchor, on, "left_semi")) for f in feeds], models
+        )
         tables: list[tuple[DataFrame, list[str]]] = []
-        for source in sources:
-            feed = self.feeds.feeds[source]
-            when = mine.where(F.col("source_table") == feed.source_table).join(anchor, on, "left_semi")
+        for i, (source, feed) in enumerate(zip(sources, feeds)):
             named = {c: x for (f, c), x in labels.items() if f == source}
             read = sorted({d for m in models for d in literals.get((m, feed.source_table), [])})
-            rows, keys = self._joint_rows(feed, when, models, list(named), read)
-            plain = rows.select(*on, *keys, *[clean_double(F.col(c)).alias(x) for c, x in named.items()])
-            tables.append((smallest_per_key(plain, [*on, *keys], list(named.values())), keys))
+            tables.append(self._meeting_rows(feed, i, meeting, named, read))
         keys = reduce(lambda a, b: [k for k in a if k in b], [k for _, k in tables])
-        joined = reduce(lambda a, b: a.join(b, [*on, *keys]), [df for df, _ in tables])
-        keyed = joined.withColumns({"var_type": F.lit(INPUTS_TYPE), "variable": F.lit(INPUTS_VARIABLE)})
+        joined = reduce(lambda a, b: a.join(b, ["_meet", *keys]), [df for df, _ in tables])
+        served = meeting.select(*on, "_meet")
+        keyed = joined.join(bounded(served), "_meet").withColumns({"var_type": F.lit(INPUTS_TYPE), "variable": F.lit(INPUTS_VARIABLE)})
         return keyed, list(labels.values()), own
 
     def _correlations(self, dates: DataFrame, literals: dict) -> list[Callable[[], DataFrame]]:
