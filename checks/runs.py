@@ -10,6 +10,7 @@ from checks.configs import CFG, CON, config_rows, contacts
 from checks.data import ALERTS, INP, LOG, NUM, ORD, OUT, PRS, QTL, RES, STA, TXT, sizes_sql
 from modelmon.functions.columns import KEYS
 from modelmon.functions.dates import shift_periods
+from modelmon.functions.sizes import reliable, side_by_side
 from modelmon.operators import alerts as al
 from modelmon.operators import availability as av
 from modelmon.operators import bins, conjugate, dashboard, development, quality, registry, runs, stability, summary, thresholds
@@ -484,17 +485,18 @@ def order_model(t: Tables):
         F.sum("l_quantity").alias("qty"), F.avg("l_discount").alias("disc"), F.sum("l_extendedprice").alias("ext"), F.avg("l_tax").alias("tax"),
         F.max((F.col("l_returnflag") == "R").cast("int")).alias("target"),
     )
-    keyed = o.select("o_orderkey", "month")
+    spread = t.spark.sparkContext.defaultParallelism
+    lines = reliable(o.select("o_orderkey", "month").join(li, "o_orderkey").repartition(spread, "o_orderkey"))
     sources = {
         "raw_orders": o.select(
             "o_orderkey", "month", F.col("o_totalprice").alias("price"), (F.col("o_totalprice") % 1000).alias("cents"),
             F.nullif(F.col("o_custkey").cast("double"), F.lit(0.0)).alias("cust"), F.dayofmonth("o_orderdate").alias("day"),
             F.col("o_orderpriority").alias("priority"), F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"),
         ),
-        "inputs": keyed.join(li, "o_orderkey").select("o_orderkey", "month", "qty", "disc", "ext", "tax"),
+        "inputs": lines.select("o_orderkey", "month", "qty", "disc", "ext", "tax"),
         "features": o.select("o_orderkey", "month", F.ln("o_totalprice").alias("log_price"), F.floor(F.col("o_totalprice") / 50000).alias("band")),
         "scores": o.select("o_orderkey", "month", (F.col("o_totalprice") / 500000).alias("score")),
-        "targets": keyed.join(li.select("o_orderkey", "target"), "o_orderkey"),
+        "targets": lines.select("o_orderkey", "month", "target"),
     }
     variables = [
         *[(v, "raw", "numeric", "raw_orders") for v in ("price", "cents", "cust", "day")],
@@ -505,8 +507,8 @@ def order_model(t: Tables):
     ]
     spark, d, model = t.spark, "1995-01-01", data.MODEL
     base = scratch(t, "sources")
-    for name, df in sources.items():
-        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{base}/{name}")
+    write = lambda name: sources[name].repartition(spread, "o_orderkey").write.parquet(f"{base}/{name}")
+    side_by_side([lambda name=name: write(name) for name in sources])
     variables = [(v, vt, dt, f"{base}/{s}", v, d, model) for v, vt, dt, s in variables]
     meta = spark.createDataFrame(variables, "variable string, var_type string, data_type string, source_table string, source_column string, process_date string, model_id string")
     roles = {"raw_orders": "raw", "inputs": "input", "features": "processed", "scores": "score", "targets": "target"}
