@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from modelmon.functions.columns import KEYS, first_rank_key
 from modelmon.functions.ordering import Grid, cut_points, top_per_group
 from modelmon.functions.sizes import fits, reliable
-from modelmon.operators.observations import sizes, value_counts, weighted
+from modelmon.operators.observations import occurrences, sizes, value_counts, weighted
 
 PSI_EPSILON = 1e-6
 # Shares over which a variable's values are dealt where its bins are too many to broadcast.
@@ -75,7 +75,7 @@ def numeric_bins(rows: DataFrame, n_bins: int = 10, keys: list[str] = KEYS) -> D
     Duplicate edges are kept and give empty bins. ``freq_dev`` is the share among binned rows.
     """
     cuts = cut_points(
-        rows.withColumn("n", F.lit(1).cast("long")), keys, "value", ["n"], {"n": ["n"]}, [Grid("n", n_bins)]
+        rows.withColumn("n", occurrences(rows)), keys, "value", ["n"], {"n": ["n"]}, [Grid("n", n_bins)]
     ).where((F.col("step") > 0) & (F.col("step") < n_bins))
     edges = cuts.groupBy(*keys).agg(
         F.sort_array(
@@ -107,7 +107,7 @@ def numeric_bins(rows: DataFrame, n_bins: int = 10, keys: list[str] = KEYS) -> D
 
 
 def category_counts(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    return rows.groupBy(*keys, "value").agg(F.count("*").alias("count_dev"))
+    return rows.groupBy(*keys, "value").agg(F.sum(occurrences(rows)).alias("count_dev"))
 
 
 def categorical_bins(rows: DataFrame, top_n: int = TRAINED_CATEGORIES, keys: list[str] = KEYS) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from modelmon.functions.columns import KEYS, one_per_key, ratio
+from modelmon.operators.observations import occurrences
 from modelmon.operators.quality import outliers
 from modelmon.operators.score import entropy
 
@@ -22,11 +23,12 @@ POLICY_TOP_N, POLICY_TOP_K = 50, 5
 def auto_thresholds(rows: DataFrame, quartiles: DataFrame | None = None, numeric_types: DataFrame | None = None) -> DataFrame:
     """Trained limits with the value measured in development.
 
-    ``rows`` are observations with side ``current``. With ``quartiles`` (KEYS + q1, q3) numeric
+    ``rows`` are observations with side ``current``, or their counted values. With ``quartiles`` (KEYS + q1, q3) numeric
     variables get outlier_rate; score variables get entropy.
     """
+    one = occurrences(rows)
     base = rows.groupBy(*KEYS).agg(
-        F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("nulls")
+        F.sum(one).alias("n"), F.sum(F.when(F.col("value").isNull(), one).otherwise(0)).alias("nulls")
     )
     if quartiles is not None:
         wild = outliers(rows, quartiles).select(*KEYS, ratio(F.col("outliers_cur"), F.col("n_cur")).alias("outlier"))

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from modelmon import schemas
 from modelmon.functions.columns import union_all
 from modelmon.functions.dates import run_day
-from modelmon.functions.sizes import all_reliable, bounded, reliable
+from modelmon.functions.sizes import all_reliable, bounded, reliable, side_by_side
 from modelmon.operators import bins, development, stability
 from modelmon.operators.calendar import history_dates, period_dates
+from modelmon.operators.observations import merged
 from modelmon.operators.runs import retraining_list, untrained_models
 from modelmon.plans.feeds import PARTITION_MODES, ConfigTables, Feeds
 from modelmon.sources.config import latest_partition
@@ -65,11 +66,13 @@ class Trainer:
         )
 
     def run(self, process_date: str, information_date: str | None = None) -> dict[str, DataFrame]:
-        """The three artefact tables. Variables without data give no rows."""
+        """The three artefact tables. Variables without data give no rows.
+
+        Sources are read once for their values, which are counted; bins, ranks and limits start from the counted values.
+        """
         dates = reliable(self._dates(process_date, information_date))
         literals = self.feeds.read_dates(dates)
-        numbers = self.feeds.observations(dates, literals, True)
-        texts = self.feeds.observations(dates, literals, False)
+        numbers, texts = side_by_side([lambda: self._counted(dates, literals, True), lambda: self._counted(dates, literals, False)])
         bin_parts, limit_parts, rank = [], [], None
         if numbers is not None:
             kinds = self.feeds.metadata.where(F.col("data_type") == "numeric").select("model_id", "variable", "var_type")
@@ -94,6 +97,16 @@ class Trainer:
             out["category_baseline_rank"] = schemas.conform(rank.withColumns(stamp), "category_baseline_rank")
         return out
 
+    def _counted(self, dates: DataFrame, literals: dict, numeric: bool) -> DataFrame | None:
+        """All numeric (or all text) development values with their occurrences."""
+        counts = self.feeds.date_counts(literals, numeric)
+        if counts is None:
+            return None
+        serving, _ = self.feeds.serving(dates, numeric)
+        if numeric:
+            return self.feeds.served(reliable(counts), serving)
+        return reliable(merged(self.feeds.served(counts, serving)))
+
     def _owners(self) -> DataFrame:
         rows = []
         for feed in self.feeds.feeds:

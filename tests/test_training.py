@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from modelmon.operators import bins, development
+from modelmon.operators.observations import value_counts
 from modelmon.plans.backfill import backfill, date_window
 from modelmon.plans.training import train_models
 from tests.conftest import BASE, CUR
@@ -49,3 +51,22 @@ def test_backfill_skips_finished_dates(spark, frames, tmp_path):
     assert spark.range(1).select(first, last).first()[0].isoformat() == "2025-02-28"
     with pytest.raises(ValueError):
         date_window("2025-03-31", 0)
+
+
+DDL = "model_id string, information_date string, var_type string, variable string, side string, value"
+
+
+def ordered(df):
+    return sorted(df.collect(), key=str)
+
+
+def test_training_operators_take_counted_values(spark):
+    made = [("m", "d", "raw", "v", "current", x) for x in [1.0] * 7 + [2.0, 3.0, 3.0, 50.0, None, None]]
+    numbers = spark.createDataFrame(made, f"{DDL} double")
+    assert ordered(bins.numeric_bins(value_counts(numbers))) == ordered(bins.numeric_bins(numbers))
+    quartiles = spark.createDataFrame([("m", "d", "raw", "v", 1.0, 3.0)], "model_id string, information_date string, var_type string, variable string, q1 double, q3 double")
+    limits = development.auto_thresholds(numbers, quartiles)
+    assert ordered(development.auto_thresholds(value_counts(numbers), quartiles)) == ordered(limits)
+    texts = spark.createDataFrame([(*r[:5], x) for r, x in zip(made, "aaabbcaac")] + [(*made[0][:5], None)], f"{DDL} string")
+    for operator in (bins.categorical_bins, bins.category_rank, development.auto_thresholds):
+        assert ordered(operator(value_counts(texts))) == ordered(operator(texts))
